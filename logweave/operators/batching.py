@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from logweave.constants import DEFAULT_BATCH_SIZE
 from logweave.functions.batchkeys import calendar_key, fixed_key, normalise_strategy
 from logweave.operators.lineindex import with_line_index
-from logweave.sources.text import ORDER_COLUMNS
+from logweave.sources.text import ORDER_COLUMNS, SEGMENT_COLUMNS
 
 BATCH_STATS_COLUMNS = ["batch_sequence", "batch_key", "total_records",
                        "valid_records", "malformed_records"]
@@ -47,16 +47,28 @@ def fixed_batch_stats(parsed: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     indexed = with_line_index(parsed.select(*ORDER_COLUMNS, "is_malformed"))
-    number = (F.floor(F.col("line_index") / F.lit(batch_size)) + 1).cast("long")
+    number = (F.expr(f"line_index div {int(batch_size)}") + 1).cast("long")    # exact integer
     per_batch = indexed.groupBy(number.alias("batch_sequence")).agg(*_counts())
     return _finish(per_batch.withColumn("batch_key", fixed_key(F.col("batch_sequence"))))
 
 
 def calendar_batch_stats(parsed: DataFrame, strategy: str) -> DataFrame:
-    """Per month / ISO week (and ``__malformed__``), in first-appearance order."""
+    """Per month / ISO week (and ``__malformed__``), in first-appearance order.
+
+    Two aggregates: per (key, input split) with numeric buffers only - a hash
+    aggregate with map-side partial results - then per key over that small
+    frame, where the first appearance is the minimum (split, first sequence).
+    A single ``min(struct(..., file path, ...))`` over the lines would force a
+    sort-based aggregate, i.e. a sort of every input row.
+    """
     key = calendar_key(strategy, F.col("batch_date"))
+    per_split = parsed.groupBy(key.alias("batch_key"), *SEGMENT_COLUMNS).agg(
+        *_counts(), F.min("src_seq").alias("src_seq"))
     first_seen = F.min(F.struct(*ORDER_COLUMNS)).alias("first_seen")
-    per_key = parsed.groupBy(key.alias("batch_key")).agg(*_counts(), first_seen)
+    per_key = per_split.groupBy("batch_key").agg(
+        F.sum("total_records").cast("long").alias("total_records"),
+        F.sum("malformed_records").cast("long").alias("malformed_records"),
+        first_seen)
     order = Window.orderBy("first_seen")
     return _finish(per_key.withColumn("batch_sequence", F.row_number().over(order)))
 
