@@ -19,7 +19,7 @@ MONTH_NAMES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun",
                "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 # Request line is split on runs of whitespace into method / path / protocol.
-REQUEST_SPLIT_REGEX = r"\s+"  # applied as a character map, see parse._request_parts
+REQUEST_SPLIT_REGEX = r"\s+"
 
 # Bytes field: "-" means zero, otherwise a signed 64-bit integer.
 BYTES_DASH = "-"

@@ -7,7 +7,7 @@ Per line there is exactly one whole-line regex pass: a rewrite that lays the
 five groups out with delimiters the groups cannot contain.  A line that does
 not match comes back unchanged, and a rewritten line is always at least eight
 characters shorter (brackets, quotes, ident, user and separators go), so
-``length(rewritten) < length(line)`` is the full-match test.  The bracketed
+``octet_length(rewritten) < octet_length(line)`` is the full-match test.  The bracketed
 timestamp gets one short regex; the rest is substring arithmetic and character
 maps.  The parse is laid out as a few chained projections over named
 intermediate columns: each intermediate is computed once, and the generated
@@ -36,7 +36,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweave.constants import BYTES_DASH, LOG_LINE_REGEX, MONTH_NAMES
+from logweave.constants import (BYTES_DASH, LOG_LINE_REGEX, MONTH_NAMES,
+                                REQUEST_SPLIT_REGEX)
 from logweave.schemas import LOG_COLUMNS
 
 _MONTH_ALT = "|".join(MONTH_NAMES)
@@ -96,18 +97,25 @@ def _signed_long(token: Column) -> tuple[Column, Column]:
 
 
 def _request_parts(request: Column) -> Column:
-    """Java ``request.split("\\s+")`` without a regex.
+    """Method, path, protocol as Java ``request.split("\\s+")`` gives them.
 
-    Other whitespace becomes a space, the string is split on single spaces and
-    the empty pieces are removed; a leading separator keeps its empty first
-    element, as in Java (trailing ones are dropped, as in Java).
+    Common case - tokens separated by single spaces, no other whitespace, no
+    leading space: native substring scans, no regex and no per-character
+    allocation.  Anything else goes through Spark's regex split, whose first
+    three elements equal Java's (Spark keeps trailing empty strings, Java drops
+    them; a missing part is '' either way).
     """
-    spaced = F.translate(request, JAVA_WHITESPACE, " " * len(JAVA_WHITESPACE))
-    tokens = F.array_remove(F.split(spaced, " "), "")
-    leading = F.substring(spaced, 1, 1) == " "
-    return F.when(request == "", F.array(F.lit(""))) \
-            .when(leading, F.concat(F.array(F.lit("")), tokens)) \
-            .otherwise(tokens)
+    unusual = F.startswith(request, F.lit(" ")) | F.contains(request, F.lit("  "))
+    for ch in JAVA_WHITESPACE[1:]:
+        unusual = unusual | F.contains(request, F.lit(ch))
+    spaces = F.octet_length(request) - F.octet_length(F.replace(request, F.lit(" "), F.lit("")))
+
+    def token(i: int) -> Column:
+        piece = F.substring_index(F.substring_index(request, " ", i + 1), " ", -1)
+        return piece if i == 0 else F.when(spaces >= i, piece).otherwise(F.lit(""))
+
+    return F.when(unusual, F.split(request, REQUEST_SPLIT_REGEX)) \
+            .otherwise(F.array(token(0), token(1), token(2)))
 
 
 # -- stage builders (each returns {name: Column} over the previous stage) -----
@@ -117,7 +125,8 @@ def _stage_layout(line: Column) -> dict[str, Column]:
 
 
 def _stage_slices(line: Column, laid: Column) -> dict[str, Column]:
-    matched = F.length(laid) < F.length(line)
+    # byte lengths: O(1), and a rewrite drops at least eight characters
+    matched = F.octet_length(laid) < F.octet_length(line)
     ts = F.when(matched, F.substring_index(laid, "]", 1))
     after_ts = F.substring(laid, F.length(ts) + 2, _REST)
     return {"_ts": ts, "_after_ts": after_ts}

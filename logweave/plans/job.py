@@ -65,9 +65,14 @@ def select_queries(spec: str | Iterable[str] | None) -> tuple[str, ...]:
     return ordered or ALL_QUERIES
 
 
-def parse_for_staging(lines: DataFrame) -> DataFrame:
-    """Parsed rows plus batch date, the malformed line text and input position."""
-    with_date = lines.withColumn("batch_date", batch_date(F.col("line"))) \
+def parse_for_staging(lines: DataFrame, with_batch_date: bool = True) -> DataFrame:
+    """Parsed rows plus batch date, the malformed line text and input position.
+
+    ``with_batch_date=False`` leaves ``batch_date`` NULL: fixed-size batching
+    does not need it, and it is a second scan of every line.
+    """
+    date = batch_date(F.col("line")) if with_batch_date else F.lit(None).cast("date")
+    with_date = lines.withColumn("batch_date", date) \
                      .withColumn("raw_line", F.col("line"))
     parsed = parse_lines(with_date)
     return parsed.select(
@@ -125,7 +130,7 @@ def run_job(spark: SparkSession, paths: str | Sequence[str], strategy: str = "fi
 
     lines = read_log_lines(spark, paths, missing=missing)
     staged_path = staged_path or scratch_dir(spark, f"staged-{run_id}")
-    stage_parquet(parse_for_staging(lines), staged_path)
+    stage_parquet(parse_for_staging(lines, with_batch_date=strategy != "fixed"), staged_path)
     staged = spark.read.parquet(staged_path)
     timings["parse_stage"] = time.perf_counter() - t0
 

@@ -177,8 +177,15 @@ def stage_parquet(frame: DataFrame, path: str) -> str:
 
 
 def stage_tsv(valid: DataFrame, path: str) -> str:
-    """Valid parsed rows as plain TSV: no quoting, '' written as an empty field."""
-    (valid.select(*LOG_COLUMNS).write.mode("overwrite")
+    """Valid parsed rows as plain TSV: no quoting, '' written as an empty field.
+
+    Tabs in host and resource_path become spaces (P9).  The parser never
+    produces one - both are whitespace-free tokens - so this only guards rows
+    that come from elsewhere.
+    """
+    safe = {c: F.translate(F.col(c), "\t", " ") for c in ("host", "resource_path")}
+    (valid.select(*[safe.get(c, F.col(c)).alias(c) for c in LOG_COLUMNS])
+     .write.mode("overwrite")
      .option("sep", "\t").option("quote", "").option("escape", "")
      .option("emptyValue", "").option("nullValue", "\\N")
      .option("header", "false").csv(path))

@@ -87,3 +87,29 @@ def test_strategy_names():
     from logweave.functions.batchkeys import normalise_strategy
     assert [normalise_strategy(s) for s in ["MONTH", "monthly", "Week", "weekly", "x", None]] == [
         "monthly", "monthly", "weekly", "weekly", "fixed", "fixed"]
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    """Batches and queries are the same under other shuffle widths and split sizes."""
+    from logweave.operators.queries import DATAFRAME_QUERIES
+    from logweave.functions.parse import valid_rows
+
+    def snapshot():
+        staged = parse_for_staging(read_log_lines(spark, [fixture_log_dir(spark, SF_SMALL)]))
+        out = {s: sorted(map(tuple, batch_stats(staged, s, 37).collect()))
+               for s in ("fixed", "monthly", "weekly")}
+        logs = valid_rows(parse_lines(read_log_lines(spark, [fixture_log_dir(spark, SF_SMALL)])))
+        out.update({q: fn(logs).collect() for q, fn in DATAFRAME_QUERIES.items()})
+        return out
+
+    base = snapshot()
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+    try:
+        other = snapshot()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert other == base
