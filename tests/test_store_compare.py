@@ -97,3 +97,19 @@ def test_report_frames(runs):
     assert seqs == list(range(1, len(seqs) + 1))
     text = format_report(report)
     assert "== q3 ==" in text and "error_rate" in text
+
+
+def test_command_line_run_report_compare(spark, tmp_path, capsys):
+    from logweave.__main__ import main
+    folder = fixture_log_dir(spark, SF_SMALL)
+    store = str(tmp_path / "cli-store")
+    assert main(["run", "--store", store, "--strategy", "month", "--queries", "2",
+                 "--run-id", "cli_a", folder]) == 0
+    assert main(["run", "--store", store, "--variant", "sql", "--batch-size", "abc",
+                 "--run-id", "cli_b", folder]) == 0
+    out = capsys.readouterr().out
+    assert "cli_a" in out and "== q2 ==" in out
+    meta = {r.run_id: r for r in ResultStore(spark, store).run_metadata().collect()}
+    assert meta["cli_b"].batch_size == 10000 and meta["cli_a"].batch_strategy == "monthly"
+    assert main(["compare", "--store", store, "cli_a", "cli_b"]) == 0
+    assert main(["report", "--store", store, "cli_a"]) == 0
