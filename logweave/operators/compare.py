@@ -14,7 +14,7 @@ different values or present on one side only.
   plus the two runs' total / malformed line counts (R7).
 * ``compare_all_pairs`` (R6) every pair of the given runs that finished (have a
   run_metadata row).  Instead of a self-join per key, the stored rows of all
-  runs are pivoted on run_id (one row per key, one struct per run) and every
+  runs are pivoted on run_id (one row per key, the values of every run side by side) and every
   pair is evaluated as column expressions in a single aggregate per query.
 """
 
@@ -153,15 +153,20 @@ def compare_all_pairs(store: ResultStore, run_ids: Sequence[str],
         keys = RESULT_KEYS[q]
         values = COMPARE_VALUES[q]
         long = comparable(store.results(q).filter(F.col("run_id").isin(runs)), q, by_run=True)
+        # numeric first() per value keeps the pivot on hash aggregates
         wide = (long.groupBy(*keys).pivot("run_id", runs)
-                .agg(F.first(F.struct(*values))))
+                .agg(*[F.first(v).alias(v) for v in values]))
         stats = []
         for a, b in pairs:
-            sa, sb = F.col(f"`{a}`"), F.col(f"`{b}`")
+            def col(run, v):
+                return F.col(f"`{run}_{v}`")
+            same = reduce(lambda x, y: x & y,
+                          [col(a, v).eqNullSafe(col(b, v)) for v in values])
             stats.append(F.struct(
                 F.lit(a).alias("run_a"), F.lit(b).alias("run_b"), F.lit(q).alias("query"),
-                F.count(sa).alias("rows_a"), F.count(sb).alias("rows_b"),
-                F.count_if(~sa.eqNullSafe(sb)).alias("mismatched_rows")))
+                F.count(col(a, values[0])).alias("rows_a"),
+                F.count(col(b, values[0])).alias("rows_b"),
+                F.count_if(~same).alias("mismatched_rows")))
         agg = wide.agg(F.array(*stats).alias("pairs"))
         per_query.append(agg.select(F.inline("pairs")))
     out = reduce(DataFrame.unionByName, per_query)
