@@ -38,7 +38,7 @@ from logweave.schemas import LOG_COLUMNS  # noqa: E402
 from logweave.session import local_session, scratch_dir  # noqa: E402
 from logweave.sinks.store import ResultStore, stage_parquet  # noqa: E402
 from logweave.sources.fixtures import fixture_log_dir  # noqa: E402
-from logweave.sources.text import read_log_lines  # noqa: E402
+from logweave.sources.text import read_log_lines, rebalance_lines  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -62,7 +62,7 @@ def run_suite(spark, sf_dir):
     staged_path = scratch_dir(spark, "bench-staged")
 
     times["parse_stage"] = _timed(lambda: stage_parquet(
-        parse_for_staging(read_log_lines(spark, [logs_dir])), staged_path))
+        parse_for_staging(rebalance_lines(read_log_lines(spark, [logs_dir]))), staged_path))
     staged = spark.read.parquet(staged_path)
     valid = staged.filter(~F.col("is_malformed")).select(*LOG_COLUMNS)
 

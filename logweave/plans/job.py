@@ -34,7 +34,7 @@ from logweave.plans.sql import sql_query
 from logweave.schemas import LOG_COLUMNS
 from logweave.session import scratch_dir
 from logweave.sinks.store import ResultStore, stage_parquet
-from logweave.sources.text import ORDER_COLUMNS, read_log_lines
+from logweave.sources.text import ORDER_COLUMNS, read_log_lines, rebalance_lines
 
 VARIANTS = ("dataframe", "sql", "two_stage")
 STAGED_COLUMNS = LOG_COLUMNS + ["is_malformed", "batch_date", "malformed_line"] + ORDER_COLUMNS
@@ -128,7 +128,7 @@ def run_job(spark: SparkSession, paths: str | Sequence[str], strategy: str = "fi
     started_at = datetime.now()
     t0 = time.perf_counter()
 
-    lines = read_log_lines(spark, paths, missing=missing)
+    lines = rebalance_lines(read_log_lines(spark, paths, missing=missing))
     staged_path = staged_path or scratch_dir(spark, f"staged-{run_id}")
     stage_parquet(parse_for_staging(lines, with_batch_date=strategy != "fixed"), staged_path)
     staged = spark.read.parquet(staged_path)

@@ -67,6 +67,28 @@ def read_log_lines(spark: SparkSession, paths: str | Sequence[str],
     return reduce(DataFrame.unionAll, frames)
 
 
+# Hadoop codecs whose files cannot be split: one task reads the whole file.
+UNSPLITTABLE_SUFFIXES = (".gz", ".deflate", ".zst", ".lz4", ".snappy")
+
+
+def rebalance_lines(lines: DataFrame) -> DataFrame:
+    """Spread lines over the cluster when unsplittable files make the scan narrow.
+
+    A ``.gz`` file is one task, so a few large gzip logs would be parsed (and
+    staged) by a few cores.  When the scan has fewer partitions than the
+    default parallelism and reads compressed files, the lines are round-robin
+    repartitioned - after the position columns were taken at the scan, so
+    input order is unaffected.  Plain text is already split by size, and large
+    inputs have many splits: then nothing changes and no shuffle is added.
+    """
+    target = lines.sparkSession.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() >= target:
+        return lines
+    if not any(f.endswith(UNSPLITTABLE_SUFFIXES) for f in lines.inputFiles()):
+        return lines
+    return lines.repartition(target)
+
+
 def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     """The paths Spark can open (the CLI's up-front check)."""
     found = []

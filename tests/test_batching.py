@@ -113,3 +113,30 @@ def test_results_do_not_depend_on_partitioning(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert other == base
+
+
+def test_gzip_job_is_rebalanced_and_keeps_order(spark, tmp_path):
+    import gzip
+    from logweave.plans.job import run_job
+    from logweave.sources.text import rebalance_lines
+    folder = _local(fixture_log_dir(spark, SF_SMALL))
+    expected = _file_lines(folder)
+    gz = tmp_path / "all.log.gz"
+    with gzip.open(gz, "wb") as fh:
+        fh.write(("\n".join(expected) + "\n").encode("latin-1"))
+    lines = read_log_lines(spark, [str(gz)])
+    assert lines.rdd.getNumPartitions() == 1
+    assert rebalance_lines(lines).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    job = run_job(spark, [str(gz)], "fixed", 97)
+    got = [(r.batch_sequence, r.total_records, r.malformed_records)
+           for r in job.batches.orderBy("batch_sequence").collect()]
+    staged = parse_for_staging(read_log_lines(spark, [folder]))
+    want = [(r.batch_sequence, r.total_records, r.malformed_records)
+            for r in batch_stats(staged, "fixed", 97).orderBy("batch_sequence").collect()]
+    assert got == want and len(got) == 11
+
+
+def test_plain_text_is_not_rebalanced(spark):
+    from logweave.sources.text import rebalance_lines
+    lines = read_log_lines(spark, [fixture_log_dir(spark, SF_SMALL)])
+    assert rebalance_lines(lines) is lines
