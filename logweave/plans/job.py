@@ -37,7 +37,6 @@ from logweave.sinks.store import ResultStore, stage_parquet
 from logweave.sources.text import ORDER_COLUMNS, read_log_lines, rebalance_lines
 
 VARIANTS = ("dataframe", "sql", "two_stage")
-STAGED_COLUMNS = LOG_COLUMNS + ["is_malformed", "batch_date", "malformed_line"] + ORDER_COLUMNS
 
 
 def _decimal(value: float, step: str) -> Decimal:
