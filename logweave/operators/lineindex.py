@@ -7,10 +7,17 @@ prefix sum over the per-segment line counts.
 
 Cost: one aggregate over the lines (partial counts map-side, one row per
 segment shuffled), a prefix sum over the segment frame (one row per file
-split - about 800k rows for 100 TB at 128 MB splits), and a join back.  The
-segment frame is checkpointed to the shared checkpoint folder, counted, and
-broadcast only when it holds at most ``broadcast_max_segments`` rows;
-otherwise the join back is an ordinary shuffle join on the segment key.
+split - about 800k rows for 100 TB at 128 MB splits), and a map-side join back.
+
+The segment frame is checkpointed to the shared checkpoint folder and sized
+before it is broadcast.  Its join key replaces the file path by
+``xxhash64(path)`` (about 40 bytes a row instead of ~140): the hashed key is
+used only after checking that it is unique over the segment frame - every
+line's segment is in that frame, so a unique key makes the join exact.  Up to
+``BROADCAST_MAX_SEGMENTS`` rows (4M, some 500 TB of 128 MB splits) the frame
+is broadcast; with a hash collision the path itself is the key (broadcast up
+to ``BROADCAST_MAX_PATH_SEGMENTS``); beyond either limit the join back is an
+ordinary shuffle join on the segment key.
 """
 
 from __future__ import annotations
@@ -23,7 +30,9 @@ from pyspark.sql import functions as F
 from logweave.session import scratch_root
 from logweave.sources.text import SEGMENT_COLUMNS
 
-BROADCAST_MAX_SEGMENTS = 100_000
+BROADCAST_MAX_SEGMENTS = 4_000_000
+BROADCAST_MAX_PATH_SEGMENTS = 100_000
+_FILE_KEY = "seg_file_key"
 
 
 def segment_offsets(lines: DataFrame, segment_cols: Sequence[str] = SEGMENT_COLUMNS,
@@ -39,13 +48,33 @@ def segment_offsets(lines: DataFrame, segment_cols: Sequence[str] = SEGMENT_COLU
 
 def with_line_index(lines: DataFrame, segment_cols: Sequence[str] = SEGMENT_COLUMNS,
                     seq_col: str = "src_seq", index_col: str = "line_index",
-                    broadcast_max_segments: int = BROADCAST_MAX_SEGMENTS) -> DataFrame:
+                    broadcast_max_segments: int = BROADCAST_MAX_SEGMENTS,
+                    broadcast_max_path_segments: int = BROADCAST_MAX_PATH_SEGMENTS) -> DataFrame:
     """``lines`` plus a 0-based index in input order."""
     scratch_root(lines.sparkSession)            # make sure a checkpoint dir exists
-    offsets = segment_offsets(lines, segment_cols, seq_col).checkpoint(eager=True)
+    segment_cols = list(segment_cols)
+    offsets = segment_offsets(lines, segment_cols, seq_col)
+    hashed = "src_file" in segment_cols
+    if hashed:
+        offsets = offsets.withColumn(_FILE_KEY, F.xxhash64("src_file"))
+    offsets = offsets.checkpoint(eager=True)
     n_segments = offsets.count()
-    side = F.broadcast(offsets) if n_segments <= broadcast_max_segments else offsets
-    joined = lines.join(side, list(segment_cols), "inner")
+
+    if hashed:
+        hashed_cols = [_FILE_KEY if c == "src_file" else c for c in segment_cols]
+        unique = offsets.select(*hashed_cols).distinct().count() == n_segments
+        if unique and n_segments <= broadcast_max_segments:
+            side = F.broadcast(offsets.select(*hashed_cols, "seg_first", "seg_offset"))
+            keyed = lines.withColumn(_FILE_KEY, F.xxhash64("src_file"))
+            joined = keyed.join(side, hashed_cols, "inner").drop(_FILE_KEY)
+            return _finish(joined, seq_col, index_col)
+    small = n_segments <= broadcast_max_path_segments
+    side = offsets.select(*segment_cols, "seg_first", "seg_offset")
+    joined = lines.join(F.broadcast(side) if small else side, segment_cols, "inner")
+    return _finish(joined, seq_col, index_col)
+
+
+def _finish(joined: DataFrame, seq_col: str, index_col: str) -> DataFrame:
     return joined.withColumn(
         index_col, F.col("seg_offset") + F.col(seq_col) - F.col("seg_first")
-    ).drop("seg_lines", "seg_first", "seg_offset")
+    ).drop("seg_first", "seg_offset")

@@ -36,7 +36,8 @@ def test_line_index_is_input_order_across_files_and_splits(spark):
     try:
         lines = read_log_lines(spark, [folder])
         assert lines.select("src_file", "src_block").distinct().count() > 8
-        indexed = with_line_index(lines, broadcast_max_segments=0)   # shuffle-join path
+        indexed = with_line_index(lines, broadcast_max_segments=0,
+                                  broadcast_max_path_segments=0)   # shuffle-join path
         got = [r["line"] for r in indexed.orderBy("line_index").select("line").collect()]
         idx = [r["line_index"] for r in indexed.select("line_index").collect()]
     finally:
@@ -140,3 +141,17 @@ def test_plain_text_is_not_rebalanced(spark):
     from logweave.sources.text import rebalance_lines
     lines = read_log_lines(spark, [fixture_log_dir(spark, SF_SMALL)])
     assert rebalance_lines(lines) is lines
+
+
+def test_line_index_broadcast_paths_agree(spark):
+    folder = fixture_log_dir(spark, SF_SMALL)
+    lines = read_log_lines(spark, [folder])
+    variants = [with_line_index(lines),                                   # hashed key
+                with_line_index(lines, broadcast_max_segments=0),         # path key
+                with_line_index(lines, broadcast_max_segments=0,
+                                broadcast_max_path_segments=0)]           # shuffle join
+    results = [sorted((r.line_index, r.line) for r in v.select("line_index", "line").collect())
+               for v in variants]
+    assert results[0] == results[1] == results[2]
+    plan = variants[0]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
