@@ -120,6 +120,15 @@ def _request_parts(request: Column) -> Column:
 
 # -- stage builders (each returns {name: Column} over the previous stage) -----
 
+def _after(text: Column, head: Column) -> Column:
+    """``text`` after ``head`` and one delimiter character.
+
+    Sliced by bytes (a copy) rather than by character position, which would
+    walk every character; the delimiter is a one-byte ASCII character.
+    """
+    return F.substring(text.cast("binary"), F.octet_length(head) + 2, _REST).cast("string")
+
+
 def _stage_layout(line: Column) -> dict[str, Column]:
     return {"_laid": F.regexp_replace(line, LOG_LINE_REGEX, _REWRITE)}
 
@@ -128,13 +137,13 @@ def _stage_slices(line: Column, laid: Column) -> dict[str, Column]:
     # byte lengths: O(1), and a rewrite drops at least eight characters
     matched = F.octet_length(laid) < F.octet_length(line)
     ts = F.when(matched, F.substring_index(laid, "]", 1))
-    after_ts = F.substring(laid, F.length(ts) + 2, _REST)
+    after_ts = _after(laid, ts)
     return {"_ts": ts, "_after_ts": after_ts}
 
 
 def _stage_fields(ts: Column, after_ts: Column) -> dict[str, Column]:
     request = F.substring_index(after_ts, '"', 1)
-    tail = F.substring(after_ts, F.length(request) + 2, _REST)
+    tail = _after(after_ts, request)
     clock = F.substring_index(ts, ":", -3)          # "HH:mm:ss +hhmm"
     return {
         "_request": request,
