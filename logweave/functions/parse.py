@@ -207,25 +207,32 @@ def _stage_output(c) -> dict[str, Column]:
 
 
 def parse_lines(lines: DataFrame, line_col: str = "line",
-                keep: list[str] | None = None) -> DataFrame:
+                keep: list[str] | None = None,
+                malformed_line: str | None = None) -> DataFrame:
     """Add the parsed LOG_SCHEMA columns and ``is_malformed`` to raw lines.
 
     ``keep`` lists input columns carried through (default: all but the line).
+    ``malformed_line`` names an extra output column holding the raw text of
+    malformed lines only (NULL for valid ones, so valid text is not copied).
     """
     carried = [c for c in lines.columns if c != line_col] if keep is None else list(keep)
     line = F.col(line_col)
+    raw = [line_col] if malformed_line else []
 
     def step(frame: DataFrame, produced: dict[str, Column], passthrough: list[str]):
         return frame.select(*passthrough, *[col.alias(name) for name, col in produced.items()])
 
     s1 = step(lines, _stage_layout(line), carried + [line_col])
-    s2 = step(s1, _stage_slices(F.col(line_col), F.col("_laid")), carried)
-    s3 = step(s2, _stage_fields(F.col("_ts"), F.col("_after_ts")), carried + ["_ts"])
+    s2 = step(s1, _stage_slices(F.col(line_col), F.col("_laid")), carried + raw)
+    s3 = step(s2, _stage_fields(F.col("_ts"), F.col("_after_ts")), carried + raw + ["_ts"])
     fields = [c for c in s3.columns if c not in carried]
     s4 = step(s3, _stage_checks(F.col), carried + fields)
     out = _stage_output(F.col)
     names = carried + LOG_COLUMNS + ["is_malformed"]
     exprs = [F.col(c) for c in carried] + [out[n] for n in LOG_COLUMNS + ["is_malformed"]]
+    if malformed_line:
+        names.append(malformed_line)
+        exprs.append(F.when(~F.col("_valid"), F.col(line_col)))
     # Optimisation barrier: a filter on the parsed columns (valid rows, a
     # status, a date) is not pushed below a Generate, so it is evaluated on the
     # computed columns instead of being rewritten into the whole parse

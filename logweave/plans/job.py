@@ -71,13 +71,9 @@ def parse_for_staging(lines: DataFrame, with_batch_date: bool = True) -> DataFra
     does not need it, and it is a second scan of every line.
     """
     date = batch_date(F.col("line")) if with_batch_date else F.lit(None).cast("date")
-    with_date = lines.withColumn("batch_date", date) \
-                     .withColumn("raw_line", F.col("line"))
-    parsed = parse_lines(with_date)
-    return parsed.select(
-        *LOG_COLUMNS, "is_malformed", "batch_date",
-        F.when(F.col("is_malformed"), F.col("raw_line")).alias("malformed_line"),
-        *ORDER_COLUMNS)
+    parsed = parse_lines(lines.withColumn("batch_date", date), malformed_line="malformed_line")
+    return parsed.select(*LOG_COLUMNS, "is_malformed", "batch_date", "malformed_line",
+                         *ORDER_COLUMNS)
 
 
 def run_query(spark: SparkSession, logs: DataFrame, query: str, variant: str = "dataframe",
