@@ -92,6 +92,9 @@ def run_query(spark: SparkSession, logs: DataFrame, query: str, variant: str = "
 
 @dataclass
 class JobResult:
+    """One run.  ``staged`` holds every parsed line; its ``batch_date`` is NULL
+    for a fixed-size run (not needed there, so not computed)."""
+
     run_id: str
     pipeline_name: str
     strategy: str
