@@ -10,13 +10,19 @@ from the tables, without parsing a line.
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+# importable when this file is loaded by path from another working directory
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
 
-from logweave.functions.batchkeys import batch_date, calendar_key
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from logweave.functions.batchkeys import calendar_key
 from logweave.functions.parse import parse_lines, valid_rows
 from logweave.operators.batching import batch_stats, run_stats
 from logweave.operators.compare import (compare_all_pairs, compare_runs,
