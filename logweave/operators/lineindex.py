@@ -58,11 +58,14 @@ def with_line_index(lines: DataFrame, segment_cols: Sequence[str] = SEGMENT_COLU
     if hashed:
         offsets = offsets.withColumn(_FILE_KEY, F.xxhash64("src_file"))
     offsets = offsets.checkpoint(eager=True)
-    n_segments = offsets.count()
+    hashed_cols = [_FILE_KEY if c == "src_file" else c for c in segment_cols]
+    # one small job: the row count and whether the hashed key is unique
+    sizes = offsets.agg(F.count(F.lit(1)).alias("n"),
+                        F.count_distinct(*hashed_cols).alias("keys")).first()
+    n_segments = sizes["n"]
 
     if hashed:
-        hashed_cols = [_FILE_KEY if c == "src_file" else c for c in segment_cols]
-        unique = offsets.select(*hashed_cols).distinct().count() == n_segments
+        unique = sizes["keys"] == n_segments
         if unique and n_segments <= broadcast_max_segments:
             side = F.broadcast(offsets.select(*hashed_cols, "seg_first", "seg_offset"))
             keyed = lines.withColumn(_FILE_KEY, F.xxhash64("src_file"))
