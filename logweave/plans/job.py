@@ -119,6 +119,10 @@ def run_job(spark: SparkSession, paths: str | Sequence[str], strategy: str = "fi
             staged_path: str | None = None) -> JobResult:
     """Parse, stage, batch, query and (optionally) write one run."""
     strategy = normalise_strategy(strategy)
+    if strategy == "fixed" and int(batch_size) <= 0:
+        raise ValueError("batch_size must be positive")
+    if variant not in VARIANTS:
+        raise ValueError(f"unknown variant {variant!r}; expected one of {VARIANTS}")
     selected = select_queries(queries)
     pipeline_name = pipeline_name or variant
     run_id = run_id or f"{pipeline_name}_{uuid.uuid4().hex[:8]}"

@@ -71,3 +71,12 @@ def test_sql_variant_runs_on_a_named_view(spark):
     logs = _logs(spark)
     a = run_query(spark, logs, "q1", "sql").collect()
     assert a == DATAFRAME_QUERIES["q1"](logs).collect()
+
+
+def test_job_rejects_bad_settings_before_reading(spark):
+    import pytest
+    from logweave.plans.job import run_job
+    with pytest.raises(ValueError):
+        run_job(spark, ["/nonexistent"], "fixed", 0)
+    with pytest.raises(ValueError):
+        run_job(spark, ["/nonexistent"], "monthly", variant="pig")
