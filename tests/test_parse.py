@@ -147,3 +147,12 @@ def test_latin1_gzip_and_missing_files(spark, tmp_path):
     assert [r["src_ordinal"] for r in rows] == [0, 2]
     with pytest.raises(FileNotFoundError):
         read_log_lines(spark, [plain, str(tmp_path / "missing.log")], missing="fail")
+
+
+def test_crlf_and_cr_line_endings(spark, tmp_path):
+    good = 'h - - [01/Jul/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 5'
+    path = tmp_path / "crlf.log"
+    path.write_bytes((good + "\r\n" + good + "\r" + good + "\n" + "\r\n").encode("latin-1"))
+    rows = parse_lines(read_log_lines(spark, [str(path)])).collect()
+    # Java readLine: CRLF, CR and LF all end a line; the last CRLF gives one empty line
+    assert [r.is_malformed for r in sorted(rows, key=lambda r: r.src_seq)] == [False, False, False, True]
