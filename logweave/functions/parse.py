@@ -111,8 +111,10 @@ def _request_parts(request: Column) -> Column:
     spaces = F.octet_length(request) - F.octet_length(F.replace(request, F.lit(" "), F.lit("")))
 
     def token(i: int) -> Column:
+        if i == 0:
+            return F.substring_index(request, " ", 1)
         piece = F.substring_index(F.substring_index(request, " ", i + 1), " ", -1)
-        return piece if i == 0 else F.when(spaces >= i, piece).otherwise(F.lit(""))
+        return F.when(spaces >= i, piece).otherwise(F.lit(""))
 
     return F.when(unusual, F.split(request, REQUEST_SPLIT_REGEX)) \
             .otherwise(F.array(token(0), token(1), token(2)))
@@ -143,13 +145,18 @@ def _stage_slices(line: Column, laid: Column) -> dict[str, Column]:
 
 def _stage_fields(ts: Column, after_ts: Column) -> dict[str, Column]:
     request = F.substring_index(after_ts, '"', 1)
-    tail = _after(after_ts, request)
+    tail = _after(after_ts, request)                # "host status bytes"
+    host = F.substring_index(tail, " ", 1)
+    # status is exactly three ASCII digits after "host ", bytes follow "status "
+    tail_bytes = tail.cast("binary")
+    status = F.substring(tail_bytes, F.octet_length(host) + 2, 3).cast("string")
+    size = F.substring(tail_bytes, F.octet_length(host) + 6, _REST).cast("string")
     clock = F.substring_index(ts, ":", -3)          # "HH:mm:ss +hhmm"
     return {
         "_request": request,
-        "_host": F.substring_index(tail, " ", 1),
-        "_status": F.substring_index(F.substring_index(tail, " ", 2), " ", -1),
-        "_bytes": F.substring_index(tail, " ", -1),
+        "_host": host,
+        "_status": status,
+        "_bytes": size,
         "_ts_shape": F.coalesce(ts.rlike(TIMESTAMP_REGEX), F.lit(False)),
         "_day": _int(F.substring(ts, 1, 2)),
         "_month": _month_number(F.substring(ts, 4, 3)),
