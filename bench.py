@@ -45,6 +45,14 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 WARMUP_DIR = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
 
 
+def _sf_number(sf_dir: str):
+    text = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(text)
+    except ValueError:
+        return text
+
+
 def _timed(fn):
     t = time.perf_counter()
     fn()
@@ -103,7 +111,7 @@ def main():
         "value": round(sum(times[k] for k in headline), 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
-        "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""),
+        "sf": _sf_number(SF_DIR),
         "log_lines": rows,
         "lines_per_sec_parse_stage": round(rows / times["parse_stage"], 1),
         "warmup_sec": round(warmup, 3),
