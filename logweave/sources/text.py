@@ -5,8 +5,8 @@
 columns that fix its position in the input without a global sort:
 
 * ``src_ordinal``  position of its path in the given list,
-* ``src_file``     the file it came from (a directory path expands to its
-  files, taken in name order),
+* ``src_file``     the file it came from (``input_file_name()``; a directory
+  path expands to its files, taken in name order),
 * ``src_block``    start offset of the file split it was read from,
 * ``src_seq``      ``monotonically_increasing_id()``: consecutive inside one
   split because a split is never divided between tasks.
@@ -35,36 +35,69 @@ def decode_latin1(value_col: str = "value"):
     return F.decode(F.col(value_col).cast("binary"), LINE_ENCODING)
 
 
+UNION_MAX_PATHS = 16
+BROADCAST_MAX_FILES = 200_000
+
+
+def _lines_of(raw: DataFrame, file_col) -> list:
+    return [decode_latin1().alias("line"), file_col.alias("src_file"),
+            F.col("_metadata.file_block_start").alias("src_block"),
+            F.monotonically_increasing_id().alias("src_seq")]
+
+
 def read_log_lines(spark: SparkSession, paths: str | Sequence[str],
                    missing: str = "skip") -> DataFrame:
     """Lines of the given logs, in input order, with position columns.
 
     ``missing='skip'`` leaves out paths that do not exist (the batch iterators'
     behaviour); ``missing='fail'`` raises ``FileNotFoundError`` (the CLI's).
+
+    Up to ``UNION_MAX_PATHS`` paths are read as one scan each (a union).  A
+    longer list is read as a single scan over all its files - small files are
+    packed into shared tasks and the plan stays one scan wide - with each
+    file's list position attached through a broadcast (file -> position) table
+    of checked size.  A file named twice is read twice, as the reference
+    does, which only the union form can express; such a list stays a union.
     """
     if isinstance(paths, str):
         paths = [paths]
     if missing not in ("skip", "fail"):
         raise ValueError("missing must be 'skip' or 'fail'")
-    frames = []
+    found = []
     for ordinal, path in enumerate(paths):
         try:
-            raw = spark.read.text(path)
+            found.append((ordinal, path, spark.read.text(path)))
         except AnalysisException as exc:
             if missing == "fail":
                 raise FileNotFoundError(path) from exc
-            continue
-        frames.append(raw.select(
-            decode_latin1().alias("line"),
-            F.lit(ordinal).cast("int").alias("src_ordinal"),
-            F.col("_metadata.file_path").alias("src_file"),
-            F.col("_metadata.file_block_start").alias("src_block"),
-            F.monotonically_increasing_id().alias("src_seq"),
-        ))
-    if not frames:
+    if not found:
         return spark.createDataFrame(
             [], "line string, src_ordinal int, src_file string, src_block long, src_seq long")
-    return reduce(DataFrame.unionAll, frames)
+    if len(found) > UNION_MAX_PATHS:
+        owner: dict[str, int] = {}
+        repeated = False
+        for ordinal, _, raw in found:
+            for name in raw.inputFiles():
+                repeated = repeated or name in owner
+                owner.setdefault(name, ordinal)
+        if not repeated:
+            return _single_scan(spark, [path for _, path, _ in found], owner)
+    frames = [raw.select(F.lit(ordinal).cast("int").alias("src_ordinal"),
+                         *_lines_of(raw, F.input_file_name()))
+              for ordinal, _, raw in found]
+    return reduce(DataFrame.unionAll, frames).select(
+        "line", "src_ordinal", "src_file", "src_block", "src_seq")
+
+
+def _single_scan(spark: SparkSession, paths: list[str], owner: dict[str, int]) -> DataFrame:
+    """One scan over ``paths``; ``owner`` maps each file (as ``inputFiles()``
+    and ``input_file_name()`` spell it) to its position in the list."""
+    raw = spark.read.text(paths)
+    lines = raw.select(*_lines_of(raw, F.input_file_name()))
+    positions = spark.createDataFrame(sorted(owner.items()), "src_file string, src_ordinal int")
+    side = F.broadcast(positions) if len(owner) <= BROADCAST_MAX_FILES else positions
+    return lines.join(side, "src_file", "inner").select(
+        "line", "src_ordinal", "src_file", "src_block", "src_seq")
 
 
 # Hadoop codecs whose files cannot be split: one task reads the whole file.
