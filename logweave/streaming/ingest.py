@@ -52,8 +52,11 @@ def _process(parsed_path: str, batches_path: str):
         lines = batch.select(decode_latin1().alias("line"))
         parsed = parse_lines(lines.withColumn("batch_date", batch_date(F.col("line"))))
         out = parsed.select(*LOG_COLUMNS, "is_malformed", "batch_date")
-        out.write.mode("overwrite").parquet(f"{parsed_path}/batch_epoch={epoch_id}")
-        stats = out.agg(F.count(F.lit(1)).alias("total_records"),
+        epoch_path = f"{parsed_path}/batch_epoch={epoch_id}"
+        out.write.mode("overwrite").parquet(epoch_path)
+        # counts from the written rows: the batch is parsed once
+        written = batch.sparkSession.read.parquet(epoch_path)
+        stats = written.agg(F.count(F.lit(1)).alias("total_records"),
                         F.count_if(~F.col("is_malformed")).alias("valid_records"),
                         F.count_if(F.col("is_malformed")).alias("malformed_records"))
         stats.write.mode("overwrite").parquet(f"{batches_path}/batch_epoch={epoch_id}")
