@@ -113,3 +113,21 @@ def test_command_line_run_report_compare(spark, tmp_path, capsys):
     assert meta["cli_b"].batch_size == 10000 and meta["cli_a"].batch_strategy == "monthly"
     assert main(["compare", "--store", store, "cli_a", "cli_b"]) == 0
     assert main(["report", "--store", store, "cli_a"]) == 0
+
+
+def test_display_and_sink_widths(spark, tmp_path):
+    from logweave.functions.display import display_path, display_rate, sink_path
+    long_path = "/" + "a" * 49
+    row = spark.createDataFrame([(long_path, "/short", 0.123456789)], "p string, s string, r double") \
+        .select(display_path(F.col("p")).alias("p"), display_path(F.col("s")).alias("s"),
+                display_rate(F.col("r")).alias("r"), sink_path(F.lit("/" + "x" * 600)).alias("k")) \
+        .first()
+    assert row.p == long_path[:44] + "..." and len(row.p) == 47
+    assert row.s == "/short" and row.r == 0.1235 and len(row.k) == 512
+    store = ResultStore(spark, str(tmp_path / "wide"))
+    frame = spark.createDataFrame([("/" + "y" * 700, 1, 2, 1)],
+                                  "resource_path string, request_count long, total_bytes long, "
+                                  "distinct_host_count long")
+    store.write_results("q2", frame, "dataframe", "wide_run", 1, dt.datetime(2024, 1, 1))
+    stored = store.results("q2", "wide_run").first()
+    assert len(stored.resource_path) == 512 and stored.batch_id == 1
