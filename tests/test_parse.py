@@ -124,6 +124,9 @@ BATCH_KEY_CASES = [
     ("h - - [] empty", "__malformed__", "__malformed__"),
     ("h - - [01/JUL/1995:00:00:01 -0400]", "__malformed__", "__malformed__"),
     ("h - - [:01/Jul/1995]", "__malformed__", "__malformed__"),
+    # a valid line whose host holds '[': the key's first-bracket rule finds no date
+    ('a[b - - [01/Jul/1995:00:00:01 -0400] "GET / HTTP/1.0" 200 5', "__malformed__",
+     "__malformed__"),
 ]
 
 
