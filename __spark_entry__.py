@@ -369,8 +369,8 @@ _MALFORMED_LINE = """CASE WHEN no_date THEN 'garbage ' || CAST(eid AS VARCHAR)
 def _batches(key_sql: str) -> str:
     return f"""SELECT CAST(row_number() OVER (ORDER BY min(eid)) AS INTEGER) AS batch_sequence,
        batch_key, count(*) AS total_records,
-       count(*) - count_if(is_malformed) AS valid_records,
-       count_if(is_malformed) AS malformed_records
+       count(*) - CAST(count_if(is_malformed) AS BIGINT) AS valid_records,
+       CAST(count_if(is_malformed) AS BIGINT) AS malformed_records
 FROM (SELECT eid, is_malformed, {key_sql} AS batch_key FROM lg) k
 GROUP BY batch_key"""
 
@@ -379,8 +379,9 @@ _MONTH_KEY = "CASE WHEN no_date THEN '__malformed__' ELSE strftime(t, '%Y-%m') E
 _WEEK_KEY = "CASE WHEN no_date THEN '__malformed__' ELSE strftime(t, '%G-W%V') END"
 
 _FIXED = f"""SELECT CAST(b AS INTEGER) AS batch_sequence, 'batch_' || CAST(b AS VARCHAR) AS batch_key,
-       count(*) AS total_records, count(*) - count_if(is_malformed) AS valid_records,
-       count_if(is_malformed) AS malformed_records
+       count(*) AS total_records,
+       count(*) - CAST(count_if(is_malformed) AS BIGINT) AS valid_records,
+       CAST(count_if(is_malformed) AS BIGINT) AS malformed_records
 FROM (SELECT (row_number() OVER (ORDER BY eid) - 1) // {FIXED_BATCH} + 1 AS b, is_malformed
       FROM lg) f
 GROUP BY b"""
@@ -433,7 +434,7 @@ def oracle_sql() -> dict[str, str]:
         variant = name[len(RUN_PREFIX) + 1:]
         meta_rows.append(f"""SELECT '{name}' AS run_id, '{variant}' AS pipeline_name,
        'fixed' AS batch_strategy, CAST({FIXED_BATCH} AS BIGINT) AS batch_size,
-       count(*) AS total_records, count_if(is_malformed) AS malformed_records,
+       count(*) AS total_records, CAST(count_if(is_malformed) AS BIGINT) AS malformed_records,
        CAST(ceil(count(*) / {FIXED_BATCH}.0) AS BIGINT) AS num_batches,
        CAST(count(*) / ceil(count(*) / {FIXED_BATCH}.0) AS DECIMAL(10,2)) AS avg_batch_size
 FROM lg""")
@@ -441,11 +442,12 @@ FROM lg""")
         "parse_valid_rows": e + "SELECT * FROM logs",
         "parse_malformed_rows": e + f"SELECT {_MALFORMED_LINE} AS line FROM lg WHERE is_malformed",
         "parse_status_counts": e + """SELECT count(*) AS total_lines,
-       count_if(NOT is_malformed) AS valid_lines, count_if(is_malformed) AS malformed_lines FROM lg""",
+       CAST(count_if(NOT is_malformed) AS BIGINT) AS valid_lines,
+       CAST(count_if(is_malformed) AS BIGINT) AS malformed_lines FROM lg""",
         "request_parts": o + """SELECT http_method, resource_path, protocol_version,
        count(*) AS request_count FROM logs GROUP BY ALL""",
         "bytes_normalised": e + """SELECT status_code, count(*) AS request_count,
-       count_if(bytes_transferred = 0) AS zero_byte_requests,
+       CAST(count_if(bytes_transferred = 0) AS BIGINT) AS zero_byte_requests,
        CAST(sum(bytes_transferred) AS BIGINT) AS total_bytes,
        min(bytes_transferred) AS min_bytes, max(bytes_transferred) AS max_bytes
 FROM logs GROUP BY status_code""",
@@ -501,9 +503,9 @@ FROM ({_Q3}) q ORDER BY log_date, log_hour LIMIT 20""",
        count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS mismatched_rows,
        true AS matched,
        (SELECT count(*) FROM lg) AS a_total_records,
-       (SELECT count_if(is_malformed) FROM lg) AS a_malformed_records,
+       (SELECT CAST(count_if(is_malformed) AS BIGINT) FROM lg) AS a_malformed_records,
        (SELECT count(*) FROM lg) AS b_total_records,
-       (SELECT count_if(is_malformed) FROM lg) AS b_malformed_records
+       (SELECT CAST(count_if(is_malformed) AS BIGINT) FROM lg) AS b_malformed_records
 FROM ({base}) x""" for q, base in (("q1", _Q1), ("q2", _Q2), ("q3", _Q3))),
         "compare_all_pairs": _all_pairs_sql(),
         "selected_queries_job": e + f"""SELECT 'q1' AS query, count(*) AS result_rows FROM ({_Q1}) a
