@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 
 from logweave.constants import DEFAULT_BATCH_SIZE
 from logweave.operators.compare import (compare_all_pairs, compare_runs,
-                                        diff_examples)
+                                        compare_summary, diff_examples)
 from logweave.plans.job import VARIANTS, run_all, run_job
 from logweave.plans.report import format_report, run_report
 from logweave.sinks.store import ResultStore
@@ -70,6 +70,7 @@ def _session() -> SparkSession:
 def _print_comparison(store: ResultStore, run_ids: list[str]) -> None:
     compare_all_pairs(store, run_ids).show(truncate=False)
     if len(run_ids) == 2:
+        compare_summary(store, run_ids[0], run_ids[1]).show(truncate=False)
         for q in ("q1", "q2", "q3"):
             diffs = diff_examples(compare_runs(store, run_ids[0], run_ids[1], q), q)
             if diffs.take(1):

@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,11 +106,21 @@ def _table(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+        return True
+    except AnalysisException:
+        return False
+
+
 def fixture_log_dir(spark: SparkSession, sf_dir: str, table: str = "events",
                     num_files: int = 4, compression: str | None = None) -> str:
     """Folder of log files derived from ``table`` (written once per session)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), table,
            num_files, compression)
+    if key in _FIXTURE_DIRS and not _readable(spark, _FIXTURE_DIRS[key]):
+        del _FIXTURE_DIRS[key]              # the scratch folder was cleaned up
     if key not in _FIXTURE_DIRS:
         source = spark.read.parquet(_table(sf_dir, table))
         if table == "events":
