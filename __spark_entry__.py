@@ -204,6 +204,16 @@ def _compare(query):
     return run
 
 
+def q_compare_q1_mixed_inputs(spark, sf_dir):
+    """Run A reads the events logs, run B the events and orders logs: Q1 keys of
+    the events match, the orders' (disjoint dates) are only in B."""
+    store = ResultStore(spark, scratch_dir(spark, "mixed-store"))
+    events, orders = fixture_log_dir(spark, sf_dir), fixture_log_dir(spark, sf_dir, "orders")
+    run_job(spark, [events], "monthly", queries="1", store=store, run_id="events_only")
+    run_job(spark, [events, orders], "monthly", queries="1", store=store, run_id="both")
+    return compare_runs(store, "events_only", "both", "q1")
+
+
 def q_compare_summary(spark, sf_dir):
     store, runs = _store_runs(spark, sf_dir)
     return compare_summary(store, runs[0], runs[2])
@@ -271,6 +281,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "compare_q1": _compare("q1"),
         "compare_q2": _compare("q2"),
         "compare_q3": _compare("q3"),
+        "compare_q1_mixed_inputs": q_compare_q1_mixed_inputs,
         "compare_summary": q_compare_summary,
         "compare_all_pairs": q_compare_all_pairs,
         "selected_queries_job": q_selected_queries_job,
@@ -426,6 +437,21 @@ def _all_pairs_sql() -> str:
     return _EVENTS + "\nUNION ALL\n".join(rows)
 
 
+def _mixed_inputs_sql() -> str:
+    """Both CTE chains in one statement (orders' CTEs renamed)."""
+    orders = (_ORDERS.replace("WITH od AS", ", od AS").replace("lg AS", "lg_o AS")
+              .replace("FROM lg WHERE", "FROM lg_o WHERE").replace("logs AS", "logs_o AS"))
+    q1_o = _Q1.replace("FROM logs", "FROM logs_o")
+    return _EVENTS + orders + f"""
+SELECT log_date, status_code, request_count AS a_request_count, total_bytes AS a_total_bytes,
+       request_count AS b_request_count, total_bytes AS b_total_bytes, 'match' AS outcome
+FROM ({_Q1}) e
+UNION ALL
+SELECT log_date, status_code, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
+       request_count, total_bytes, 'only_b'
+FROM ({q1_o}) o"""
+
+
 def oracle_sql() -> dict[str, str]:
     e, o = _EVENTS, _ORDERS
     run_a = _runs()[0]
@@ -498,6 +524,7 @@ FROM ({_Q3}) q ORDER BY log_date, log_hour LIMIT 20""",
         "compare_q3": e + _compare_sql(_Q3_COMPARE, ["log_date", "log_hour"],
                                        ["error_request_count", "total_request_count",
                                         "error_rate", "distinct_error_hosts"]),
+        "compare_q1_mixed_inputs": _mixed_inputs_sql(),
         "compare_summary": e + "\nUNION ALL\n".join(
             f"""SELECT '{_runs()[0]}' AS run_a, '{_runs()[2]}' AS run_b, '{q}' AS query,
        count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS mismatched_rows,
