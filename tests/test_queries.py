@@ -80,3 +80,29 @@ def test_job_rejects_bad_settings_before_reading(spark):
         run_job(spark, ["/nonexistent"], "fixed", 0)
     with pytest.raises(ValueError):
         run_job(spark, ["/nonexistent"], "monthly", variant="pig")
+
+
+def test_hot_path_with_a_third_of_all_rows(spark):
+    """One path holds a third of the rows (spread over many hosts): exact results."""
+    import collections
+    d = dt.date(1995, 7, 1)
+    rows = []
+    for i in range(3000):
+        path = "/hot" if i % 3 == 0 else f"/p{i % 97}"
+        status = 404 if i % 7 == 0 else 200
+        rows.append((f"h{i % 211}", "t", d, i % 24, "GET", path, "", status, i % 13))
+    logs = _frame(spark, rows).repartition(8)
+    want_n = collections.Counter(r[5] for r in rows)
+    want_hosts = {p: len({r[0] for r in rows if r[5] == p}) for p in want_n}
+    for fn in (DATAFRAME_QUERIES["q2"], TWO_STAGE_QUERIES["q2"]):
+        out = fn(logs).collect()
+        assert out[0].resource_path == "/hot" and out[0].request_count == 1000
+        for r in out:
+            assert r.request_count == want_n[r.resource_path]
+            assert r.distinct_host_count == want_hosts[r.resource_path]
+    errs = [r for r in rows if r[7] == 404]
+    q3 = {(r.log_hour): r for r in DATAFRAME_QUERIES["q3"](logs).collect()}
+    for h in range(24):
+        hour_errs = [r for r in errs if r[3] == h]
+        assert q3[h].error_request_count == len(hour_errs)
+        assert q3[h].distinct_error_hosts == len({r[0] for r in hour_errs})
