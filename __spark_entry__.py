@@ -114,8 +114,8 @@ def q_bytes_normalised(spark, sf_dir):
 
 def _sql_variant(query):
     def run(spark, sf_dir):
-        _logs(spark, sf_dir).createOrReplaceTempView("nasa_logs")
-        return sql_query(spark, query, "nasa_logs")
+        _logs(spark, sf_dir).createOrReplaceTempView("access_logs")
+        return sql_query(spark, query, "access_logs")
     return run
 
 
@@ -154,8 +154,8 @@ def q_stage_parquet_roundtrip(spark, sf_dir):
 
 def q_external_table_scan(spark, sf_dir):
     path = stage_tsv(_logs(spark, sf_dir), scratch_dir(spark, "stage-ext"))
-    register_external_table(spark, path, "nasa_logs_ext")
-    return spark.sql("SELECT * FROM nasa_logs_ext")
+    register_external_table(spark, path, "access_logs_ext")
+    return spark.sql("SELECT * FROM access_logs_ext")
 
 
 def q_query_output_roundtrip(spark, sf_dir):

@@ -84,7 +84,7 @@ def run_query(spark: SparkSession, logs: DataFrame, query: str, variant: str = "
     if variant == "two_stage":
         return TWO_STAGE_QUERIES[query](logs)
     if variant == "sql":
-        view = view or f"nasa_logs_{uuid.uuid4().hex[:8]}"
+        view = view or f"access_logs_{uuid.uuid4().hex[:8]}"
         logs.createOrReplaceTempView(view)
         return sql_query(spark, query, view)
     raise ValueError(f"unknown variant {variant!r}; expected one of {VARIANTS}")

@@ -1,6 +1,6 @@
 """SQL formulation of the three queries (the HiveQL / Pig form, F1-F2).
 
-The queries read a view (default ``nasa_logs``) in the LOG_SCHEMA layout.
+The queries read a view (default ``access_logs``) in the LOG_SCHEMA layout.
 Catalyst turns these into the same physical plans as the DataFrame variant.
 """
 
@@ -58,5 +58,5 @@ ORDER BY log_date ASC, log_hour ASC
 }
 
 
-def sql_query(spark: SparkSession, query: str, view: str = "nasa_logs") -> DataFrame:
+def sql_query(spark: SparkSession, query: str, view: str = "access_logs") -> DataFrame:
     return spark.sql(SQL_TEXT[query].format(view=view))

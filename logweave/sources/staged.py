@@ -56,7 +56,7 @@ def read_staged_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def register_external_table(spark: SparkSession, path: str, name: str = "nasa_logs",
+def register_external_table(spark: SparkSession, path: str, name: str = "access_logs",
                             fmt: str = "tsv") -> DataFrame:
     """Drop and re-create a table over a staged directory.
 

@@ -19,11 +19,11 @@ def _logs(spark):
 
 def test_variants_agree(spark):
     logs = _logs(spark)
-    logs.createOrReplaceTempView("nasa_logs_t")
+    logs.createOrReplaceTempView("access_logs_t")
     for q in ("q1", "q2", "q3"):
         a = DATAFRAME_QUERIES[q](logs).collect()
         b = TWO_STAGE_QUERIES[q](logs).collect()
-        c = sql_query(spark, q, "nasa_logs_t").collect()
+        c = sql_query(spark, q, "access_logs_t").collect()
         assert a == b == c, q          # same rows in the same order
 
 
