@@ -462,7 +462,7 @@ def oracle_sql() -> dict[str, str]:
        'fixed' AS batch_strategy, CAST({FIXED_BATCH} AS BIGINT) AS batch_size,
        count(*) AS total_records, CAST(count_if(is_malformed) AS BIGINT) AS malformed_records,
        CAST(ceil(count(*) / {FIXED_BATCH}.0) AS BIGINT) AS num_batches,
-       CAST(count(*) / ceil(count(*) / {FIXED_BATCH}.0) AS DECIMAL(10,2)) AS avg_batch_size
+       CAST(count(*) / ceil(count(*) / {FIXED_BATCH}.0) AS DECIMAL(20,2)) AS avg_batch_size
 FROM lg""")
     return {
         "parse_valid_rows": e + "SELECT * FROM logs",

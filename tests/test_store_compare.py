@@ -131,3 +131,15 @@ def test_display_and_sink_widths(spark, tmp_path):
     store.write_results("q2", frame, "dataframe", "wide_run", 1, dt.datetime(2024, 1, 1))
     stored = store.results("q2", "wide_run").first()
     assert len(stored.resource_path) == 512 and stored.batch_id == 1
+
+
+def test_run_metadata_holds_very_large_batches(spark, tmp_path):
+    from decimal import Decimal
+    store = ResultStore(spark, str(tmp_path / "big-meta"))
+    now = dt.datetime(2024, 1, 1)
+    row = dict(run_id="huge", pipeline_name="dataframe", batch_strategy="monthly",
+               batch_size=10000, total_records=10**12, malformed_records=5, num_batches=12,
+               avg_batch_size=Decimal("83333333333.33"), runtime_seconds=Decimal("1.000"),
+               started_at=now, completed_at=now)
+    store.write_run_metadata(row)
+    assert store.run_metadata("huge").first().avg_batch_size == Decimal("83333333333.33")
