@@ -378,7 +378,7 @@ _MALFORMED_LINE = """CASE WHEN no_date THEN 'garbage ' || CAST(eid AS VARCHAR)
 
 
 def _batches(key_sql: str) -> str:
-    return f"""SELECT CAST(row_number() OVER (ORDER BY min(eid)) AS INTEGER) AS batch_sequence,
+    return f"""SELECT CAST(row_number() OVER (ORDER BY min(eid)) AS BIGINT) AS batch_sequence,
        batch_key, count(*) AS total_records,
        count(*) - CAST(count_if(is_malformed) AS BIGINT) AS valid_records,
        CAST(count_if(is_malformed) AS BIGINT) AS malformed_records
@@ -389,7 +389,7 @@ GROUP BY batch_key"""
 _MONTH_KEY = "CASE WHEN no_date THEN '__malformed__' ELSE strftime(t, '%Y-%m') END"
 _WEEK_KEY = "CASE WHEN no_date THEN '__malformed__' ELSE strftime(t, '%G-W%V') END"
 
-_FIXED = f"""SELECT CAST(b AS INTEGER) AS batch_sequence, 'batch_' || CAST(b AS VARCHAR) AS batch_key,
+_FIXED = f"""SELECT CAST(b AS BIGINT) AS batch_sequence, 'batch_' || CAST(b AS VARCHAR) AS batch_key,
        count(*) AS total_records,
        count(*) - CAST(count_if(is_malformed) AS BIGINT) AS valid_records,
        CAST(count_if(is_malformed) AS BIGINT) AS malformed_records
@@ -407,7 +407,7 @@ def _run_stats_row(strategy: str, batch_size: int, batches_sql: str) -> str:
 FROM ({batches_sql}) s"""
 
 
-_NUM_FIXED_BATCHES = f"(SELECT CAST(ceil(count(*) / {FIXED_BATCH}.0) AS INTEGER) FROM lg)"
+_NUM_FIXED_BATCHES = f"(SELECT CAST(ceil(count(*) / {FIXED_BATCH}.0) AS BIGINT) FROM lg)"
 
 
 def _compare_sql(base: str, keys: list[str], values: list[str]) -> str:

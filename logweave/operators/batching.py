@@ -35,7 +35,7 @@ def _counts():
 
 def _finish(frame: DataFrame) -> DataFrame:
     return frame.select(
-        F.col("batch_sequence").cast("int").alias("batch_sequence"),
+        F.col("batch_sequence").cast("long").alias("batch_sequence"),
         "batch_key",
         "total_records",
         (F.col("total_records") - F.col("malformed_records")).alias("valid_records"),

@@ -47,7 +47,7 @@ RESULT_KEYS = {"q1": ["log_date", "status_code"],
 RUN_TAG_SCHEMA = StructType([
     StructField("pipeline_name", StringType()),
     StructField("run_id", StringType()),
-    StructField("batch_id", IntegerType()),
+    StructField("batch_id", LongType()),
     StructField("execution_time", TimestampType()),
 ])
 
@@ -70,7 +70,7 @@ RUN_METADATA_SCHEMA = StructType([
 BATCH_METADATA_SCHEMA = StructType([
     StructField("run_id", StringType()),
     StructField("pipeline_name", StringType()),
-    StructField("batch_sequence", IntegerType()),
+    StructField("batch_sequence", LongType()),
     StructField("batch_key", StringType()),
     StructField("batch_strategy", StringType()),
     StructField("total_records", LongType()),

@@ -133,7 +133,7 @@ class ResultStore:
                       batch_id: int, execution_time: datetime) -> None:
         """K4: one run's rows of one query (resource_path cut to the column width)."""
         tagged = frame.select(
-            F.lit(int(batch_id)).cast("int").alias("batch_id"),
+            F.lit(int(batch_id)).cast("long").alias("batch_id"),
             F.lit(execution_time).cast("timestamp").alias("execution_time"),
             *[(sink_path(F.col(c)) if c == "resource_path" else F.col(c)).alias(c)
               for c in _RESULT_SCHEMAS[query].fieldNames()])

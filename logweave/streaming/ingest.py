@@ -40,7 +40,7 @@ class StreamResult:
     def batches(self) -> DataFrame:
         """One row per micro-batch, numbered from 1 in processing order."""
         return (self.spark.read.parquet(self.batches_path)
-                .select((F.col("batch_epoch") + 1).cast("int").alias("batch_sequence"),
+                .select((F.col("batch_epoch") + 1).cast("long").alias("batch_sequence"),
                         F.concat(F.lit("stream_"), (F.col("batch_epoch") + 1).cast("string"))
                         .alias("batch_key"),
                         "total_records", "valid_records", "malformed_records")
