@@ -104,3 +104,42 @@ def test_parser_matches_brute_force_model(spark, lines):
                     row["resource_path"], row["protocol_version"], row["status_code"],
                     row["bytes_transferred"])
             assert have == want, (repr(line), have, want)
+
+
+DATE_PART = re.compile(r"(\d{2})/([A-Za-z]{3})/(\d{4}|\+\d{5,19})", re.ASCII)
+
+
+def batch_date_model(line):
+    """First '[' to first ']', text before the first ':', SMART dd/MMM/yyyy."""
+    open_at, close_at = line.find("["), line.find("]")
+    if open_at < 0 or close_at < 0 or close_at <= open_at:
+        return None
+    inner = line[open_at + 1:close_at]
+    m = DATE_PART.fullmatch(inner.split(":")[0] if inner else "")
+    if not m or m.group(2) not in MONTH_NAMES:
+        return None
+    day, year = int(m.group(1)), int(m.group(3).lstrip("+"))
+    if not (1 <= day <= 31 and 1 <= year <= 9999):
+        return None
+    month = MONTH_NAMES.index(m.group(2)) + 1
+    return dt.date(year, month, min(day, calendar.monthrange(year, month)[1]))
+
+
+@st.composite
+def keyed_line(draw):
+    line = draw(log_line())
+    if draw(st.integers(0, 3)) == 0:                 # stray brackets / colons
+        pos = draw(st.integers(0, len(line)))
+        line = line[:pos] + draw(st.sampled_from(["[", "]", ":", "[:", "]["])) + line[pos:]
+    return line
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(keyed_line(), min_size=50, max_size=80))
+def test_batch_date_matches_brute_force_model(spark, lines):
+    from pyspark.sql import functions as F
+    from logweave.functions.batchkeys import batch_date
+    df = spark.createDataFrame([(i, ln) for i, ln in enumerate(lines)], "i int, line string")
+    got = {r["i"]: r["d"] for r in df.select("i", batch_date(F.col("line")).alias("d")).collect()}
+    for i, line in enumerate(lines):
+        assert got[i] == batch_date_model(line), repr(line)
