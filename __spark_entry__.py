@@ -35,7 +35,7 @@ from logweave.plans.report import (report_batches, report_q1, report_q2,
                                    report_q3)
 from logweave.plans.sql import sql_query
 from logweave.schemas import LOG_COLUMNS
-from logweave.session import scratch_dir
+from logweave.session import app_id, scratch_dir
 from logweave.sinks.store import ResultStore, stage_tsv, write_tsv_output
 from logweave.sources.fixtures import fixture_log_dir
 from logweave.sources.staged import (read_query_output, read_staged_tsv,
@@ -70,7 +70,7 @@ _STORES: dict[tuple, tuple] = {}
 
 def _store_runs(spark: SparkSession, sf_dir: str):
     """Three variant runs of the events logs appended to one store (per session)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     if key not in _STORES:
         store = ResultStore(spark, scratch_dir(spark, "store"))
         runs = run_all(spark, [fixture_log_dir(spark, sf_dir)], store, strategy="fixed",

@@ -29,17 +29,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id (session conf, so it also works without a SparkContext)."""
+    return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables: the cluster's checkpoint directory.
 
     The checkpoint directory named by the cluster (``spark.checkpoint.dir`` or
     one set on the context) is used as is.  Only when none is set - local tests -
     a fresh temporary folder is made and registered as the checkpoint dir.
+    Without a SparkContext (Spark Connect) the configured directory is used.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:                    # Spark Connect: no context on the client
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if not current:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
             configured = tempfile.mkdtemp(prefix="logweave-ckpt-")
         sc.setCheckpointDir(configured)

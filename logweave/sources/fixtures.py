@@ -38,7 +38,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.session import scratch_dir
+from logweave.session import app_id, scratch_dir
 
 
 def _stamp(t: Column, offset: Column) -> Column:
@@ -117,7 +117,7 @@ def _readable(spark: SparkSession, path: str) -> bool:
 def fixture_log_dir(spark: SparkSession, sf_dir: str, table: str = "events",
                     num_files: int = 4, compression: str | None = None) -> str:
     """Folder of log files derived from ``table`` (written once per session)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), table,
+    key = (app_id(spark), os.path.abspath(sf_dir), table,
            num_files, compression)
     if key in _FIXTURE_DIRS and not _readable(spark, _FIXTURE_DIRS[key]):
         del _FIXTURE_DIRS[key]              # the scratch folder was cleaned up
