@@ -1,4 +1,4 @@
-"""Command line: the reference's menu entries as sub-commands.
+"""Command line: run, report on and compare access-log analytics runs.
 
     python -m logweave run     --store DIR [--strategy fixed|monthly|weekly]
                                [--batch-size N] [--queries 1,3] [--variant dataframe|sql|two_stage]
@@ -41,20 +41,23 @@ def _parser() -> argparse.ArgumentParser:
     sub = parser.add_subparsers(dest="command", required=True)
     for name in ("run", "run-all"):
         cmd = sub.add_parser(name)
-        cmd.add_argument("logs", nargs="+")
-        cmd.add_argument("--store", required=True)
-        cmd.add_argument("--strategy", default="fixed")
-        cmd.add_argument("--batch-size", type=_batch_size, default=DEFAULT_BATCH_SIZE)
-        cmd.add_argument("--queries", default="a")
-        cmd.add_argument("--missing", choices=("skip", "fail"), default="fail")
+        cmd.add_argument("logs", nargs="+", help="log files, folders or globs, in order")
+        cmd.add_argument("--store", required=True, help="folder of the result tables")
+        cmd.add_argument("--strategy", default="fixed",
+                         help="fixed (default), monthly / month, weekly / week")
+        cmd.add_argument("--batch-size", type=_batch_size, default=DEFAULT_BATCH_SIZE,
+                         help="lines per fixed batch (default 10000)")
+        cmd.add_argument("--queries", default="a", help="a (all) or a list like 1,3")
+        cmd.add_argument("--missing", choices=("skip", "fail"), default="fail",
+                         help="what to do about paths that do not exist")
         if name == "run":
             cmd.add_argument("--variant", choices=VARIANTS, default="dataframe")
-            cmd.add_argument("--run-id")
+            cmd.add_argument("--run-id", help="default: <variant>_<8 hex digits>")
     rep = sub.add_parser("report")
-    rep.add_argument("run_id")
+    rep.add_argument("run_id", help="run to report on")
     rep.add_argument("--store", required=True)
     cmp = sub.add_parser("compare")
-    cmp.add_argument("run_ids", nargs="+")
+    cmp.add_argument("run_ids", nargs="+", help="runs to compare pairwise")
     cmp.add_argument("--store", required=True)
     return parser
 
