@@ -14,7 +14,9 @@ untimed).  Timed, each on its own:
 * ``compare_all_pairs``  three variant runs compared pairwise.
 
 A warm-up on the smallest scale factor runs first (JVM and code-generation
-warm-up; not counted).  Prints one JSON line.
+warm-up; not counted).  Prints one JSON line; its ``profile`` field holds, per
+step, the jobs, stages, tasks, task seconds and shuffle megabytes read from
+Spark's event log (written to a scratch folder of this local run).
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import json
 import os
 import platform
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -53,10 +56,60 @@ def _sf_number(sf_dir: str):
         return text
 
 
-def _timed(fn):
+_SPARK = None
+
+
+def _timed(fn, step: str | None = None):
+    """Run ``fn`` under a job description (for the event-log profile)."""
+    if step and _SPARK is not None:
+        _SPARK.sparkContext.setJobDescription(step)
     t = time.perf_counter()
     fn()
-    return time.perf_counter() - t
+    elapsed = time.perf_counter() - t
+    if step and _SPARK is not None:
+        _SPARK.sparkContext.setJobDescription(None)
+    return elapsed
+
+
+def _profile(event_dir: str) -> dict:
+    """Jobs, stages, tasks, task seconds and shuffle MB per bench step."""
+    files = [os.path.join(root, f) for root, _, names in os.walk(event_dir)
+             for f in names if not f.startswith(".") and not f.startswith("appstatus")]
+    if not files:
+        return {}
+    stage_step, out = {}, {}
+    with open(max(files, key=os.path.getmtime), encoding="utf-8") as fh:
+        for raw in fh:
+            event = json.loads(raw)
+            kind = event.get("Event")
+            if kind == "SparkListenerJobStart":
+                step = (event.get("Properties") or {}).get("spark.job.description")
+                if not step or not step.startswith("bench:"):
+                    continue
+                step = step[len("bench:"):]
+                rec = out.setdefault(step, {"jobs": 0, "stages": 0, "tasks": 0,
+                                            "task_sec": 0.0, "shuffle_write_mb": 0.0})
+                rec["jobs"] += 1
+                for sid in event.get("Stage IDs", []):
+                    stage_step[sid] = step
+            elif kind == "SparkListenerStageCompleted":
+                sid = event["Stage Info"]["Stage ID"]
+                if sid in stage_step:
+                    out[stage_step[sid]]["stages"] += 1
+            elif kind == "SparkListenerTaskEnd":
+                step = stage_step.get(event.get("Stage ID"))
+                if step is None:
+                    continue
+                rec = out[step]
+                rec["tasks"] += 1
+                metrics = event.get("Task Metrics") or {}
+                rec["task_sec"] += metrics.get("Executor Run Time", 0) / 1000.0
+                shuffle = metrics.get("Shuffle Write Metrics") or {}
+                rec["shuffle_write_mb"] += shuffle.get("Shuffle Bytes Written", 0) / 2**20
+    for rec in out.values():
+        rec["task_sec"] = round(rec["task_sec"], 3)
+        rec["shuffle_write_mb"] = round(rec["shuffle_write_mb"], 3)
+    return out
 
 
 def _drain(df):
@@ -64,46 +117,61 @@ def _drain(df):
     df.write.format("noop").mode("overwrite").save()
 
 
-def run_suite(spark, sf_dir):
+def run_suite(spark, sf_dir, tag=""):
     times = {}
     logs_dir = fixture_log_dir(spark, sf_dir)
     staged_path = scratch_dir(spark, "bench-staged")
 
     times["parse_stage"] = _timed(lambda: stage_parquet(
-        parse_for_staging(rebalance_lines(read_log_lines(spark, [logs_dir]))), staged_path))
+        parse_for_staging(rebalance_lines(read_log_lines(spark, [logs_dir]))), staged_path),
+        f"{tag}parse_stage")
     staged = spark.read.parquet(staged_path)
     valid = staged.filter(~F.col("is_malformed")).select(*LOG_COLUMNS)
 
-    times["batch_fixed"] = _timed(lambda: _drain(batch_stats(staged, "fixed", 10000)))
-    times["batch_monthly"] = _timed(lambda: _drain(batch_stats(staged, "monthly")))
-    times["batch_weekly"] = _timed(lambda: _drain(batch_stats(staged, "weekly")))
+    times["batch_fixed"] = _timed(lambda: _drain(batch_stats(staged, "fixed", 10000)),
+                                  f"{tag}batch_fixed")
+    times["batch_monthly"] = _timed(lambda: _drain(batch_stats(staged, "monthly")),
+                                    f"{tag}batch_monthly")
+    times["batch_weekly"] = _timed(lambda: _drain(batch_stats(staged, "weekly")),
+                                   f"{tag}batch_weekly")
     for q, fn in DATAFRAME_QUERIES.items():
-        times[q] = _timed(lambda fn=fn: fn(valid).collect())
+        times[q] = _timed(lambda fn=fn: fn(valid).collect(), f"{tag}{q}")
 
     def from_text():
         logs = valid_rows(parse_lines(read_log_lines(spark, [logs_dir])))
         for fn in DATAFRAME_QUERIES.values():
             fn(logs).collect()
-    times["queries_from_text"] = _timed(from_text)
+    times["queries_from_text"] = _timed(from_text, f"{tag}queries_from_text")
 
     store = ResultStore(spark, scratch_dir(spark, "bench-store"))
     times["job_end_to_end"] = _timed(lambda: run_job(
-        spark, [logs_dir], "fixed", 10000, store=store, pipeline_name="dataframe"))
+        spark, [logs_dir], "fixed", 10000, store=store, pipeline_name="dataframe"),
+        f"{tag}job_end_to_end")
 
     def pairs():
         runs = run_all(spark, [logs_dir], store, strategy="monthly")
         compare_all_pairs(store, [r.run_id for r in runs]).collect()
-    times["compare_all_pairs"] = _timed(pairs)
+    times["compare_all_pairs"] = _timed(pairs, f"{tag}compare_all_pairs")
     return times
 
 
 def main():
+    global _SPARK
+    # Spark's event log, in a scratch folder of this local run, gives the per-step
+    # stage / task profile (the bench always runs on local[N]).
+    event_dir = tempfile.mkdtemp(prefix="logweave-bench-events-")
+    os.environ.setdefault("PYSPARK_SUBMIT_ARGS",
+                          f"--conf spark.eventLog.enabled=true "
+                          f"--conf spark.eventLog.dir=file://{event_dir} "
+                          f"--conf spark.eventLog.compress=false "
+                          f"--conf spark.eventLog.rolling.enabled=false pyspark-shell")
     spark = local_session(CPUS, shuffle_partitions=max(8, CPUS * 2), app_name="logweave-bench")
+    _SPARK = spark
     t = time.perf_counter()
     run_suite(spark, WARMUP_DIR)
     warmup = time.perf_counter() - t
     fixture_log_dir(spark, SF_DIR)            # input text files, untimed
-    times = run_suite(spark, SF_DIR)
+    times = run_suite(spark, SF_DIR, tag="bench:")
     rows = spark.read.parquet(f"{SF_DIR}/events.parquet").count()
     headline = ["parse_stage", "batch_fixed", "batch_monthly", "batch_weekly", "q1", "q2", "q3"]
     out = {
@@ -118,8 +186,9 @@ def main():
         "cpus": CPUS,
         "machine": f"{platform.machine()} {os.cpu_count()} cpus, {platform.system()}",
     }
-    print(json.dumps(out))
     spark.stop()
+    out["profile"] = _profile(event_dir)
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
