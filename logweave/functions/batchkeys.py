@@ -26,10 +26,13 @@ def normalise_strategy(name: str | None) -> str:
 
 def batch_date(line: Column) -> Column:
     """Calendar date used for MONTHLY / WEEKLY keys, NULL when unreadable."""
-    open_at = F.instr(line, "[")
-    close_at = F.instr(line, "]")
-    inner = F.when((open_at > 0) & (close_at > open_at),
-                   F.substr(line, open_at + 1, close_at - open_at - 1))
+    # byte offsets of the first '[' and the first ']' (the line's length if absent)
+    size = F.octet_length(line)
+    open_at = F.octet_length(F.substring_index(line, "[", 1))
+    close_at = F.octet_length(F.substring_index(line, "]", 1))
+    inner = F.when((open_at < size) & (close_at < size) & (close_at > open_at),
+                   F.substring(line.cast("binary"), open_at + 2, close_at - open_at - 1)
+                   .cast("string"))
     date_txt = F.substring_index(inner, ":", 1)
     shape_ok = date_txt.rlike(DATE_PART_REGEX)
     day = _int(F.substring(date_txt, 1, 2))
