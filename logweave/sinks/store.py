@@ -188,7 +188,7 @@ def stage_tsv(valid: DataFrame, path: str) -> str:
     produces one - both are whitespace-free tokens - so this only guards rows
     that come from elsewhere.
     """
-    safe = {c: F.translate(F.col(c), "\t", " ") for c in ("host", "resource_path")}
+    safe = {c: F.replace(F.col(c), F.lit("\t"), F.lit(" ")) for c in ("host", "resource_path")}
     (valid.select(*[safe.get(c, F.col(c)).alias(c) for c in LOG_COLUMNS])
      .write.mode("overwrite")
      .option("sep", "\t").option("quote", "").option("escape", "")
