@@ -244,6 +244,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Registered queries; the inventory ids each one exercises.
+
+    parse_*, request_parts, bytes_normalised: S1-S3, P1-P8 | q1_* / q2_* / q3_*:
+    Q1-Q3, A1-A5, O1-O2, F1-F2, P11-P14 (dataframe, sql, two_stage, orders input) |
+    batch_*: B1-B6, B8 | run_stats: B9 | stage_*: K1, S5, S7 | external_table_scan:
+    S6 | query_output_roundtrip: K3, S8 | result_append_by_run: K4, K7, F3, P10 |
+    run_metadata_sink / batch_metadata_sink: K5, K6 | report_*: R1, O4, O5, P15 |
+    compare_*: R2-R7, A7 | selected_queries_job: A8 | stream_q1_daily_traffic:
+    the batch-by-batch load as Structured Streaming.
+    """
     return {
         "parse_valid_rows": q_parse_valid_rows,
         "parse_malformed_rows": q_parse_malformed_rows,
