@@ -143,3 +143,16 @@ def test_run_metadata_holds_very_large_batches(spark, tmp_path):
                started_at=now, completed_at=now)
     store.write_run_metadata(row)
     assert store.run_metadata("huge").first().avg_batch_size == Decimal("83333333333.33")
+
+
+def test_command_line_run_all(spark, tmp_path, capsys):
+    from logweave.__main__ import main
+    folder = fixture_log_dir(spark, SF_SMALL)
+    store = str(tmp_path / "cli-all")
+    assert main(["run-all", "--store", store, "--strategy", "week", "--queries", "1,2",
+                 folder]) == 0
+    out = capsys.readouterr().out
+    assert out.count("== metadata ==") == 3           # one report per variant
+    assert "matched" in out and "false" not in out    # every pair matches
+    meta = ResultStore(spark, store).run_metadata().collect()
+    assert sorted(r.pipeline_name for r in meta) == ["dataframe", "sql", "two_stage"]
