@@ -41,6 +41,15 @@ def fails_once(line):
         raise RuntimeError("injected task failure")
     return line
 
+@F.udf("boolean")
+def fails_once_flag(flag):
+    ctx = TaskContext.get()
+    if ctx.partitionId() == 0 and ctx.attemptNumber() == 0:
+        open(f"{MARKER}/failed-batching-stage{ctx.stageId()}", "w").close()
+        raise RuntimeError("injected task failure")
+    return flag
+
+
 folder = fixture_log_dir(spark, SF)
 lines = read_log_lines(spark, [folder])
 clean = stage_parquet(parse_for_staging(lines), scratch_dir(spark, "clean"))
@@ -52,6 +61,9 @@ out = {
     "same_rows": a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0,
     "same_batches": sorted(map(tuple, batch_stats(a, "fixed", 37).collect()))
                     == sorted(map(tuple, batch_stats(b, "fixed", 37).collect())),
+    "same_batches_after_failures": sorted(map(tuple, batch_stats(a, "fixed", 37).collect()))
+        == sorted(map(tuple, batch_stats(
+            a.withColumn("is_malformed", fails_once_flag("is_malformed")), "fixed", 37).collect())),
     "partitions": lines.rdd.getNumPartitions(),
     "failures": len(__import__("os").listdir(MARKER)),
 }
@@ -68,5 +80,5 @@ def test_a_failed_task_changes_nothing():
     out = json.loads(lines[-1][len("RESULT "):])
     assert out["partitions"] > 1                      # the failing task exists
     assert out["rows"][0] == out["rows"][1] == 1000
-    assert out["same_rows"] and out["same_batches"]
-    assert out["failures"] >= 1                       # the failure really happened
+    assert out["same_rows"] and out["same_batches"] and out["same_batches_after_failures"]
+    assert out["failures"] >= 2                       # the failures really happened
