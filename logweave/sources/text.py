@@ -19,6 +19,7 @@ small aggregate instead of a one-partition window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -63,13 +64,14 @@ def read_log_lines(spark: SparkSession, paths: str | Sequence[str],
         paths = [paths]
     if missing not in ("skip", "fail"):
         raise ValueError("missing must be 'skip' or 'fail'")
+    resolved = _resolve(spark, list(paths))
     found = []
-    for ordinal, path in enumerate(paths):
-        try:
-            found.append((ordinal, path, spark.read.text(path)))
-        except AnalysisException as exc:
+    for ordinal, (path, raw) in enumerate(zip(paths, resolved)):
+        if isinstance(raw, AnalysisException):
             if missing == "fail":
-                raise FileNotFoundError(path) from exc
+                raise FileNotFoundError(path) from raw
+            continue
+        found.append((ordinal, path, raw))
     if not found:
         return spark.createDataFrame(
             [], "line string, src_ordinal int, src_file string, src_block long, src_seq long")
@@ -89,6 +91,28 @@ def read_log_lines(spark: SparkSession, paths: str | Sequence[str],
         "line", "src_ordinal", "src_file", "src_block", "src_seq")
 
 
+RESOLVE_THREADS = 16
+
+
+def _resolve(spark: SparkSession, paths: list[str]) -> list:
+    """``spark.read.text(path)`` per path (each lists its files on the driver).
+
+    A long list is resolved by a few driver threads: on an object store each
+    listing is a round trip, and one after another they add up to minutes.
+    Returns the frame, or the AnalysisException of a path that does not exist.
+    """
+    def one(path: str):
+        try:
+            return spark.read.text(path)
+        except AnalysisException as exc:
+            return exc
+
+    if len(paths) <= UNION_MAX_PATHS:
+        return [one(p) for p in paths]
+    with ThreadPoolExecutor(max_workers=RESOLVE_THREADS) as pool:
+        return list(pool.map(one, paths))
+
+
 def _single_scan(spark: SparkSession, paths: list[str], owner: dict[str, int]) -> DataFrame:
     """One scan over ``paths``; ``owner`` maps each file (as ``inputFiles()``
     and ``input_file_name()`` spell it) to its position in the list."""

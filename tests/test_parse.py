@@ -180,3 +180,18 @@ def test_long_path_lists_read_as_one_scan_in_list_order(spark, tmp_path):
     again = read_log_lines(spark, paths + [paths[0]])
     assert again.count() == 63
     assert text_source.UNION_MAX_PATHS < len(paths)
+
+
+def test_long_path_list_with_missing_paths(spark, tmp_path):
+    import pytest
+    paths = []
+    for i in range(20):
+        path = tmp_path / f"m{i:02d}.log"
+        if i % 5 != 0:
+            write_lines(path, [f"line {i}"])
+        paths.append(str(path))                       # every 5th path is missing
+    lines = read_log_lines(spark, paths)
+    got = sorted((r.src_ordinal, r.line) for r in lines.collect())
+    assert got == [(i, f"line {i}") for i in range(20) if i % 5 != 0]
+    with pytest.raises(FileNotFoundError):
+        read_log_lines(spark, paths, missing="fail")
