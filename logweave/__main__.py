@@ -2,7 +2,7 @@
 
     python -m logweave run     --store DIR [--strategy fixed|monthly|weekly]
                                [--batch-size N] [--queries 1,3] [--variant dataframe|sql|two_stage]
-                               [--missing skip|fail] LOG [LOG ...]
+                               [--missing skip|fail] [--tsv-output DIR] LOG [LOG ...]
     python -m logweave run-all --store DIR [same options] LOG [LOG ...]
     python -m logweave report  --store DIR RUN_ID
     python -m logweave compare --store DIR RUN_ID [RUN_ID ...]
@@ -25,7 +25,7 @@ from logweave.operators.compare import (compare_all_pairs, compare_runs,
                                         compare_summary, diff_examples)
 from logweave.plans.job import VARIANTS, run_all, run_job
 from logweave.plans.report import format_report, run_report
-from logweave.sinks.store import ResultStore
+from logweave.sinks.store import ResultStore, write_tsv_output
 
 
 def _batch_size(text: str) -> int:
@@ -53,6 +53,8 @@ def _parser() -> argparse.ArgumentParser:
         if name == "run":
             cmd.add_argument("--variant", choices=VARIANTS, default="dataframe")
             cmd.add_argument("--run-id", help="default: <variant>_<8 hex digits>")
+            cmd.add_argument("--tsv-output",
+                             help="also write each query result to DIR/<query> as TSV")
     rep = sub.add_parser("report")
     rep.add_argument("run_id", help="run to report on")
     rep.add_argument("--store", required=True)
@@ -89,6 +91,9 @@ def main(argv: list[str] | None = None) -> int:
         job = run_job(spark, args.logs, args.strategy, args.batch_size, args.queries,
                       args.variant, store, args.variant, args.run_id, args.missing)
         print(job.run_id)
+        if args.tsv_output:
+            for q, frame in job.results.items():
+                write_tsv_output(frame, f"{args.tsv_output.rstrip('/')}/{q}")
         print(format_report(run_report(store, job.run_id)))
     elif args.command == "run-all":
         runs = run_all(spark, args.logs, store, args.strategy, args.batch_size,

@@ -103,8 +103,11 @@ def test_command_line_run_report_compare(spark, tmp_path, capsys):
     from logweave.__main__ import main
     folder = fixture_log_dir(spark, SF_SMALL)
     store = str(tmp_path / "cli-store")
+    tsv = str(tmp_path / "tsv-out")
     assert main(["run", "--store", store, "--strategy", "month", "--queries", "2",
-                 "--run-id", "cli_a", folder]) == 0
+                 "--run-id", "cli_a", "--tsv-output", tsv, folder]) == 0
+    from logweave.sources.staged import read_query_output
+    assert read_query_output(spark, f"{tsv}/q2", "q2").count() == 20
     assert main(["run", "--store", store, "--variant", "sql", "--batch-size", "abc",
                  "--run-id", "cli_b", folder]) == 0
     out = capsys.readouterr().out
