@@ -314,7 +314,7 @@ WITH ev AS (
     CAST(t AS DATE) AS log_date,
     CAST(hour(t) AS INTEGER) AS log_hour,
     CASE WHEN event_type = 'purchase' THEN 'POST' ELSE 'GET' END AS http_method,
-    '/' || event_type || '/' || json_extract_string(props, '$.k') || '.html' AS resource_path,
+    '/' || event_type || '/' || regexp_extract(props, '"k": *(-?[0-9]+)', 1) || '.html' AS resource_path,
     'HTTP/1.0' AS protocol_version,
     CAST(CASE WHEN event_type = 'error' THEN (CASE WHEN eid % 2 = 0 THEN 404 ELSE 500 END)
               WHEN event_type = 'signup' THEN 302
