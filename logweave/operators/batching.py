@@ -9,9 +9,10 @@ Queries run once over all lines; batches only drive the per-batch accounting
   one form the batch ``__malformed__``; batches are numbered in order of first
   appearance (minimum input position per key).
 
-Every count is a grouped aggregate with map-side partial aggregation; the
-only un-partitioned step numbers the per-key frame, whose size is bounded by
-the number of distinct calendar keys.
+Every count is a grouped aggregate with map-side partial aggregation.  The
+un-partitioned steps work on small derived frames only: the numbering of the
+per-key frame (bounded by the number of calendar keys) and, for FIXED, the
+prefix sum over the per-split frame (one row per file split).
 """
 
 from __future__ import annotations
