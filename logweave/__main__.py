@@ -85,6 +85,14 @@ def _print_comparison(store: ResultStore, run_ids: list[str]) -> None:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
+    try:
+        return _run(args)
+    except (ValueError, FileNotFoundError) as exc:
+        print(f"logweave: {type(exc).__name__}: {exc}", file=sys.stderr)
+        return 2
+
+
+def _run(args: argparse.Namespace) -> int:
     spark = _session()
     store = ResultStore(spark, args.store)
     if args.command == "run":

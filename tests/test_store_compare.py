@@ -159,3 +159,12 @@ def test_command_line_run_all(spark, tmp_path, capsys):
     assert "matched" in out and "false" not in out    # every pair matches
     meta = ResultStore(spark, store).run_metadata().collect()
     assert sorted(r.pipeline_name for r in meta) == ["dataframe", "sql", "two_stage"]
+
+
+def test_command_line_reports_bad_input(tmp_path, capsys):
+    from logweave.__main__ import main
+    store = str(tmp_path / "cli-bad")
+    assert main(["run", "--store", store, "--batch-size", "0", str(tmp_path / "x.log")]) == 2
+    assert main(["run", "--store", store, str(tmp_path / "missing.log")]) == 2
+    err = capsys.readouterr().err
+    assert "batch_size must be positive" in err and "FileNotFoundError" in err
