@@ -9,6 +9,8 @@ from the tables, without parsing a line.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -238,6 +240,15 @@ def q_stream_q1_daily_traffic(spark, sf_dir):
     return q1_daily_traffic(result.valid())
 
 
+def _optional(name: str):
+    """A module of the training-data part, or None where that part is not installed."""
+    try:
+        found = importlib.util.find_spec(name)
+    except ModuleNotFoundError:            # its parent package is not there
+        found = None
+    return importlib.import_module(name) if found else None
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: daily traffic (Q1) of the sf0.001 events logs."""
     return q1_daily_traffic(_logs(spark, "/root/testdata/sf0.001"))
@@ -254,7 +265,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     compare_*: R2-R7, A7 | selected_queries_job: A8 | stream_q1_daily_traffic:
     the batch-by-batch load as Structured Streaming.
     """
+    llm, pipeline = _optional("logweave.llm.queries"), _optional("corpus_pipeline")
     return {
+        **(llm.llm_queries() if llm else {}),
+        **({"pipeline": pipeline.run} if llm and pipeline else {}),
         "parse_valid_rows": q_parse_valid_rows,
         "parse_malformed_rows": q_parse_malformed_rows,
         "parse_status_counts": q_parse_status_counts,
@@ -474,7 +488,10 @@ def oracle_sql() -> dict[str, str]:
        CAST(ceil(count(*) / {FIXED_BATCH}.0) AS BIGINT) AS num_batches,
        CAST(count(*) / ceil(count(*) / {FIXED_BATCH}.0) AS DECIMAL(20,2)) AS avg_batch_size
 FROM lg""")
+    llm, pipeline = _optional("logweave.llm.queries"), _optional("corpus_pipeline")
     return {
+        **(llm.llm_oracles() if llm else {}),
+        **({"pipeline": pipeline.ORACLE_SQL} if llm and pipeline and pipeline.ORACLE_SQL else {}),
         "parse_valid_rows": e + "SELECT * FROM logs",
         "parse_malformed_rows": e + f"SELECT {_MALFORMED_LINE} AS line FROM lg WHERE is_malformed",
         "parse_status_counts": e + """SELECT count(*) AS total_lines,
