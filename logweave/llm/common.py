@@ -36,6 +36,13 @@ def unpack(packed: DataFrame, columns: Sequence[str], outputs: Sequence[str]) ->
     return packed.select(*kept, *[F.col(o) for o in outputs])
 
 
+def apart(df: DataFrame, outputs: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with columns named like an output renamed, and the columns that undo it."""
+    taken = {o.lower() for o in outputs}
+    renamed = {c: f"__own_{i}" for i, c in enumerate(df.columns) if c.lower() in taken}
+    return df.withColumnsRenamed(renamed), [col(renamed.get(c, c)).alias(c) for c in df.columns]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage, survives executors."""
     path = scratch_dir(df.sparkSession, name)

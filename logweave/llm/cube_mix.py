@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logweave.llm.common import ROW, col, pack, stored, text_of, unpack
+from logweave.llm.common import apart, col, pack, stored, text_of, unpack
 
 #: weights in turn of the sources in code point order
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -230,10 +230,6 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def mixed_rows(df: DataFrame, **options) -> DataFrame:
     """The mix itself: every row as many times as it is taken, in the input's columns."""
-    names = [options.pop(k, d) for k, d in (("id_col", "doc_id"), ("text_col", "text"),
-                                            ("source_col", "source"))]
-    bare = pack(df, id=col(names[0]), text=col(names[1]), source=col(names[2]))
-    marked = mix_sources(bare.withColumnRenamed(ROW, "whole_row"), "id", "text", "source", **options)
-    taken = marked.filter("copies > 0").select(
-        "whole_row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy"))
-    return taken.select(*[F.col("whole_row").getField(c).alias(c) for c in df.columns])
+    own, columns = apart(df, OUTPUTS)
+    taken = mix_sources(own, **options).filter("copies > 0")
+    return taken.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*columns)

@@ -11,9 +11,13 @@ from logweave.llm.common import read_table, text_of
 from logweave.llm.cube_mix import MOST_TIMES, WEIGHTS, BLOCK_ROWS, mix_units, word_count
 from logweave.llm.decontam import find_items
 from logweave.llm.exact_index import exact_dedup
+from logweave.llm.hmm_score import score_texts
+from logweave.llm.passages import repeated_passages
+from logweave.llm.quality_rules import score_ids
 from logweave.llm.shards import shard_rows
 from logweave.llm.simhash_cover import fingerprints
 from logweave.llm.url_rules import judge_urls
+from logweave.llm.warc import deduplicate_archives, resolved, write_archives
 
 SHARDS = 40
 MIX_SEED = 7
@@ -32,11 +36,34 @@ def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_ids(docs, read_table(spark, sf_dir, "labels")).select(
+        F.col("id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_extendible_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archives = deduplicate_archives(spark, write_archives(pages))
+    return resolved(spark, archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_texts(docs).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
+                                    "base_score", "score")
+
+
 def op7_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     text = text_of(docs)
@@ -65,7 +92,11 @@ def op10_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hypergeometric_shards": op1_hypergeometric_shards,
+        "op2_rule_quality": op2_rule_quality,
+        "op3_paragraph_minhash": op3_paragraph_minhash,
         "op4_extendible_hash_dedup": op4_extendible_hash_dedup,
+        "op5_warc_revisits": op5_warc_revisits,
+        "op6_hmm_scores": op6_hmm_scores,
         "op7_cube_mix": op7_cube_mix,
         "op8_simhash_anchors": op8_simhash_anchors,
         "op9_url_wildcards": op9_url_wildcards,
@@ -77,6 +108,15 @@ _OP4 = """SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
 
+_OP5 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages
+), f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) END AS first FROM p)
+SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM f"""
+
 _OP9 = """
 WITH rest AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
@@ -132,5 +172,5 @@ FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_extendible_hash_dedup": _OP4, "op9_url_wildcards": _OP9,
+    return {"op4_extendible_hash_dedup": _OP4, "op5_warc_revisits": _OP5, "op9_url_wildcards": _OP9,
             "op10_wu_manber_decontamination": _OP10}
