@@ -120,7 +120,7 @@ def paragraphs(text: bytes, radius: int = RADIUS, width: int = SHINGLE):
 
 def _band_rows(bands: int):
     """(key, paragraph, several): each distinct paragraph of a task once per band."""
-    seeds = [np.uint64(k + 1) * np.uint64(0xD6E8FEB86659FD93) for k in range(bands)]
+    seeds = _mix(np.arange(1, bands + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys: dict[int, tuple[int, ...]] = {}

@@ -1,0 +1,119 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from logweave.llm import passages
+from tests.llm.fixtures import docs, empty, words
+
+
+def test_bands_reach_the_recall():
+    for similarity, recall, rows in ((0.8, 0.99, 1), (0.8, 0.98, 2), (0.5, 0.9, 3)):
+        bands = passages.tune_bands(similarity, recall, rows)
+        assert 1 - (1 - similarity ** rows) ** bands >= recall - 1e-9
+        assert 1 - (1 - similarity ** rows) ** (bands - 1) < recall
+
+
+def test_paragraphs_partition_the_words_and_cut_alike():
+    rng = random.Random(4)
+    shared = words(rng, 120)
+    one = passages.paragraphs((words(rng, 37) + " " + shared + " " + words(rng, 20)).encode())
+    two = passages.paragraphs((words(rng, 80) + "\n\n" + shared).encode())
+    for first, counts, ids, shingles in (one, two):
+        assert first[0] == 0 and (first[1:] == np.cumsum(counts)[:-1]).all() and len(ids) == len(first)
+        assert counts.sum() == len(shingles)
+    assert len(set(one[2].tolist()) & set(two[2].tolist())) >= 5
+    assert passages.paragraphs(b" \n ") is None and len(passages.paragraphs(b"one")[0]) == 1
+    run = passages.paragraphs(b"same " * 50_000)
+    assert run[1].sum() == 50_000
+
+
+def corpus(seed=6):
+    rng = random.Random(seed)
+    rows, planted = [], {}
+    for i in range(40):
+        rows.append((i, words(rng, 300), None, None, None))              # clean
+    for group in range(10):
+        shared = words(rng, rng.randrange(52, 130))
+        for k in range(rng.randrange(2, 5)):
+            doc = 100 + 10 * group + k
+            glue = "\n" if group % 2 else " "
+            body = words(rng, rng.randrange(20, 200)) + glue + shared + glue + words(rng, 90)
+            rows.append((doc, body, None, None, None))
+            planted.setdefault(group, []).append(doc)
+    line = words(rng, 13)                                               # a short shared line
+    rows = [(i, t + ("\n" + line if i < 20 else ""), *r) for i, t, *r in rows]
+    return rows, planted
+
+
+def test_planted_passages_are_caught_and_clean_rows_left_alone(spark):
+    rows, planted = corpus()
+    table = docs(spark, rows).withColumn("class_id", F.lit("own"))
+    out = passages.repeated_passages(table).collect()
+    found = {r.doc_id for r in out}
+    assert found == {d for group in planted.values() for d in group}
+    for group in planted.values():
+        own = [r for r in out if r.doc_id in group]
+        assert sum(r.removed_paragraphs == 0 for r in own) == 1         # one occurrence stays
+        for r in own:
+            assert set(r.keep_ids) <= set(group)
+
+
+def test_near_copies_form_one_group_and_edges_are_verified(spark):
+    rng = random.Random(9)
+    base = words(rng, 200).split()
+    rows = []
+    for i in range(60):
+        text = list(base)
+        text[rng.randrange(200)] = f"z{i}"
+        rows.append((i, " ".join(text), None, None, None))
+    out = passages.repeated_passages(docs(spark, rows)).collect()
+    assert {r.doc_id for r in out} == set(range(60))
+    # same 5 word start, otherwise different: they share a band at most, never a link
+    rows = [(i, "a b c d e " + words(rng, 60), None, None, None) for i in range(30)]
+    assert passages.repeated_passages(docs(spark, rows)).count() == 0
+
+
+def test_exact_components_by_brute_force(spark):
+    """Components of the paragraph links equal those of all pairs that share a band."""
+    rng = random.Random(3)
+    rows = []
+    for g in range(15):
+        base = words(rng, 12, 400)
+        for i in range(6):
+            text = base.split()
+            if i:
+                text[rng.choice([0, -1])] = f"q{rng.randrange(3)}"
+            rows.append((100 * g + i, " ".join(text) + "\n" + words(rng, 9), None, None, None))
+    out = passages.repeated_passages(docs(spark, rows), recall=0.99999, least_words=1).collect()
+    sets = {}
+    for doc, text, *_ in rows:
+        first, counts, ids, shingles = passages.paragraphs(text.encode())
+        for k, unit in enumerate(ids.tolist()):
+            own = shingles[first[k]:first[k] + counts[k]]
+            sets.setdefault(unit, (set(own[own != passages._TOP].tolist()), set()))[1].add(doc)
+    parent = {u: u for u in sets}
+
+    def find(u):
+        while parent[u] != u:
+            u = parent[u]
+        return u
+    units = list(sets)
+    for i, a in enumerate(units):
+        for b in units[i + 1:]:
+            x, y = sets[a][0], sets[b][0]
+            if len(x & y) / len(x | y) >= 0.8:
+                parent[find(a)] = find(b)
+    spans = {}
+    for u in units:
+        spans.setdefault(find(u), set()).update(sets[u][1])
+    want = {d for s in spans.values() if len(s) > 1 for d in s}
+    assert {r.doc_id for r in out} == want and len(want) > 60
+
+
+def test_awkward_rows(spark):
+    out = passages.repeated_passages(docs(spark)).collect()
+    found = {r.doc_id for r in out}
+    assert set(range(100, 112)) | set(range(200, 210)) <= found
+    assert not found & {300, 301, 302, 303, 304, 305, 306}
+    assert passages.repeated_passages(empty(spark)).count() == 0
