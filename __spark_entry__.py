@@ -24,23 +24,25 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from logweave.__main__ import _batch_size
 from logweave.functions.batchkeys import calendar_key
 from logweave.functions.parse import parse_lines, valid_rows
 from logweave.operators.batching import batch_stats, run_stats
 from logweave.operators.compare import (compare_all_pairs, compare_runs,
-                                        compare_summary)
+                                        compare_summary, diff_examples)
 from logweave.operators.queries import (q1_daily_traffic, q1_two_stage,
                                         q2_top_resources, q2_two_stage,
                                         q3_hourly_errors, q3_two_stage)
 from logweave.plans.job import parse_for_staging, run_all, run_job
 from logweave.plans.report import (report_batches, report_q1, report_q2,
-                                   report_q3)
+                                   report_q3, run_report, write_report)
 from logweave.plans.sql import sql_query
 from logweave.schemas import LOG_COLUMNS
 from logweave.session import app_id, scratch_dir
-from logweave.sinks.store import ResultStore, stage_tsv, write_tsv_output
-from logweave.sources.fixtures import fixture_log_dir
-from logweave.sources.staged import (read_query_output, read_staged_tsv,
+from logweave.sinks.store import (ResultStore, jdbc_frame, stage_parquet, stage_tsv,
+                                  write_tsv_output)
+from logweave.sources.fixtures import event_log_lines, fixture_log_dir, write_log_files
+from logweave.sources.staged import (read_query_output, read_staged_tsv, typed_tsv,
                                      register_external_table)
 from logweave.sources.text import read_log_lines
 
@@ -233,6 +235,192 @@ def q_selected_queries_job(spark, sf_dir):
         for q, frame in job.results.items()])
 
 
+SMALL_BATCH = 20           # more than 50 batches at every scale
+LONG = "p" * 600           # makes a path longer than any column
+
+
+def _event_files(spark, sf_dir, name, change=None, keep=None) -> str:
+    """The events logs with a rule applied to events (keep) or lines (change), as files."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    lines = event_log_lines(events.filter(keep) if keep else events)
+    if change is not None:
+        lines = lines.withColumn("line", change(F.col("line")))
+    return write_log_files(lines, "event_id", scratch_dir(spark, f"logs-{name}"))
+
+
+def _long_path_lines(line):
+    """Every request path gets a first part of 600 characters."""
+    return F.regexp_replace(line, '"(GET|POST) /', f'"$1 /{LONG}/')
+
+
+def q_report_batches_text(spark, sf_dir):
+    """The batch listing of the report, written as text folders and read back."""
+    store = ResultStore(spark, scratch_dir(spark, "listing-store"))
+    run_job(spark, [fixture_log_dir(spark, sf_dir)], "fixed", SMALL_BATCH, "1", store=store,
+            run_id="listed")
+    report = run_report(store, "listed")
+    path = write_report(report, scratch_dir(spark, "report"))
+    return typed_tsv(spark, f"{path}/batches", report["batches"].schema)
+
+
+def q_read_many_paths(spark, sf_dir):
+    """24 folders, each with dt= sub-folders, as one ordered list."""
+    events = event_log_lines(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    root = scratch_dir(spark, "sites")
+    (events.select("line", (F.col("event_id") % 24).alias("site"), (F.col("event_id") % 3).alias("dt"))
+     .write.partitionBy("site", "dt").text(root))
+    lines = read_log_lines(spark, [f"{root}/site={k}" for k in range(24)])
+    return parse_lines(lines).groupBy("src_ordinal").agg(
+        F.count(F.lit(1)).alias("total_lines"),
+        F.count_if(F.col("is_malformed")).alias("malformed_lines"))
+
+
+def _long_path_store(spark, sf_dir):
+    store = ResultStore(spark, scratch_dir(spark, "long-store"))
+    logs = _event_files(spark, sf_dir, "long", _long_path_lines)
+    for run in ("long_a", "long_b"):
+        run_job(spark, [logs], "monthly", queries="2", store=store, run_id=run)
+    return store
+
+
+def q_compare_q2_long_paths(spark, sf_dir):
+    return compare_runs(_long_path_store(spark, sf_dir), "long_a", "long_b", "q2")
+
+
+def q_report_q2_long_paths(spark, sf_dir):
+    return report_q2(_long_path_store(spark, sf_dir), "long_a")
+
+
+def q_jdbc_paths_cut(spark, sf_dir):
+    logs = parse_lines(read_log_lines(spark, [_event_files(spark, sf_dir, "long", _long_path_lines)]))
+    return jdbc_frame(q2_top_resources(valid_rows(logs)))
+
+
+def q_rerun_replaces_all(spark, sf_dir):
+    """A second, narrower run of the same id leaves nothing of the first."""
+    store, paths = ResultStore(spark, scratch_dir(spark, "rerun-store")), [fixture_log_dir(spark, sf_dir)]
+    run_job(spark, paths, "fixed", FIXED_BATCH, store=store, run_id="again")
+    run_job(spark, paths, "fixed", 2 * FIXED_BATCH, "1", store=store, run_id="again")
+    return reduce(DataFrame.unionByName, [
+        store.results(q, "again").agg(F.lit(q).alias("query"), F.count(F.lit(1)).alias("stored_rows"),
+                                      F.max("batch_id").alias("last_batch"))
+        for q in ("q1", "q2", "q3")])
+
+
+def q_compare_all_pairs_one_failed(spark, sf_dir):
+    """The run id of the sql variant is taken by another pipeline: that variant fails,
+    the other two are compared."""
+    store, paths = ResultStore(spark, scratch_dir(spark, "failed-store")), [fixture_log_dir(spark, sf_dir)]
+    run_job(spark, paths, "monthly", queries="1", store=store, pipeline_name="other",
+            run_id="part_sql")
+    runs = run_all(spark, paths, store, strategy="monthly", queries="1,3", run_prefix="part")
+    assert list(runs.failed) == ["sql"]
+    return compare_all_pairs(store, [r.run_id for r in runs])
+
+
+def _uneven_runs(spark, sf_dir):
+    """Run A without status 302; run B without 404 and every tenth event."""
+    store = ResultStore(spark, scratch_dir(spark, "uneven-store"))
+    a = _event_files(spark, sf_dir, "uneven-a", keep="event_type <> 'signup'")
+    b = _event_files(spark, sf_dir, "uneven-b", keep="event_id % 10 <> 3 AND "
+                                                     "NOT (event_type = 'error' AND event_id % 2 = 0)")
+    for run, logs in (("a", a), ("b", b)):
+        run_job(spark, [logs], "monthly", queries="1", store=store, run_id=run)
+    return store
+
+
+def q_compare_diffs(spark, sf_dir):
+    return compare_runs(_uneven_runs(spark, sf_dir), "a", "b", "q1")
+
+
+def q_compare_first_diffs(spark, sf_dir):
+    return diff_examples(q_compare_diffs(spark, sf_dir), "q1")
+
+
+def _blank_errors(spark, sf_dir):
+    return _logs(spark, sf_dir).withColumn("resource_path", F.when(
+        F.col("status_code") >= 400, F.lit("")).otherwise(F.col("resource_path")))
+
+
+def q_query_output_roundtrip_q1(spark, sf_dir):
+    path = write_tsv_output(q1_daily_traffic(_logs(spark, sf_dir)), scratch_dir(spark, "q1-out"))
+    return read_query_output(spark, path, "q1")
+
+
+def q_query_output_roundtrip_q2(spark, sf_dir):
+    path = write_tsv_output(q2_top_resources(_blank_errors(spark, sf_dir)), scratch_dir(spark, "q2-out"))
+    return read_query_output(spark, path, "q2")
+
+
+def _huge(logs):
+    return logs.withColumn("bytes_transferred", F.lit(4611686018427387904) - F.col("bytes_transferred"))
+
+
+def q_q1_huge_bytes(spark, sf_dir):
+    """Byte totals around and beyond a long, in all three formulations."""
+    logs = _huge(_logs(spark, sf_dir).filter("log_hour < 2"))
+    logs.createOrReplaceTempView("huge_logs")
+    return reduce(DataFrame.unionByName, [
+        frame.withColumn("total_bytes", F.col("total_bytes").cast("string"))
+        .withColumn("variant", F.lit(name)) for name, frame in (
+            ("dataframe", q1_daily_traffic(logs)), ("sql", sql_query(spark, "q1", "huge_logs")),
+            ("two_stage", q1_two_stage(logs)))])
+
+
+def q_gzip_latin1_hosts(spark, sf_dir):
+    """Gzipped ISO-8859-1 files with hosts outside ASCII."""
+    lines = event_log_lines(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    path = scratch_dir(spark, "latin1")
+    (lines.select(F.replace("line", F.lit("host"), F.lit("hôßt")).alias("line")).repartition(4)
+     .write.option("encoding", "ISO-8859-1").option("compression", "gzip").option("sep", "\x01")
+     .option("quote", "").option("escape", "").csv(path))
+    return valid_rows(parse_lines(read_log_lines(spark, [path]))).groupBy("host").agg(
+        F.count(F.lit(1)).alias("request_count"))
+
+
+def q_missing_paths_skipped(spark, sf_dir):
+    logs, gone = fixture_log_dir(spark, sf_dir), scratch_dir(spark, "never-written")
+    return read_log_lines(spark, [gone, logs, gone + "/x.log"]).groupBy("src_ordinal").agg(
+        F.count(F.lit(1)).alias("total_lines"))
+
+
+def q_staged_short_rows(spark, sf_dir):
+    """Staged rows of fewer than nine fields are left out on reading."""
+    logs = _logs(spark, sf_dir)
+    fields = [F.col(c).cast("string") for c in LOG_COLUMNS]
+    row = F.when(F.col("status_code") == 500, F.concat_ws("\t", *fields[:8])).otherwise(
+        F.concat_ws("\t", *fields))
+    path = scratch_dir(spark, "short-rows")
+    logs.select(row.alias("value")).write.text(path)
+    return read_staged_tsv(spark, path)
+
+
+def q_staged_tabs(spark, sf_dir):
+    """A tab inside a staged field becomes a blank."""
+    logs = _logs(spark, sf_dir).withColumn("host", F.concat(F.lit("a\t"), F.col("host")))
+    return read_staged_tsv(spark, stage_tsv(logs, scratch_dir(spark, "tabs")))
+
+
+def q_stage_parquet_replaced(spark, sf_dir):
+    path, logs = scratch_dir(spark, "replaced"), _logs(spark, sf_dir)
+    stage_parquet(logs, path)
+    return spark.read.parquet(stage_parquet(logs.filter("status_code = 200"), path))
+
+
+def q_batch_strategy_names(spark, sf_dir):
+    """Aliases, an unknown name (fixed) and a batch size that is not a number (default)."""
+    staged, size = _staged(spark, sf_dir), _batch_size("many")
+    return reduce(DataFrame.unionByName, [
+        run_stats(batch_stats(staged, name, size), name, size) for name in ("MONTH", "Week", "bogus")])
+
+
+def q_q2_ties(spark, sf_dir):
+    """Every path once: the 20 first by path."""
+    once = _logs(spark, sf_dir).groupBy("resource_path").agg(
+        F.min("host").alias("host"), F.max("bytes_transferred").alias("bytes_transferred"))
+    return q2_top_resources(once)
+
+
 def q_stream_q1_daily_traffic(spark, sf_dir):
     from logweave.streaming.ingest import stream_ingest
     result = stream_ingest(spark, fixture_log_dir(spark, sf_dir),
@@ -262,7 +450,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     batch_*: B1-B6, B8 | run_stats: B9 | stage_*: K1, S5, S7 | external_table_scan:
     S6 | query_output_roundtrip: K3, S8 | result_append_by_run: K4, K7, F3, P10 |
     run_metadata_sink / batch_metadata_sink: K5, K6 | report_*: R1, O4, O5, P15 |
-    compare_*: R2-R7, A7 | selected_queries_job: A8 | stream_q1_daily_traffic:
+    compare_*: R2-R7, A7 | selected_queries_job: A8 | report_batches_text: R1, O5 |
+    read_many_paths, gzip_latin1_hosts, missing_paths_skipped: S1-S4 | staged_*: S7, P9 |
+    jdbc_paths_cut: P10 | report_q2_long_paths: P15 | batch_strategy_names: B6, B7 |
+    stage_parquet_replaced: K2 | rerun_replaces_all: K4, K5 | compare_*_failed, _diffs: R5,
+    R6, R8 | q1_huge_bytes: A2 | q2_ties: O2 | query_output_roundtrip_*: K3 | stream_q1_daily_traffic:
     the batch-by-batch load as Structured Streaming.
     """
     llm, pipeline = _optional("logweave.llm.queries"), _optional("corpus_pipeline")
@@ -309,6 +501,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "compare_summary": q_compare_summary,
         "compare_all_pairs": q_compare_all_pairs,
         "selected_queries_job": q_selected_queries_job,
+        "report_batches_text": q_report_batches_text,
+        "read_many_paths": q_read_many_paths,
+        "compare_q2_long_paths": q_compare_q2_long_paths,
+        "report_q2_long_paths": q_report_q2_long_paths,
+        "jdbc_paths_cut": q_jdbc_paths_cut,
+        "rerun_replaces_all": q_rerun_replaces_all,
+        "compare_all_pairs_one_failed": q_compare_all_pairs_one_failed,
+        "compare_diffs": q_compare_diffs,
+        "compare_first_diffs": q_compare_first_diffs,
+        "query_output_roundtrip_q1": q_query_output_roundtrip_q1,
+        "query_output_roundtrip_q2": q_query_output_roundtrip_q2,
+        "q1_huge_bytes": q_q1_huge_bytes,
+        "gzip_latin1_hosts": q_gzip_latin1_hosts,
+        "missing_paths_skipped": q_missing_paths_skipped,
+        "staged_short_rows": q_staged_short_rows,
+        "staged_tabs": q_staged_tabs,
+        "stage_parquet_replaced": q_stage_parquet_replaced,
+        "batch_strategy_names": q_batch_strategy_names,
+        "q2_ties": q_q2_ties,
         "stream_q1_daily_traffic": q_stream_q1_daily_traffic,
     }
 
@@ -413,15 +624,19 @@ GROUP BY batch_key"""
 _MONTH_KEY = "CASE WHEN no_date THEN '__malformed__' ELSE strftime(t, '%Y-%m') END"
 _WEEK_KEY = "CASE WHEN no_date THEN '__malformed__' ELSE strftime(t, '%G-W%V') END"
 
-_FIXED = f"""SELECT CAST(b AS BIGINT) AS batch_sequence, 'batch_' || CAST(b AS VARCHAR) AS batch_key,
+def _fixed_sql(size: int) -> str:
+    return f"""SELECT CAST(b AS BIGINT) AS batch_sequence, 'batch_' || CAST(b AS VARCHAR) AS batch_key,
        count(*) AS total_records,
        count(*) - CAST(count_if(is_malformed) AS BIGINT) AS valid_records,
        CAST(count_if(is_malformed) AS BIGINT) AS malformed_records
-FROM (SELECT (row_number() OVER (ORDER BY eid) - 1) // {FIXED_BATCH} + 1 AS b, is_malformed
+FROM (SELECT (row_number() OVER (ORDER BY eid) - 1) // {size} + 1 AS b, is_malformed
       FROM lg) f
 GROUP BY b"""
 
 
+_FIXED = _fixed_sql(FIXED_BATCH)
+
+
 def _run_stats_row(strategy: str, batch_size: int, batches_sql: str) -> str:
     return f"""SELECT '{strategy}' AS batch_strategy, CAST({batch_size} AS BIGINT) AS batch_size,
        CAST(sum(total_records) AS BIGINT) AS total_records,
@@ -457,7 +672,7 @@ def _all_pairs_sql() -> str:
             for q, base in (("q1", _Q1), ("q2", _Q2), ("q3", _Q3)):
                 rows.append(f"""SELECT '{a}' AS run_a, '{b}' AS run_b, '{q}' AS query,
        count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS mismatched_rows,
-       true AS matched FROM ({base}) x""")
+       true AS matched, 'match' AS verdict FROM ({base}) x""")
     return _EVENTS + "\nUNION ALL\n".join(rows)
 
 
@@ -476,6 +691,38 @@ SELECT log_date, status_code, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
 FROM ({q1_o}) o"""
 
 
+_UNEVEN = f"""SELECT coalesce(a.log_date, b.log_date) AS log_date,
+       coalesce(a.status_code, b.status_code) AS status_code,
+       a.request_count AS a_request_count, a.total_bytes AS a_total_bytes,
+       b.request_count AS b_request_count, b.total_bytes AS b_total_bytes,
+       CASE WHEN b.log_date IS NULL THEN 'only_a' WHEN a.log_date IS NULL THEN 'only_b'
+            WHEN a.request_count = b.request_count AND a.total_bytes = b.total_bytes THEN 'match'
+            ELSE 'mismatch' END AS outcome
+FROM ({_Q1.replace("FROM logs", "FROM lg WHERE NOT is_malformed AND status_code <> 302")}) a
+FULL JOIN ({_Q1.replace("FROM logs", "FROM lg WHERE NOT is_malformed AND status_code <> 404 AND eid % 10 <> 3")}) b
+  ON a.log_date = b.log_date AND a.status_code = b.status_code"""
+
+_LONG_Q2 = _Q2.replace("SELECT resource_path", f"SELECT '/{LONG}' || resource_path AS resource_path", 1)
+
+
+def _one_failed_sql() -> str:
+    return "\nUNION ALL\n".join(f"""SELECT 'part_dataframe' AS run_a, 'part_two_stage' AS run_b,
+       '{q}' AS query, {rows} AS rows_a, {rows} AS rows_b, CAST(0 AS BIGINT) AS mismatched_rows,
+       {matched} AS matched, '{verdict}' AS verdict""" for q, rows, matched, verdict in (
+        ("q1", f"(SELECT count(*) FROM ({_Q1}) x)", "true", "match"),
+        ("q2", "CAST(0 AS BIGINT)", "CAST(NULL AS BOOLEAN)", "not_run"),
+        ("q3", f"(SELECT count(*) FROM ({_Q3}) x)", "true", "match")))
+
+
+def _huge_sql() -> str:
+    total = "sum(CAST(4611686018427387904 AS HUGEINT) - bytes_transferred)"
+    return "\nUNION ALL\n".join(f"""SELECT log_date, status_code, count(*) AS request_count,
+       CASE WHEN {total} <= 9223372036854775807 THEN CAST({total} AS VARCHAR) END AS total_bytes,
+       '{variant}' AS variant
+FROM logs WHERE log_hour < 2 GROUP BY log_date, status_code"""
+                                for variant in ("dataframe", "sql", "two_stage"))
+
+
 def oracle_sql() -> dict[str, str]:
     e, o = _EVENTS, _ORDERS
     run_a = _runs()[0]
@@ -555,7 +802,7 @@ FROM ({_Q3}) q ORDER BY log_date, log_hour LIMIT 20""",
         "compare_summary": e + "\nUNION ALL\n".join(
             f"""SELECT '{_runs()[0]}' AS run_a, '{_runs()[2]}' AS run_b, '{q}' AS query,
        count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS mismatched_rows,
-       true AS matched,
+       true AS matched, 'match' AS verdict,
        (SELECT count(*) FROM lg) AS a_total_records,
        (SELECT CAST(count_if(is_malformed) AS BIGINT) FROM lg) AS a_malformed_records,
        (SELECT count(*) FROM lg) AS b_total_records,
@@ -564,5 +811,43 @@ FROM ({base}) x""" for q, base in (("q1", _Q1), ("q2", _Q2), ("q3", _Q3))),
         "compare_all_pairs": _all_pairs_sql(),
         "selected_queries_job": e + f"""SELECT 'q1' AS query, count(*) AS result_rows FROM ({_Q1}) a
 UNION ALL SELECT 'q3' AS query, count(*) AS result_rows FROM ({_Q3}) b""",
+        "report_batches_text": e + f"""SELECT batch_sequence, batch_key, 'fixed' AS batch_strategy,
+       total_records, valid_records, malformed_records FROM ({_fixed_sql(SMALL_BATCH)}) f""",
+        "read_many_paths": e + """SELECT CAST(eid % 24 AS INTEGER) AS src_ordinal, count(*) AS total_lines,
+       CAST(count_if(is_malformed) AS BIGINT) AS malformed_lines FROM lg GROUP BY 1""",
+        "compare_q2_long_paths": e + _compare_sql(_LONG_Q2, ["resource_path"], [
+            "request_count", "total_bytes", "distinct_host_count"]),
+        "report_q2_long_paths": e + f"""SELECT substr(resource_path, 1, 44) || '...' AS resource_path,
+       request_count, total_bytes, distinct_host_count FROM ({_LONG_Q2}) q""",
+        "jdbc_paths_cut": e + f"""SELECT substr(resource_path, 1, 512) AS resource_path,
+       request_count, total_bytes, distinct_host_count FROM ({_LONG_Q2}) q""",
+        "rerun_replaces_all": e + f"""SELECT 'q1' AS query, count(*) AS stored_rows,
+       (SELECT CAST(ceil(count(*) / {2 * FIXED_BATCH}.0) AS BIGINT) FROM lg) AS last_batch
+FROM ({_Q1}) a
+UNION ALL SELECT 'q2', CAST(0 AS BIGINT), CAST(NULL AS BIGINT)
+UNION ALL SELECT 'q3', CAST(0 AS BIGINT), CAST(NULL AS BIGINT)""",
+        "compare_all_pairs_one_failed": e + _one_failed_sql(),
+        "compare_diffs": e + _UNEVEN,
+        "compare_first_diffs": e + f"""SELECT * FROM ({_UNEVEN}) u WHERE outcome <> 'match'
+ORDER BY log_date, status_code LIMIT 5""",
+        "query_output_roundtrip_q1": e + _Q1,
+        "query_output_roundtrip_q2": e + _Q2.replace(
+            "FROM logs", "FROM (SELECT * REPLACE (CASE WHEN status_code >= 400 THEN '' "
+                         "ELSE resource_path END AS resource_path) FROM logs) l"),
+        "q1_huge_bytes": e + _huge_sql(),
+        "gzip_latin1_hosts": e + """SELECT replace(host, 'host', 'hôßt') AS host,
+       count(*) AS request_count FROM logs GROUP BY 1""",
+        "missing_paths_skipped": e + """SELECT CAST(1 AS INTEGER) AS src_ordinal,
+       count(*) AS total_lines FROM lg""",
+        "staged_short_rows": e + "SELECT * FROM logs WHERE status_code <> 500",
+        "staged_tabs": e + "SELECT * REPLACE ('a ' || host AS host) FROM logs",
+        "stage_parquet_replaced": e + "SELECT * FROM logs WHERE status_code = 200",
+        "batch_strategy_names": e + "\nUNION ALL\n".join([
+            _run_stats_row("monthly", 10000, _batches(_MONTH_KEY)),
+            _run_stats_row("weekly", 10000, _batches(_WEEK_KEY)),
+            _run_stats_row("fixed", 10000, _fixed_sql(10000))]),
+        "q2_ties": e + """SELECT resource_path, CAST(1 AS BIGINT) AS request_count,
+       max(bytes_transferred) AS total_bytes, CAST(1 AS BIGINT) AS distinct_host_count
+FROM logs GROUP BY resource_path ORDER BY resource_path LIMIT 20""",
         "stream_q1_daily_traffic": e + _Q1,
     }

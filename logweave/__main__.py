@@ -9,8 +9,8 @@
 
 ``run`` prints the run id and report; ``run-all`` runs every variant, prints
 each report and the pairwise comparison; ``compare`` checks every pair of the
-given runs (two runs also get their per-query diffs).  Under ``spark-submit``
-the cluster's session is used; otherwise a local one is started.
+given runs.  Every pair that differs gets up to five differing keys per query.  The
+master is the submitted one (``spark-submit``, ``spark-defaults.conf``).
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ import sys
 from pyspark.sql import SparkSession
 
 from logweave.constants import DEFAULT_BATCH_SIZE
-from logweave.operators.compare import (compare_all_pairs, compare_runs,
-                                        compare_summary, diff_examples)
+from logweave.operators.compare import all_diffs, compare_all_pairs, compare_summary
+from logweave.operators.queries import in_order
 from logweave.plans.job import VARIANTS, run_all, run_job
-from logweave.plans.report import format_report, run_report
+from logweave.plans.report import report_lines, run_report
 from logweave.sinks.store import ResultStore, write_tsv_output
 
 
@@ -65,22 +65,23 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _session() -> SparkSession:
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    from logweave.session import local_session
-    return local_session()
+    """The submitted session; plain ``python`` starts Spark with its own default master."""
+    return (SparkSession.builder.appName("logweave")
+            .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+
+
+def _print_report(store: ResultStore, run_id: str) -> None:
+    for line in report_lines(run_report(store, run_id)):
+        print(line)
 
 
 def _print_comparison(store: ResultStore, run_ids: list[str]) -> None:
-    compare_all_pairs(store, run_ids).show(truncate=False)
+    compare_all_pairs(store, run_ids).show(len(run_ids) ** 2 * 3, truncate=False)
     if len(run_ids) == 2:
         compare_summary(store, run_ids[0], run_ids[1]).show(truncate=False)
-        for q in ("q1", "q2", "q3"):
-            diffs = diff_examples(compare_runs(store, run_ids[0], run_ids[1], q), q)
-            if diffs.take(1):
-                print(f"-- {q}: first differences")
-                diffs.show(truncate=False)
+    for run_a, run_b, query, diffs in all_diffs(store, run_ids):
+        print(f"-- {run_a} / {run_b} / {query}: first differences")
+        diffs.show(truncate=False)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -100,17 +101,20 @@ def _run(args: argparse.Namespace) -> int:
                       args.variant, store, args.variant, args.run_id, args.missing)
         print(job.run_id)
         if args.tsv_output:
-            for q, frame in job.results.items():
-                write_tsv_output(frame, f"{args.tsv_output.rstrip('/')}/{q}")
-        print(format_report(run_report(store, job.run_id)))
+            for q, frame in job.results.items():         # the stored rows, in order
+                write_tsv_output(in_order(frame, q), f"{args.tsv_output.rstrip('/')}/{q}")
+        _print_report(store, job.run_id)
     elif args.command == "run-all":
         runs = run_all(spark, args.logs, store, args.strategy, args.batch_size,
                        args.queries, missing=args.missing)
         for job in runs:
-            print(format_report(run_report(store, job.run_id)))
+            _print_report(store, job.run_id)
+        for variant, error in runs.failed.items():
+            print(f"logweave: {variant} failed: {error}", file=sys.stderr)
         _print_comparison(store, [job.run_id for job in runs])
+        return 1 if runs.failed else 0
     elif args.command == "report":
-        print(format_report(run_report(store, args.run_id)))
+        _print_report(store, args.run_id)
     else:
         _print_comparison(store, args.run_ids)
     return 0

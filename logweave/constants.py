@@ -10,10 +10,6 @@ to columns and batch keys.
 # functions search, so the end is anchored with \z (end of input) here.
 LOG_LINE_REGEX = r'^(\S+)\s+\S+\s+\S+\s+\[([^\]]+)\]\s+"([^"]*)"\s+(\d{3})\s+(\S+)\z'
 
-# Timestamp layout inside the brackets (java.time pattern, English locale,
-# SMART resolution, offset parsed but not applied).
-TIMESTAMP_PATTERN = "dd/MMM/yyyy:HH:mm:ss Z"
-
 # English short month names, case-sensitive, January first.
 MONTH_NAMES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun",
                "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]

@@ -21,5 +21,5 @@ def display_rate(rate: Column) -> Column:
 
 
 def sink_path(path: Column) -> Column:
-    """resource_path as stored in the result table (column width)."""
+    """resource_path as a database column of fixed width takes it."""
     return F.substring(path, 1, RESOURCE_PATH_MAX)

@@ -12,7 +12,7 @@ Queries run once over all lines; batches only drive the per-batch accounting
 Every count is a grouped aggregate with map-side partial aggregation.  The
 un-partitioned steps work on small derived frames only: the numbering of the
 per-key frame (bounded by the number of calendar keys) and, for FIXED, the
-prefix sum over the per-split frame (one row per file split).
+prefix sum over the parts of the per-split frame (one row per part).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from logweave.constants import DEFAULT_BATCH_SIZE
 from logweave.functions.batchkeys import calendar_key, fixed_key, normalise_strategy
-from logweave.operators.lineindex import with_line_index
+from logweave.operators.lineindex import persisted_positions, with_line_index
 from logweave.sources.text import ORDER_COLUMNS, SEGMENT_COLUMNS
 
 BATCH_STATS_COLUMNS = ["batch_sequence", "batch_key", "total_records",
@@ -43,11 +43,17 @@ def _finish(frame: DataFrame) -> DataFrame:
         "malformed_records")
 
 
-def fixed_batch_stats(parsed: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
-    """Per fixed-size batch: total / valid / malformed line counts."""
+def fixed_batch_stats(parsed: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE,
+                      persisted: bool = False) -> DataFrame:
+    """Per fixed-size batch: total / valid / malformed line counts.
+
+    ``persisted``: the rows are read from a stored table.  Otherwise the position
+    columns are stored first (see ``lineindex``).
+    """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    indexed = with_line_index(parsed.select(*ORDER_COLUMNS, "is_malformed"))
+    narrow = parsed.select(*ORDER_COLUMNS, "is_malformed")
+    indexed = with_line_index(narrow if persisted else persisted_positions(narrow))
     number = (F.expr(f"line_index div {int(batch_size)}") + 1).cast("long")    # exact integer
     per_batch = indexed.groupBy(number.alias("batch_sequence")).agg(*_counts())
     return _finish(per_batch.withColumn("batch_key", fixed_key(F.col("batch_sequence"))))
@@ -75,12 +81,13 @@ def calendar_batch_stats(parsed: DataFrame, strategy: str) -> DataFrame:
 
 
 def batch_stats(parsed: DataFrame, strategy: str = "fixed",
-                batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
+                batch_size: int = DEFAULT_BATCH_SIZE, persisted: bool = False) -> DataFrame:
     """B8 for any strategy; ``parsed`` needs ``is_malformed``, ``batch_date``
-    (calendar strategies) and the source order columns."""
+    (calendar strategies) and the source order columns.  ``persisted``: see
+    ``fixed_batch_stats``."""
     strategy = normalise_strategy(strategy)
     if strategy == "fixed":
-        return fixed_batch_stats(parsed, batch_size)
+        return fixed_batch_stats(parsed, batch_size, persisted)
     return calendar_batch_stats(parsed, strategy)
 
 

@@ -10,8 +10,8 @@ different values or present on one side only.
 * ``compare_runs``    one frame per key: both sides' values and an outcome
   (``match`` / ``mismatch`` / ``only_a`` / ``only_b``), by a full outer join on
   the key (null-safe value comparison).
-* ``compare_summary`` per query: rows on each side, mismatching keys, verdict,
-  plus the two runs' total / malformed line counts (R7).
+* ``compare_summary`` per query: rows on each side, mismatching keys, verdict
+  (``not_run`` for a query that neither run executed), plus the two runs' total / malformed line counts (R7).
 * ``compare_all_pairs`` (R6) every pair of the given runs that finished (have a
   run_metadata row).  Instead of a self-join per key, the stored rows of all
   runs are pivoted on run_id (one row per key, the values of every run side by side) and every
@@ -20,7 +20,7 @@ different values or present on one side only.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -100,8 +100,31 @@ def diff_examples(comparison: DataFrame, query: str, n: int = COMPARE_DIFFS_SHOW
             .orderBy(*RESULT_KEYS[query]).limit(n))
 
 
-def _verdict(rows_a, rows_b, mismatched) -> F.Column:
-    return (rows_a == rows_b) & (mismatched == 0)
+def _verdict(executed: F.Column) -> list[F.Column]:
+    """``verdict`` (match / mismatch / not_run) and ``matched`` (NULL if neither run
+    executed the query; one that only one run executed is a mismatch)."""
+    both, neither = executed == 2, executed == 0
+    same = both & (F.col("rows_a") == F.col("rows_b")) & (F.col("mismatched_rows") == 0)
+    verdict = F.when(neither, "not_run").when(same, "match").otherwise("mismatch")
+    return [F.when(~neither, same).alias("matched"), verdict.alias("verdict")]
+
+
+def _executed(store: ResultStore) -> DataFrame:
+    """(run, query) of every query that a finished run executed."""
+    return store.run_metadata().select(F.col("run_id").alias("run"),
+                                       F.explode(F.split("queries", ",")).alias("ran"))
+
+
+def _with_verdict(pairs: DataFrame, store: ResultStore) -> DataFrame:
+    """``pairs`` (run_a, run_b, query, counts) with verdicts."""
+    ran = _executed(store)
+    for side in ("a", "b"):
+        mine = ran.select(F.col("run").alias(f"run_{side}"), F.col("ran").alias("query"),
+                          F.lit(1).alias(f"ran_{side}")).distinct()
+        pairs = pairs.join(mine, [f"run_{side}", "query"], "left")
+    executed = F.coalesce("ran_a", F.lit(0)) + F.coalesce("ran_b", F.lit(0))
+    return pairs.select("run_a", "run_b", "query", "rows_a", "rows_b", "mismatched_rows",
+                        *_verdict(executed), *[c for c in pairs.columns if c.endswith("_records")])
 
 
 def compare_summary(store: ResultStore, run_a: str, run_b: str,
@@ -122,14 +145,13 @@ def compare_summary(store: ResultStore, run_a: str, run_b: str,
         # run_metadata holds one row per run id: a scalar subquery, no join
         return meta.filter(F.col("run_id") == run).select(F.max(column)).scalar()
 
-    return summary.select(
+    return _with_verdict(summary.select(
         F.lit(run_a).alias("run_a"), F.lit(run_b).alias("run_b"), "query",
         "rows_a", "rows_b", "mismatched_rows",
-        _verdict(F.col("rows_a"), F.col("rows_b"), F.col("mismatched_rows")).alias("matched"),
         scalar(run_a, "total_records").alias("a_total_records"),
         scalar(run_a, "malformed_records").alias("a_malformed_records"),
         scalar(run_b, "total_records").alias("b_total_records"),
-        scalar(run_b, "malformed_records").alias("b_malformed_records"))
+        scalar(run_b, "malformed_records").alias("b_malformed_records")), store)
 
 
 def finished_runs(store: ResultStore, run_ids: Sequence[str]) -> list[str]:
@@ -145,7 +167,7 @@ def compare_all_pairs(store: ResultStore, run_ids: Sequence[str],
     runs = finished_runs(store, run_ids)
     pairs = [(a, b) for i, a in enumerate(runs) for b in runs[i + 1:]]
     schema = ("run_a string, run_b string, query string, rows_a long, rows_b long, "
-              "mismatched_rows long, matched boolean")
+              "mismatched_rows long, matched boolean, verdict string")
     if not pairs:
         return store.spark.createDataFrame([], schema)
     per_query = []
@@ -169,7 +191,14 @@ def compare_all_pairs(store: ResultStore, run_ids: Sequence[str],
                 F.count_if(~same).alias("mismatched_rows")))
         agg = wide.agg(F.array(*stats).alias("pairs"))
         per_query.append(agg.select(F.inline("pairs")))
-    out = reduce(DataFrame.unionByName, per_query)
-    return out.select("run_a", "run_b", "query", "rows_a", "rows_b", "mismatched_rows",
-                      _verdict(F.col("rows_a"), F.col("rows_b"), F.col("mismatched_rows"))
-                      .alias("matched"))
+    return _with_verdict(reduce(DataFrame.unionByName, per_query), store)
+
+
+def all_diffs(store: ResultStore, run_ids: Sequence[str], queries: Sequence[str] = ALL_QUERIES,
+              n: int = COMPARE_DIFFS_SHOWN) -> Iterator[tuple[str, str, str, DataFrame]]:
+    """R5 for R6: (run_a, run_b, query, first ``n`` differing keys) of every pair that
+    differs in a query."""
+    for pair in compare_all_pairs(store, run_ids, queries).filter("verdict = 'mismatch'").collect():
+        yield (pair.run_a, pair.run_b, pair["query"],
+               diff_examples(compare_runs(store, pair.run_a, pair.run_b, pair["query"]),
+                             pair["query"], n))

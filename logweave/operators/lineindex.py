@@ -1,23 +1,23 @@
-"""Global 0-based line index without a one-partition window.
-
-Lines carry segment columns (one segment = one file split) and a sequence
-number that is consecutive inside a segment (see ``sources.text``).  The index
-is ``offset(segment) + seq - first_seq(segment)`` where the offsets are a
-prefix sum over the per-segment line counts.
-
-Cost: one aggregate over the lines (partial counts map-side, one row per
-segment shuffled), a prefix sum over the segment frame (one row per file
-split - about 800k rows for 100 TB at 128 MB splits), and a map-side join back.
-
-The segment frame is checkpointed to the shared checkpoint folder and sized
-before it is broadcast.  Its join key replaces the file path by
-``xxhash64(path)`` (about 40 bytes a row instead of ~140): the hashed key is
-used only after checking that it is unique over the segment frame - every
-line's segment is in that frame, so a unique key makes the join exact.  Up to
-``BROADCAST_MAX_SEGMENTS`` rows (4M, some 500 TB of 128 MB splits) the frame
-is broadcast; with a hash collision the path itself is the key (broadcast up
-to ``BROADCAST_MAX_PATH_SEGMENTS``); beyond either limit the join back is an
-ordinary shuffle join on the segment key.
+"""Global 0-based line index without a one-partition window over lines or splits.
+
+Lines carry segment columns (one segment = one file split) and a sequence number
+that is consecutive inside a segment (see ``sources.text``).  The index is
+``offset(segment) + seq - first_seq(segment)``; the offsets are a prefix sum over the
+per-segment line counts.
+
+The positions are taken from *persisted* rows: a second scan of raw logs may be split
+otherwise (splits depend on the parallelism of the moment), so ``persisted_positions``
+writes the narrow position columns first, unless the caller's rows are stored already.
+A line whose segment has no offset raises instead of being dropped.
+
+Prefix sum: the segment frame is range-partitioned by position and stored with its
+part number; each part sums its own segments, and only the parts' totals - one row per
+part - go through an un-partitioned window.
+
+Join back: the offsets are broadcast if their estimated size in memory is at most
+``BROADCAST_MAX_BYTES``, with the file path replaced by its hash where that is unique.
+Otherwise lines and offsets are shuffled by (segment, stretch of ``STRETCH`` sequence
+numbers), so that a segment of any length - a gzip file is one - is many keys.
 """
 
 from __future__ import annotations
@@ -27,57 +27,74 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweave.session import scratch_root
+from logweave.session import scratch_dir
 from logweave.sources.text import SEGMENT_COLUMNS
 
-BROADCAST_MAX_SEGMENTS = 4_000_000
-BROADCAST_MAX_PATH_SEGMENTS = 100_000
-_FILE_KEY = "seg_file_key"
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+#: a row of a broadcast hash table: key, value and pointers, without strings
+ROW_BYTES = 160
+STRETCH = 1 << 20
+
+
+def _stored(frame: DataFrame, name: str) -> DataFrame:
+    spark, path = frame.sparkSession, scratch_dir(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def persisted_positions(lines: DataFrame) -> DataFrame:
+    """The given columns written to the shared folder and read back."""
+    return _stored(lines, "positions")
 
 
 def segment_offsets(lines: DataFrame, segment_cols: Sequence[str] = SEGMENT_COLUMNS,
                     seq_col: str = "src_seq") -> DataFrame:
-    """One row per segment: line count, first sequence number, global offset."""
-    stats = lines.groupBy(*segment_cols).agg(
-        F.count(F.lit(1)).alias("seg_lines"),
-        F.min(seq_col).alias("seg_first"))
-    before = Window.orderBy(*segment_cols).rowsBetween(Window.unboundedPreceding, -1)
-    return stats.withColumn(
-        "seg_offset", F.coalesce(F.sum("seg_lines").over(before), F.lit(0)).cast("long"))
+    """One row per segment: line count, first sequence number, global offset (stored)."""
+    segment_cols = list(segment_cols)
+    stats = lines.groupBy(*segment_cols).agg(F.count(F.lit(1)).alias("seg_lines"),
+                                             F.min(seq_col).alias("seg_first"))
+    # the sort also fixes the parts: a part holds one stretch of the input order
+    parts = _stored(stats.repartitionByRange(*segment_cols)
+                    .withColumn("seg_part", F.spark_partition_id()), "segments")
+    in_part = (Window.partitionBy("seg_part").orderBy(*segment_cols)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    before = Window.orderBy("seg_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = parts.groupBy("seg_part").agg(F.sum("seg_lines").alias("part_lines")).select(
+        "seg_part", F.coalesce(F.sum("part_lines").over(before), F.lit(0)).alias("part_offset"))
+    within = F.coalesce(F.sum("seg_lines").over(in_part), F.lit(0))
+    return _stored(parts.withColumn("seg_within", within).join(totals, "seg_part").select(
+        *segment_cols, "seg_lines", "seg_first",
+        (F.col("part_offset") + F.col("seg_within")).cast("long").alias("seg_offset")), "offsets")
 
 
 def with_line_index(lines: DataFrame, segment_cols: Sequence[str] = SEGMENT_COLUMNS,
                     seq_col: str = "src_seq", index_col: str = "line_index",
-                    broadcast_max_segments: int = BROADCAST_MAX_SEGMENTS,
-                    broadcast_max_path_segments: int = BROADCAST_MAX_PATH_SEGMENTS) -> DataFrame:
-    """``lines`` plus a 0-based index in input order."""
-    scratch_root(lines.sparkSession)            # make sure a checkpoint dir exists
+                    broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``lines`` (persisted rows) plus a 0-based index in input order."""
     segment_cols = list(segment_cols)
     offsets = segment_offsets(lines, segment_cols, seq_col)
-    hashed = "src_file" in segment_cols
-    if hashed:
-        offsets = offsets.withColumn(_FILE_KEY, F.xxhash64("src_file"))
-    offsets = offsets.checkpoint(eager=True)
-    hashed_cols = [_FILE_KEY if c == "src_file" else c for c in segment_cols]
-    # one small job: the row count and whether the hashed key is unique
-    sizes = offsets.agg(F.count(F.lit(1)).alias("n"),
-                        F.count_distinct(*hashed_cols).alias("keys")).first()
-    n_segments = sizes["n"]
-
-    if hashed:
-        unique = sizes["keys"] == n_segments
-        if unique and n_segments <= broadcast_max_segments:
-            side = F.broadcast(offsets.select(*hashed_cols, "seg_first", "seg_offset"))
-            keyed = lines.withColumn(_FILE_KEY, F.xxhash64("src_file"))
-            joined = keyed.join(side, hashed_cols, "inner").drop(_FILE_KEY)
-            return _finish(joined, seq_col, index_col)
-    small = n_segments <= broadcast_max_path_segments
-    side = offsets.select(*segment_cols, "seg_first", "seg_offset")
-    joined = lines.join(F.broadcast(side) if small else side, segment_cols, "inner")
-    return _finish(joined, seq_col, index_col)
-
-
-def _finish(joined: DataFrame, seq_col: str, index_col: str) -> DataFrame:
+    file_keys = {"src_file": "seg_file"} if "src_file" in segment_cols else {}
+    hashed = [file_keys.get(c, c) for c in segment_cols]
+    keyed = offsets.withColumns({k: F.xxhash64(c) for c, k in file_keys.items()})
+    text = F.lit(0) + sum((F.octet_length(c) for c in file_keys), F.lit(0))
+    size = keyed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(*hashed).alias("keys"),
+                     F.coalesce(F.sum(text), F.lit(0)).alias("text")).first()
+    unique = size["keys"] == size["n"]
+    cost = size["n"] * ROW_BYTES + (0 if unique else size["text"])
+    if cost <= broadcast_max_bytes:
+        keys = hashed if unique else segment_cols
+        side = F.broadcast(keyed.select(*keys, "seg_first", "seg_offset"))
+        named = lines.withColumns({k: F.xxhash64(c) for c, k in file_keys.items()}) if unique else lines
+        joined = named.join(side, keys, "left")
+        joined = joined.drop(*file_keys.values()) if unique else joined
+    else:
+        stretch = F.expr(f"{seq_col} div {STRETCH}")
+        side = offsets.select(*segment_cols, "seg_first", "seg_offset", F.explode(F.expr(
+            f"sequence(seg_first div {STRETCH}, (seg_first + seg_lines - 1) div {STRETCH})"))
+            .alias("seg_stretch"))
+        joined = lines.withColumn("seg_stretch", stretch).join(
+            side, [*segment_cols, "seg_stretch"], "left").drop("seg_stretch")
+    lost = F.raise_error(F.lit("line index: a line of a segment that was not counted")).cast("long")
     return joined.withColumn(
-        index_col, F.col("seg_offset") + F.col(seq_col) - F.col("seg_first")
+        index_col, F.coalesce(F.col("seg_offset") + F.col(seq_col) - F.col("seg_first"), lost)
     ).drop("seg_first", "seg_offset")

@@ -15,7 +15,9 @@ shuffle (partial aggregates); for distinct counts the first shuffle is on
 
 Ordering: Q1 by (log_date, status_code), Q3 by (log_date, log_hour); Q2 is the
 top 20 by request_count descending with ties broken by resource_path
-ascending, planned as ``TakeOrderedAndProject`` (no global sort).
+ascending, planned as ``TakeOrderedAndProject`` (no global sort).  Stored results
+leave the sort of Q1 and Q3 out (``ordered=False``).  Byte totals are summed exactly;
+one that is beyond a long is NULL.
 """
 
 from __future__ import annotations
@@ -38,65 +40,82 @@ def guarded_rate(num: Column, den: Column) -> Column:
     return F.when(den > 0, num / den).otherwise(F.lit(0.0)).cast("double")
 
 
+def exact_sum(column: str) -> Column:
+    """A sum of longs that cannot overflow: DECIMAL(30, 0)."""
+    return F.sum(F.col(column).cast("decimal(20,0)"))
+
+
+def total_bytes() -> Column:
+    """Bytes of a group; NULL where the exact sum is beyond a long."""
+    return exact_sum("bytes_transferred").try_cast("long")
+
+
 def _top(frame: DataFrame) -> DataFrame:
     return frame.orderBy(F.col("request_count").desc(), F.col("resource_path").asc()) \
                 .limit(TOP_RESOURCES_LIMIT)
 
 
+def in_order(result: DataFrame, query: str) -> DataFrame:
+    """Stored rows of a query in the query's order."""
+    if query == "q2":
+        return _top(result)
+    return result.orderBy(*result.columns[:2])
+
+
 # -- dataframe variant --------------------------------------------------------
 
-def q1_daily_traffic(logs: DataFrame) -> DataFrame:
-    return (logs.groupBy("log_date", "status_code")
-            .agg(F.count(F.lit(1)).alias("request_count"),
-                 F.sum("bytes_transferred").cast("long").alias("total_bytes"))
-            .orderBy("log_date", "status_code"))
+def q1_daily_traffic(logs: DataFrame, ordered: bool = True) -> DataFrame:
+    per_day = logs.groupBy("log_date", "status_code").agg(
+        F.count(F.lit(1)).alias("request_count"), total_bytes().alias("total_bytes"))
+    return per_day.orderBy("log_date", "status_code") if ordered else per_day
 
 
-def q2_top_resources(logs: DataFrame) -> DataFrame:
+def q2_top_resources(logs: DataFrame, ordered: bool = True) -> DataFrame:
     agg = logs.groupBy("resource_path").agg(
         F.count(F.lit(1)).alias("request_count"),
-        F.sum("bytes_transferred").cast("long").alias("total_bytes"),
+        total_bytes().alias("total_bytes"),
         F.count_distinct("host").alias("distinct_host_count"))
     return _top(agg)
 
 
-def q3_hourly_errors(logs: DataFrame) -> DataFrame:
+def q3_hourly_errors(logs: DataFrame, ordered: bool = True) -> DataFrame:
     err = is_error()
     agg = logs.groupBy("log_date", "log_hour").agg(
         F.count_if(err).alias("error_request_count"),
         F.count(F.lit(1)).alias("total_request_count"),
         F.count_distinct(F.when(err, F.col("host"))).alias("distinct_error_hosts"))
-    return agg.select(
+    hourly = agg.select(
         "log_date", "log_hour", "error_request_count", "total_request_count",
         guarded_rate(F.col("error_request_count"), F.col("total_request_count"))
         .alias("error_rate"),
-        "distinct_error_hosts").orderBy("log_date", "log_hour")
+        "distinct_error_hosts")
+    return hourly.orderBy("log_date", "log_hour") if ordered else hourly
 
 
 # -- two_stage variant -------------------------------------------------------
 
-def q1_two_stage(logs: DataFrame) -> DataFrame:
+def q1_two_stage(logs: DataFrame, ordered: bool = True) -> DataFrame:
     """Hourly roll-up first, then day totals (re-aggregation by SUM)."""
     hourly = logs.groupBy("log_date", "log_hour", "status_code").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("bytes_transferred").alias("b"))
-    return (hourly.groupBy("log_date", "status_code")
-            .agg(F.sum("n").cast("long").alias("request_count"),
-                 F.sum("b").cast("long").alias("total_bytes"))
-            .orderBy("log_date", "status_code"))
+        F.count(F.lit(1)).alias("n"), exact_sum("bytes_transferred").alias("b"))
+    per_day = hourly.groupBy("log_date", "status_code").agg(
+        F.sum("n").cast("long").alias("request_count"),
+        F.sum("b").try_cast("long").alias("total_bytes"))
+    return per_day.orderBy("log_date", "status_code") if ordered else per_day
 
 
-def q2_two_stage(logs: DataFrame) -> DataFrame:
+def q2_two_stage(logs: DataFrame, ordered: bool = True) -> DataFrame:
     """Dedupe (path, host) with partial counts, then one row per path."""
     per_host = logs.groupBy("resource_path", "host").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("bytes_transferred").alias("b"))
+        F.count(F.lit(1)).alias("n"), exact_sum("bytes_transferred").alias("b"))
     agg = per_host.groupBy("resource_path").agg(
         F.sum("n").cast("long").alias("request_count"),
-        F.sum("b").cast("long").alias("total_bytes"),
+        F.sum("b").try_cast("long").alias("total_bytes"),
         F.count(F.lit(1)).alias("distinct_host_count"))
     return _top(agg)
 
 
-def q3_two_stage(logs: DataFrame) -> DataFrame:
+def q3_two_stage(logs: DataFrame, ordered: bool = True) -> DataFrame:
     """Dedupe (date, hour, host, is_error) with counts, then per hour."""
     per_host = logs.groupBy("log_date", "log_hour", "host",
                             is_error().alias("err")).agg(F.count(F.lit(1)).alias("n"))
@@ -105,11 +124,12 @@ def q3_two_stage(logs: DataFrame) -> DataFrame:
         .alias("error_request_count"),
         F.sum("n").cast("long").alias("total_request_count"),
         F.count_if(F.col("err")).alias("distinct_error_hosts"))
-    return agg.select(
+    hourly = agg.select(
         "log_date", "log_hour", "error_request_count", "total_request_count",
         guarded_rate(F.col("error_request_count"), F.col("total_request_count"))
         .alias("error_rate"),
-        "distinct_error_hosts").orderBy("log_date", "log_hour")
+        "distinct_error_hosts")
+    return hourly.orderBy("log_date", "log_hour") if ordered else hourly
 
 
 DATAFRAME_QUERIES = {"q1": q1_daily_traffic, "q2": q2_top_resources, "q3": q3_hourly_errors}

@@ -7,12 +7,14 @@ are the first 20 by key, so the report is deterministic.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.constants import REPORT_ROW_LIMIT
 from logweave.functions.display import display_path, display_rate
-from logweave.sinks.store import ResultStore
+from logweave.sinks.store import ResultStore, write_tsv_output
 
 
 def report_metadata(store: ResultStore, run_id: str) -> DataFrame:
@@ -59,18 +61,25 @@ def run_report(store: ResultStore, run_id: str) -> dict[str, DataFrame]:
             "q3": report_q3(store, run_id)}
 
 
-def format_report(report: dict[str, DataFrame], max_batches: int = 50) -> str:
-    """Plain-text rendering (each section is at most a few dozen rows)."""
-    out = []
-    for name in ("metadata", "batches", "q1", "q2", "q3"):
-        frame = report[name]
-        cols = frame.columns
-        limit = max_batches if name == "batches" else REPORT_ROW_LIMIT
-        rows = frame.limit(limit + 1).collect()
-        out.append(f"== {name} ==")
-        out.append(" | ".join(cols))
-        for row in rows[:limit]:
-            out.append(" | ".join("" if v is None else str(v) for v in row))
-        if len(rows) > limit:
-            out.append(f"... (more rows in {name})")
-    return "\n".join(out)
+SECTIONS = ("metadata", "batches", "q1", "q2", "q3")
+
+
+def report_lines(report: dict[str, DataFrame]) -> Iterator[str]:
+    """Plain-text rendering, line by line; batches are streamed, never held together."""
+    for name in SECTIONS:
+        yield f"== {name} =="
+        yield " | ".join(report[name].columns)
+        for row in report[name].toLocalIterator():
+            yield " | ".join("" if v is None else str(v) for v in row)
+
+
+def format_report(report: dict[str, DataFrame]) -> str:
+    """The whole report as one text: every batch of the run is listed."""
+    return "\n".join(report_lines(report))
+
+
+def write_report(report: dict[str, DataFrame], path: str) -> str:
+    """Every section as a tab-separated folder under ``path``; nothing passes the driver."""
+    for name in SECTIONS:
+        write_tsv_output(report[name], f"{path.rstrip('/')}/{name}")
+    return path

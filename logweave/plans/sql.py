@@ -1,4 +1,4 @@
-"""SQL formulation of the three queries (the HiveQL / Pig form, F1-F2).
+"""SQL formulation of the three queries (F1-F2).
 
 The queries read a view (default ``access_logs``) in the LOG_SCHEMA layout.
 Catalyst turns these into the same physical plans as the DataFrame variant.
@@ -12,51 +12,39 @@ from logweave.constants import ERROR_STATUS_MAX, ERROR_STATUS_MIN, TOP_RESOURCES
 
 _ERR = f"status_code BETWEEN {ERROR_STATUS_MIN} AND {ERROR_STATUS_MAX}"
 
+_TOTAL = "try_cast(SUM(CAST(bytes_transferred AS DECIMAL(20, 0))) AS BIGINT) AS total_bytes"
+
 SQL_TEXT = {
-    "q1": """
-SELECT log_date,
-       status_code,
-       COUNT(*)                              AS request_count,
-       CAST(SUM(bytes_transferred) AS BIGINT) AS total_bytes
-FROM {view}
-GROUP BY log_date, status_code
-ORDER BY log_date ASC, status_code ASC
+    "q1": f"""
+SELECT log_date, status_code, COUNT(*) AS request_count, {_TOTAL}
+FROM {{view}}
+GROUP BY ALL
 """,
     "q2": f"""
-SELECT resource_path, request_count, total_bytes, distinct_host_count
-FROM (
-    SELECT resource_path,
-           COUNT(*)                              AS request_count,
-           CAST(SUM(bytes_transferred) AS BIGINT) AS total_bytes,
-           COUNT(DISTINCT host)                  AS distinct_host_count
-    FROM {{view}}
-    GROUP BY resource_path
-) sub
-ORDER BY request_count DESC, resource_path ASC
-LIMIT {TOP_RESOURCES_LIMIT}
+WITH by_path AS (
+  SELECT resource_path, COUNT(*) AS request_count, {_TOTAL},
+         COUNT(DISTINCT host) AS distinct_host_count
+  FROM {{view}} GROUP BY resource_path
+)
+SELECT * FROM by_path ORDER BY request_count DESC, resource_path LIMIT {TOP_RESOURCES_LIMIT}
 """,
     "q3": f"""
-SELECT log_date,
-       log_hour,
-       error_request_count,
-       total_request_count,
-       CASE WHEN total_request_count > 0
-            THEN CAST(error_request_count AS DOUBLE) / total_request_count
-            ELSE 0.0D END                       AS error_rate,
+SELECT log_date, log_hour, error_request_count, total_request_count,
+       coalesce(try_divide(error_request_count, total_request_count), 0D) AS error_rate,
        distinct_error_hosts
 FROM (
-    SELECT log_date,
-           log_hour,
-           CAST(SUM(CASE WHEN {_ERR} THEN 1 ELSE 0 END) AS BIGINT) AS error_request_count,
-           COUNT(*)                                                 AS total_request_count,
-           COUNT(DISTINCT CASE WHEN {_ERR} THEN host ELSE NULL END) AS distinct_error_hosts
-    FROM {{view}}
-    GROUP BY log_date, log_hour
-) hourly
-ORDER BY log_date ASC, log_hour ASC
+  SELECT log_date, log_hour, COUNT(*) AS total_request_count,
+         count_if({_ERR}) AS error_request_count,
+         COUNT(DISTINCT host) FILTER (WHERE {_ERR}) AS distinct_error_hosts
+  FROM {{view}} GROUP BY log_date, log_hour
+)
 """,
 }
+#: the order of a result that is shown; Q2's order picks its rows and is part of it
+SQL_ORDER = {"q1": "ORDER BY log_date, status_code", "q2": "", "q3": "ORDER BY log_date, log_hour"}
 
 
-def sql_query(spark: SparkSession, query: str, view: str = "access_logs") -> DataFrame:
-    return spark.sql(SQL_TEXT[query].format(view=view))
+def sql_query(spark: SparkSession, query: str, view: str = "access_logs",
+              ordered: bool = True) -> DataFrame:
+    text = SQL_TEXT[query].format(view=view)
+    return spark.sql(text + (SQL_ORDER[query] if ordered else ""))

@@ -65,6 +65,8 @@ RUN_METADATA_SCHEMA = StructType([
     StructField("runtime_seconds", DecimalType(10, 3)),
     StructField("started_at", TimestampType()),
     StructField("completed_at", TimestampType()),
+    # the queries the run executed, e.g. "q1,q3"
+    StructField("queries", StringType()),
 ])
 
 BATCH_METADATA_SCHEMA = StructType([

@@ -37,27 +37,45 @@ def app_id(spark: SparkSession) -> str:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables: the cluster's checkpoint directory.
 
-    The checkpoint directory named by the cluster (``spark.checkpoint.dir`` or
-    one set on the context) is used as is.  Only when none is set - local tests -
-    a fresh temporary folder is made and registered as the checkpoint dir.
-    Without a SparkContext (Spark Connect) the configured directory is used.
+    The directory named by the cluster (``spark.checkpoint.dir`` or one set on the
+    context) is used as is.  Where none is set, a local session gets a fresh
+    temporary folder; any other master raises, as its executors would write to
+    folders that the others cannot see.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:                    # Spark Connect: no context on the client
+    master = spark.conf.get("spark.master", "") or ""
+    if master.split("[")[0] not in ("local", "") and not configured:
+        configured = _context_folder(spark)
         if not configured:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+            raise RuntimeError(
+                f"master {master} needs spark.checkpoint.dir: a folder that all executors share")
+    if not master and configured:            # Spark Connect: no context on the client
         return configured.rstrip("/")
-    current = sc.getCheckpointDir()
+    current = _context_folder(spark)
     if not current:
-        if not configured:
-            configured = tempfile.mkdtemp(prefix="logweave-ckpt-")
-        sc.setCheckpointDir(configured)
-        current = sc.getCheckpointDir()
+        spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="logweave-ckpt-"))
+        current = _context_folder(spark)
     return current.rstrip("/")
 
 
+def _context_folder(spark: SparkSession) -> str | None:
+    return spark.sparkContext.getCheckpointDir()
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared scratch root."""
     return f"{scratch_root(spark)}/logweave/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is; one that is not there is fine."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder and its parents; one that is there already is fine."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)

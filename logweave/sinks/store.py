@@ -16,9 +16,14 @@ reads one partition (F3 partition pruning).  ``CREATE TABLE IF NOT EXISTS``
 over a fixed location re-attaches existing data in a new session;
 ``RECOVER PARTITIONS`` picks up partitions written by earlier sessions.
 
+A run id belongs to one pipeline: another pipeline that names it is refused.  A run
+that writes again replaces everything it had stored, also the results of queries it
+does not run this time.  Paths are stored whole; the 512 characters of a database
+column apply in the JDBC copy only.
+
 Staging (K1) writes the parsed rows once, as Parquet or as plain TSV.  An
-optional JDBC copy (``write_jdbc``) sends the same frames to a database; it is
-not exercised here because no database server may run.
+optional JDBC copy (``write_jdbc``) sends the same frames to a database; its frames
+are tested (``jdbc_frame``), the connection is not, as no database server may run.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ from logweave.functions.display import sink_path
 from logweave.schemas import (BATCH_METADATA_SCHEMA, LOG_COLUMNS, Q1_SCHEMA,
                               Q2_SCHEMA, Q3_SCHEMA, RUN_METADATA_SCHEMA,
                               RUN_TAG_SCHEMA)
+from logweave.session import make_folder
 
 PARTITION_COLUMNS = ["pipeline_name", "run_id"]
 _NAME_OK = re.compile(r"^[A-Za-z0-9_.\-]+$")
@@ -63,6 +69,11 @@ def _table_schema(name: str) -> StructType:
 TABLE_NAMES = list(RESULT_TABLES.values()) + ["run_metadata", "batch_metadata"]
 
 
+def _quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _check_name(value: str, what: str) -> str:
     if not _NAME_OK.match(value or ""):
         raise ValueError(f"{what} must match [A-Za-z0-9_.-]+, got {value!r}")
@@ -85,26 +96,20 @@ class ResultStore:
         if self._ready:
             return self
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} "
-                       f"LOCATION '{self.root}/_db'")
+                       f"LOCATION {_quoted(self.root + '/_db')}")
         for name in TABLE_NAMES:
             schema = _table_schema(name)
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.qualified(name)} ({cols}) USING parquet "
                 f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) "
-                f"LOCATION '{self.root}/{name}'")
-            self._recover_partitions(name)
+                f"LOCATION {_quoted(self.root + '/' + name)}")
+            # partitions written by earlier sessions; a new root is an empty folder
+            make_folder(self.spark, f"{self.root}/{name}")
+            self.spark.sql(f"ALTER TABLE {self.qualified(name)} RECOVER PARTITIONS")
         self._ready = True
         return self
 
-    def _recover_partitions(self, name: str) -> None:
-        """Register partitions written by earlier sessions (none for a new root)."""
-        try:
-            self.spark.sql(f"ALTER TABLE {self.qualified(name)} RECOVER PARTITIONS")
-        except Exception as exc:  # a brand-new location has no folder yet
-            if "FileNotFoundException" not in str(exc) and "does not exist" not in str(exc):
-                raise
-
     def qualified(self, name: str) -> str:
         return f"{self.database}.{name}"
 
@@ -129,14 +134,31 @@ class ResultStore:
             f"SELECT {', '.join(f.name for f in data_cols)} FROM {view}")
         self.spark.catalog.dropTempView(view)
 
+    def claim(self, pipeline_name: str, run_id: str) -> None:
+        """Refuse a run id that another pipeline holds in any table."""
+        for name in TABLE_NAMES:
+            other = (self.table(name).filter((F.col("run_id") == run_id)
+                                             & (F.col("pipeline_name") != pipeline_name))
+                     .select("pipeline_name").first())
+            if other:
+                raise ValueError(f"run id {run_id!r} belongs to pipeline {other[0]!r}")
+
+    def clear(self, pipeline_name: str, run_id: str) -> None:
+        """Empty the run's partition in every table that holds rows of it."""
+        for name in TABLE_NAMES:
+            held = self.table(name).filter((F.col("run_id") == run_id)
+                                           & (F.col("pipeline_name") == pipeline_name))
+            if held.select("run_id").first():
+                nothing = self.spark.createDataFrame([], _table_schema(name))
+                self._overwrite_partition(name, nothing, pipeline_name, run_id)
+
     def write_results(self, query: str, frame: DataFrame, pipeline_name: str, run_id: str,
                       batch_id: int, execution_time: datetime) -> None:
-        """K4: one run's rows of one query (resource_path cut to the column width)."""
+        """K4: one run's rows of one query."""
         tagged = frame.select(
             F.lit(int(batch_id)).cast("long").alias("batch_id"),
             F.lit(execution_time).cast("timestamp").alias("execution_time"),
-            *[(sink_path(F.col(c)) if c == "resource_path" else F.col(c)).alias(c)
-              for c in _RESULT_SCHEMAS[query].fieldNames()])
+            *[F.col(c) for c in _RESULT_SCHEMAS[query].fieldNames()])
         self._overwrite_partition(RESULT_TABLES[query], tagged, pipeline_name, run_id)
 
     def write_run_metadata(self, row: dict) -> None:
@@ -181,31 +203,41 @@ def stage_parquet(frame: DataFrame, path: str, compression: str = STAGE_COMPRESS
     return path
 
 
+def _plain_tsv(frame: DataFrame, path: str) -> str:
+    """Tab-separated text without quoting: '' is an empty field, NULL is \\N, blanks stay."""
+    (frame.write.mode("overwrite")
+     .option("sep", "\t").option("quote", "").option("escape", "")
+     .option("emptyValue", "").option("nullValue", "\\N")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .option("header", "false").csv(path))
+    return path
+
+
 def stage_tsv(valid: DataFrame, path: str) -> str:
-    """Valid parsed rows as plain TSV: no quoting, '' written as an empty field.
+    """Valid parsed rows as plain TSV.
 
     Tabs in host and resource_path become spaces (P9).  The parser never
     produces one - both are whitespace-free tokens - so this only guards rows
     that come from elsewhere.
     """
     safe = {c: F.replace(F.col(c), F.lit("\t"), F.lit(" ")) for c in ("host", "resource_path")}
-    (valid.select(*[safe.get(c, F.col(c)).alias(c) for c in LOG_COLUMNS])
-     .write.mode("overwrite")
-     .option("sep", "\t").option("quote", "").option("escape", "")
-     .option("emptyValue", "").option("nullValue", "\\N")
-     .option("header", "false").csv(path))
-    return path
+    return _plain_tsv(valid.select(*[safe.get(c, F.col(c)).alias(c) for c in LOG_COLUMNS]), path)
 
 
 def write_tsv_output(frame: DataFrame, path: str) -> str:
     """K3: a query result written to a directory, tab separated."""
-    (frame.write.mode("overwrite").option("sep", "\t").option("quote", "")
-     .option("escape", "").option("header", "false").csv(path))
-    return path
+    return _plain_tsv(frame, path)
+
+
+def jdbc_frame(frame: DataFrame) -> DataFrame:
+    """Rows as a database table takes them: resource_path cut to its column (P10)."""
+    if "resource_path" not in frame.columns:
+        return frame
+    return frame.withColumn("resource_path", sink_path(F.col("resource_path")))
 
 
 def write_jdbc(frame: DataFrame, url: str, table: str, properties: dict | None = None,
                batch_size: int = 10000) -> None:
     """Same rows to a JDBC table (append); batched inserts per partition."""
-    (frame.write.mode("append").option("batchsize", str(batch_size))
+    (jdbc_frame(frame).write.mode("append").option("batchsize", str(batch_size))
      .jdbc(url, table, properties=properties or {}))

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,10 +35,6 @@ def decode_latin1(value_col: str = "value"):
     return F.decode(F.col(value_col).cast("binary"), LINE_ENCODING)
 
 
-UNION_MAX_PATHS = 16
-BROADCAST_MAX_FILES = 200_000
-
-
 def _lines_of(raw: DataFrame, file_col) -> list:
     return [decode_latin1().alias("line"), file_col.alias("src_file"),
             F.col("_metadata.file_block_start").alias("src_block"),
@@ -53,12 +48,9 @@ def read_log_lines(spark: SparkSession, paths: str | Sequence[str],
     ``missing='skip'`` leaves out paths that do not exist (the batch iterators'
     behaviour); ``missing='fail'`` raises ``FileNotFoundError`` (the CLI's).
 
-    Up to ``UNION_MAX_PATHS`` paths are read as one scan each (a union).  A
-    longer list is read as a single scan over all its files - small files are
-    packed into shared tasks and the plan stays one scan wide - with each
-    file's list position attached through a broadcast (file -> position) table
-    of checked size.  A file named twice is read twice, as the reference
-    does, which only the union form can express; such a list stays a union.
+    Every path is one scan and the scans are united in list order, whatever the
+    length of the list: a folder may have its own partition sub-folders, and a file
+    named twice is read twice.
     """
     if isinstance(paths, str):
         paths = [paths]
@@ -75,19 +67,10 @@ def read_log_lines(spark: SparkSession, paths: str | Sequence[str],
     if not found:
         return spark.createDataFrame(
             [], "line string, src_ordinal int, src_file string, src_block long, src_seq long")
-    if len(found) > UNION_MAX_PATHS:
-        owner: dict[str, int] = {}
-        repeated = False
-        for ordinal, _, raw in found:
-            for name in raw.inputFiles():
-                repeated = repeated or name in owner
-                owner.setdefault(name, ordinal)
-        if not repeated:
-            return _single_scan(spark, [path for _, path, _ in found], owner)
     frames = [raw.select(F.lit(ordinal).cast("int").alias("src_ordinal"),
                          *_lines_of(raw, F.input_file_name()))
               for ordinal, _, raw in found]
-    return reduce(DataFrame.unionAll, frames).select(
+    return _united(frames).select(
         "line", "src_ordinal", "src_file", "src_block", "src_seq")
 
 
@@ -107,43 +90,48 @@ def _resolve(spark: SparkSession, paths: list[str]) -> list:
         except AnalysisException as exc:
             return exc
 
-    if len(paths) <= UNION_MAX_PATHS:
-        return [one(p) for p in paths]
     with ThreadPoolExecutor(max_workers=RESOLVE_THREADS) as pool:
         return list(pool.map(one, paths))
 
 
-def _single_scan(spark: SparkSession, paths: list[str], owner: dict[str, int]) -> DataFrame:
-    """One scan over ``paths``; ``owner`` maps each file (as ``inputFiles()``
-    and ``input_file_name()`` spell it) to its position in the list."""
-    raw = spark.read.text(paths)
-    lines = raw.select(*_lines_of(raw, F.input_file_name()))
-    positions = spark.createDataFrame(sorted(owner.items()), "src_file string, src_ordinal int")
-    side = F.broadcast(positions) if len(owner) <= BROADCAST_MAX_FILES else positions
-    return lines.join(side, "src_file", "inner").select(
-        "line", "src_ordinal", "src_file", "src_block", "src_seq")
+def _united(frames: list[DataFrame]) -> DataFrame:
+    """The union in list order, built as a balanced tree (a long chain is a deep plan)."""
+    while len(frames) > 1:
+        frames = [a.unionAll(b) for a, b in zip(frames[::2], frames[1::2])] + frames[len(frames) // 2 * 2:]
+    return frames[0]
 
 
 # Hadoop codecs whose files cannot be split: one task reads the whole file.
 UNSPLITTABLE_SUFFIXES = (".gz", ".deflate", ".zst", ".lz4", ".snappy")
 
 
+#: text that a byte of a compressed log becomes, roughly
+INFLATION = 10
+
+
 def rebalance_lines(lines: DataFrame) -> DataFrame:
-    """Spread lines over the cluster when unsplittable files make the scan narrow.
-
-    A ``.gz`` file is one task, so a few large gzip logs would be parsed (and
-    staged) by a few cores.  When the scan has fewer partitions than the
-    default parallelism and reads compressed files, the lines are round-robin
-    repartitioned - after the position columns were taken at the scan, so
-    input order is unaffected.  Plain text is already split by size, and large
-    inputs have many splits: then nothing changes and no shuffle is added.
+    """Spread lines over the cluster when large unsplittable files are read.
+
+    A ``.gz`` file is one task, however large it is.  When the text of any
+    unsplittable file is likely larger than a split (``INFLATION`` times its size
+    against ``spark.sql.files.maxPartitionBytes``), the lines are round-robin
+    repartitioned to about one split each - after the position columns were taken at
+    the scan, so input order is unaffected.  Plain text is split by size already.
     """
-    try:
-        target = lines.sparkSession.sparkContext.defaultParallelism
-        if lines.rdd.getNumPartitions() >= target:
-            return lines
-    except Exception:                    # Spark Connect: no RDD view of the plan
+    spark = lines.sparkSession
+    packed = sorted({f for f in lines.inputFiles() if f.endswith(UNSPLITTABLE_SUFFIXES)})
+    if not packed:
         return lines
-    if not any(f.endswith(UNSPLITTABLE_SUFFIXES) for f in lines.inputFiles()):
+    largest, total = (spark.read.format("binaryFile").load(packed)
+                      .agg(F.max("length"), F.sum("length")).first())
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    if largest * INFLATION <= split:
         return lines
-    return lines.repartition(target)
+    return lines.repartition(max(2, -(-total * INFLATION // split)))
+
+
+def _bytes(setting: str) -> int:
+    """A size setting such as 134217728, 128m or 128MB in bytes."""
+    number = setting.lower().rstrip("b")
+    units = {"k": 10, "m": 20, "g": 30, "t": 40}
+    return int(number[:-1]) << units[number[-1]] if number[-1] in units else int(number)

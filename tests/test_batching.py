@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logweave.functions.parse import parse_lines
 from logweave.operators.batching import batch_stats, run_stats
-from logweave.operators.lineindex import with_line_index
+from logweave.operators.lineindex import persisted_positions, with_line_index
 from logweave.plans.job import parse_for_staging
 from logweave.sources.fixtures import fixture_log_dir
 from logweave.sources.text import read_log_lines
@@ -36,8 +36,7 @@ def test_line_index_is_input_order_across_files_and_splits(spark):
     try:
         lines = read_log_lines(spark, [folder])
         assert lines.select("src_file", "src_block").distinct().count() > 8
-        indexed = with_line_index(lines, broadcast_max_segments=0,
-                                  broadcast_max_path_segments=0)   # shuffle-join path
+        indexed = with_line_index(persisted_positions(lines), broadcast_max_bytes=-1)   # shuffle join
         got = [r["line"] for r in indexed.orderBy("line_index").select("line").collect()]
         idx = [r["line_index"] for r in indexed.select("line_index").collect()]
     finally:
@@ -127,7 +126,12 @@ def test_gzip_job_is_rebalanced_and_keeps_order(spark, tmp_path):
         fh.write(("\n".join(expected) + "\n").encode("latin-1"))
     lines = read_log_lines(spark, [str(gz)])
     assert lines.rdd.getNumPartitions() == 1
-    assert rebalance_lines(lines).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert rebalance_lines(lines) is lines                   # its text fits in one split
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert rebalance_lines(lines).rdd.getNumPartitions() == -(-10 * gz.stat().st_size // 16384)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     job = run_job(spark, [str(gz)], "fixed", 97)
     got = [(r.batch_sequence, r.total_records, r.malformed_records)
            for r in job.batches.orderBy("batch_sequence").collect()]
@@ -146,12 +150,48 @@ def test_plain_text_is_not_rebalanced(spark):
 def test_line_index_broadcast_paths_agree(spark):
     folder = fixture_log_dir(spark, SF_SMALL)
     lines = read_log_lines(spark, [folder])
-    variants = [with_line_index(lines),                                   # hashed key
-                with_line_index(lines, broadcast_max_segments=0),         # path key
-                with_line_index(lines, broadcast_max_segments=0,
-                                broadcast_max_path_segments=0)]           # shuffle join
+    stored = persisted_positions(lines)
+    variants = [with_line_index(stored), with_line_index(stored, broadcast_max_bytes=-1)]
     results = [sorted((r.line_index, r.line) for r in v.select("line_index", "line").collect())
                for v in variants]
-    assert results[0] == results[1] == results[2]
+    assert results[0] == results[1]
     plan = variants[0]._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_changed_splits_between_scans_lose_no_line(spark):
+    """The index reads stored positions: other splits at the second scan change nothing,
+    and rows of unknown segments raise instead of vanishing."""
+    import pytest
+    lines = read_log_lines(spark, [fixture_log_dir(spark, SF_SMALL)])
+    indexed = with_line_index(persisted_positions(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+    try:
+        assert sorted(r[0] for r in indexed.select("line_index").collect()) == list(range(1000))
+        other = read_log_lines(spark, [fixture_log_dir(spark, SF_SMALL)])
+        for most in (1 << 20, -1):
+            half = persisted_positions(lines).filter("src_seq % 7 = 0")
+            strange = half.withColumn("src_block", F.col("src_block") + 1)
+            from logweave.operators import lineindex
+            offsets = lineindex.segment_offsets(half)
+            real = lineindex.segment_offsets
+            lineindex.segment_offsets = lambda *a, **k: offsets
+            try:
+                with pytest.raises(Exception, match="was not counted"):
+                    with_line_index(strange, broadcast_max_bytes=most).collect()
+            finally:
+                lineindex.segment_offsets = real
+        assert batch_stats(parse_for_staging(other), "fixed", 100).count() == 10
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_long_segments_are_many_join_keys(spark):
+    rows = spark.range(0, 5_000_000, 1, 3).select(
+        F.lit(0).alias("src_ordinal"), F.lit("a.gz").alias("src_file"),
+        F.lit(0).cast("long").alias("src_block"), (F.col("id") + 10).alias("src_seq"))
+    out = with_line_index(rows, broadcast_max_bytes=-1).agg(
+        F.count("line_index"), F.min("line_index"), F.max("line_index")).first()
+    assert tuple(out) == (5_000_000, 0, 4_999_999)

@@ -161,25 +161,30 @@ def test_crlf_and_cr_line_endings(spark, tmp_path):
     assert [r.is_malformed for r in sorted(rows, key=lambda r: r.src_seq)] == [False, False, False, True]
 
 
-def test_long_path_lists_read_as_one_scan_in_list_order(spark, tmp_path):
+def test_long_path_lists_read_in_list_order(spark, tmp_path):
     import random
-    from logweave.operators.lineindex import with_line_index
-    from logweave.sources import text as text_source
-    names = [f"f {i:02d}%.log" for i in range(20)]      # spaces and % in names
+    from logweave.operators.lineindex import persisted_positions, with_line_index
+    names = [f"f {i:02d}%.log" for i in range(40)]      # spaces and % in names
     for i, name in enumerate(names):
         write_lines(tmp_path / name, [f"line {i}.{j}" for j in range(3)])
     order = names[:]
     random.Random(7).shuffle(order)
     paths = [str(tmp_path / n) for n in order]
-    single = read_log_lines(spark, paths)
-    assert "Union" not in single._jdf.queryExecution().optimizedPlan().toString()
-    got = [r.line for r in with_line_index(single).orderBy("line_index").collect()]
-    want = [f"line {names.index(n)}.{j}" for n in order for j in range(3)]
-    assert got == want
-    # a repeated path keeps the union form and is read twice
-    again = read_log_lines(spark, paths + [paths[0]])
-    assert again.count() == 63
-    assert text_source.UNION_MAX_PATHS < len(paths)
+    lines = persisted_positions(read_log_lines(spark, paths))
+    got = [r.line for r in with_line_index(lines).orderBy("line_index").collect()]
+    assert got == [f"line {names.index(n)}.{j}" for n in order for j in range(3)]
+    assert read_log_lines(spark, paths + [paths[0]]).count() == 123      # named twice, read twice
+
+
+def test_many_folders_with_partition_subfolders(spark, tmp_path):
+    paths = []
+    for i in range(40):
+        folder = tmp_path / f"site{i:02d}" / f"dt=2024-01-{i % 28 + 1:02d}"
+        folder.mkdir(parents=True)
+        write_lines(folder / "a.log", [f"line {i}"])
+        paths.append(str(tmp_path / f"site{i:02d}"))
+    got = sorted((r.src_ordinal, r.line) for r in read_log_lines(spark, paths).collect())
+    assert got == [(i, f"line {i}") for i in range(40)]
 
 
 def test_long_path_list_with_missing_paths(spark, tmp_path):

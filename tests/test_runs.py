@@ -1,0 +1,159 @@
+"""Run identity, replacement, failing variants, honest verdicts and clean-up."""
+
+import os
+import re
+import subprocess
+import sys
+
+import pytest
+
+from logweave.operators.compare import (all_diffs, compare_all_pairs, compare_runs, compare_summary)
+from logweave.plans import job as job_module
+from logweave.plans.job import run_all, run_job
+from logweave.plans.report import format_report, run_report, write_report
+from logweave.session import scratch_root
+from logweave.sinks.store import ResultStore, write_tsv_output
+from logweave.sources.fixtures import fixture_log_dir
+from logweave.sources.staged import read_query_output
+from tests.conftest import ROOT, SF_SMALL, write_lines
+
+
+def _local(path):
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+def test_run_id_belongs_to_one_pipeline(spark, tmp_path):
+    store, logs = ResultStore(spark, str(tmp_path / "s")), [fixture_log_dir(spark, SF_SMALL)]
+    run_job(spark, logs, "monthly", queries="1", store=store, run_id="x")
+    with pytest.raises(ValueError, match="belongs to pipeline"):
+        run_job(spark, logs, "monthly", queries="1", variant="sql", store=store, run_id="x")
+    assert store.run_metadata("x").count() == 1
+
+
+def test_narrower_rerun_replaces_everything(spark, tmp_path):
+    store, logs = ResultStore(spark, str(tmp_path / "it's a store")), [fixture_log_dir(spark, SF_SMALL)]
+    run_job(spark, logs, "fixed", 250, store=store, run_id="y")
+    assert store.results("q2", "y").count() == 20
+    run_job(spark, logs, "fixed", 500, queries="1", store=store, run_id="y")
+    assert store.results("q2", "y").count() == store.results("q3", "y").count() == 0
+    assert {r.batch_id for r in store.results("q1", "y").collect()} == {2}
+    assert store.batch_metadata("y").count() == 2
+    assert store.run_metadata("y").first().queries == "q1"
+
+
+def test_staged_input_is_removed(spark, tmp_path):
+    store, logs = ResultStore(spark, str(tmp_path / "s")), [fixture_log_dir(spark, SF_SMALL)]
+    folder = _local(scratch_root(spark)) + "/logweave"
+    before = {n for n in os.listdir(folder) if n.startswith(("staged-", "batches-"))}
+    job = run_job(spark, logs, "monthly", store=store)
+    runs = run_all(spark, logs, store, "monthly", queries="1")
+    assert {n for n in os.listdir(folder) if n.startswith(("staged-", "batches-"))} == before
+    assert job.results["q2"].count() == 20 and job.batches.count() > 0 and len(runs) == 3
+    kept = run_job(spark, logs, "monthly", store=store, keep_staged=True)
+    assert kept.valid.count() > 0
+    kept.release()
+    assert not os.path.exists(_local(kept.staged_path))
+
+
+def test_a_failing_variant_leaves_the_others(spark, tmp_path, monkeypatch):
+    store, logs = ResultStore(spark, str(tmp_path / "s")), [fixture_log_dir(spark, SF_SMALL)]
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("this formulation is broken")
+    monkeypatch.setattr(job_module, "sql_query", broken)
+    runs = run_all(spark, logs, store, "monthly", queries="1,3", run_prefix="f")
+    assert [r.run_id for r in runs] == ["f_dataframe", "f_two_stage"]
+    assert "broken" in str(runs.failed["sql"])
+    pairs = compare_all_pairs(store, ["f_dataframe", "f_sql", "f_two_stage"]).collect()
+    assert {(p.run_a, p.run_b, p["query"]): p.verdict for p in pairs} == {
+        ("f_dataframe", "f_two_stage", "q1"): "match", ("f_dataframe", "f_two_stage", "q2"): "not_run",
+        ("f_dataframe", "f_two_stage", "q3"): "match"}
+    assert [p.matched for p in pairs if p["query"] == "q2"] == [None]
+    assert {r["query"]: r.verdict for r in compare_summary(store, "f_dataframe", "f_two_stage").collect()} \
+        == {"q1": "match", "q2": "not_run", "q3": "match"}
+
+
+def test_one_sided_query_is_a_mismatch_and_every_pair_shows_diffs(spark, tmp_path):
+    store, logs = ResultStore(spark, str(tmp_path / "s")), [fixture_log_dir(spark, SF_SMALL)]
+    run_job(spark, logs, "monthly", store=store, run_id="a")
+    run_job(spark, logs, "monthly", queries="1", store=store, run_id="b")
+    other = [fixture_log_dir(spark, SF_SMALL, "orders")]
+    run_job(spark, other, "monthly", queries="1", store=store, run_id="c")
+    verdicts = {(p.run_a, p.run_b, p["query"]): p.verdict
+                for p in compare_all_pairs(store, ["a", "b", "c"]).collect()}
+    assert verdicts["a", "b", "q1"] == "match" and verdicts["a", "b", "q2"] == "mismatch"
+    assert verdicts["b", "c", "q3"] == "not_run" and verdicts["b", "c", "q1"] == "mismatch"
+    diffs = {(a, b, q): frame.count() for a, b, q, frame in all_diffs(store, ["a", "b", "c"])}
+    assert diffs["a", "c", "q1"] == diffs["b", "c", "q1"] == 5 and diffs["a", "b", "q2"] == 5
+    assert ("a", "b", "q1") not in diffs
+
+
+def test_long_paths_stay_apart(spark, tmp_path):
+    store = ResultStore(spark, str(tmp_path / "s"))
+    stem = "/" + "p" * 600
+    line = 'h - - [01/Jul/1995:00:00:01 -0400] "GET {} HTTP/1.0" 200 {}'
+    log = write_lines(tmp_path / "l.log", [line.format(stem + "a", 5), line.format(stem + "b", 7)])
+    for run in ("one", "two"):
+        run_job(spark, [log], "monthly", store=store, run_id=run)
+    assert store.results("q2", "one").count() == 2
+    assert {r.outcome for r in compare_runs(store, "one", "two", "q2").collect()} == {"match"}
+    pair = compare_all_pairs(store, ["one", "two"], ["q2"]).first()
+    assert (pair.rows_a, pair.rows_b, pair.verdict) == (2, 2, "match")
+
+
+def test_report_lists_every_batch(spark, tmp_path):
+    store, logs = ResultStore(spark, str(tmp_path / "s")), [fixture_log_dir(spark, SF_SMALL)]
+    run_job(spark, logs, "fixed", 7, queries="1", store=store, run_id="many")
+    text = format_report(run_report(store, "many"))
+    assert len(re.findall(r"\| batch_\d+ \|", text)) == -(-1000 // 7)
+    out = write_report(run_report(store, "many"), str(tmp_path / "report"))
+    assert spark.read.text(f"{out}/batches").count() == -(-1000 // 7)
+
+
+def test_query_output_keeps_empty_paths_and_blanks(spark, tmp_path):
+    frame = spark.createDataFrame([("", 5, 7, 1), (" a ", 2, None, 1), ("/x", 1, 1, 1)],
+                                  "resource_path string, request_count long, total_bytes long, "
+                                  "distinct_host_count long")
+    back = read_query_output(spark, write_tsv_output(frame, str(tmp_path / "q2")), "q2")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, frame.collect()))
+
+
+def test_totals_beyond_a_long_are_null_in_every_variant(spark, tmp_path):
+    line = 'h{} - - [01/Jul/1995:00:00:01 -0400] "GET {} HTTP/1.0" 200 {}'
+    big = 2 ** 63 - 1
+    log = write_lines(tmp_path / "big.log", [line.format(i, "/a", big) for i in range(2)]
+                      + [line.format(9, "/b", big)])
+    for variant in job_module.VARIANTS:
+        job = run_job(spark, [log], "monthly", variant=variant)
+        assert {r.resource_path: r.total_bytes for r in job.results["q2"].collect()} == {
+            "/a": None, "/b": big}
+        assert [r.total_bytes for r in job.results["q1"].collect()] == [None]
+        job.release()
+
+
+def test_command_line_keeps_the_submitted_master(tmp_path):
+    log = write_lines(tmp_path / "a.log", ['h - - [01/Jul/1995:00:00:01 -0400] "GET / HTTP/1.0" 200 5'])
+    code = ("import sys; from logweave.__main__ import main; "
+            f"main(['run', '--store', {str(tmp_path / 'st')!r}, {log!r}]); "
+            "from pyspark.sql import SparkSession; "
+            "print('MASTER', SparkSession.getActiveSession().sparkContext.master)")
+    env = os.environ | {"PYTHONPATH": ROOT, "PYSPARK_SUBMIT_ARGS":
+                        "--master local[2] --conf spark.ui.enabled=false pyspark-shell"}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True,
+                          text=True, timeout=300)
+    assert "MASTER local[2]" in done.stdout, done.stderr[-2000:]
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())

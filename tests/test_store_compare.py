@@ -36,7 +36,7 @@ def test_rerun_replaces_only_its_partition(spark, runs, tmp_path):
     store, ids = runs
     before = store.results("q1", ids[0]).count()
     job = run_job(spark, [fixture_log_dir(spark, SF_SMALL)], "monthly", store=store,
-                  pipeline_name="dataframe", run_id=ids[0], queries="1")
+                  pipeline_name="dataframe", run_id=ids[0])
     assert store.results("q1", ids[0]).count() == before
     assert store.results("q1", ids[1]).count() == before
     assert store.run_metadata(ids[0]).count() == 1
@@ -133,7 +133,9 @@ def test_display_and_sink_widths(spark, tmp_path):
                                   "distinct_host_count long")
     store.write_results("q2", frame, "dataframe", "wide_run", 1, dt.datetime(2024, 1, 1))
     stored = store.results("q2", "wide_run").first()
-    assert len(stored.resource_path) == 512 and stored.batch_id == 1
+    assert len(stored.resource_path) == 701 and stored.batch_id == 1      # stored whole
+    from logweave.sinks.store import jdbc_frame
+    assert len(jdbc_frame(store.results("q2", "wide_run")).first().resource_path) == 512
 
 
 def test_run_metadata_holds_very_large_batches(spark, tmp_path):
@@ -143,7 +145,7 @@ def test_run_metadata_holds_very_large_batches(spark, tmp_path):
     row = dict(run_id="huge", pipeline_name="dataframe", batch_strategy="monthly",
                batch_size=10000, total_records=10**12, malformed_records=5, num_batches=12,
                avg_batch_size=Decimal("83333333333.33"), runtime_seconds=Decimal("1.000"),
-               started_at=now, completed_at=now)
+               started_at=now, completed_at=now, queries="q1")
     store.write_run_metadata(row)
     assert store.run_metadata("huge").first().avg_batch_size == Decimal("83333333333.33")
 
