@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +16,29 @@ from logweave.session import scratch_dir
 ROW = "__row"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run there are pickled by reference to their modules, and a worker
+    need not have the package on its path.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="logweave-code-"), "logweave_code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.join("logweave", os.path.relpath(path, package)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def col(name: str) -> Column:
     """A top-level column by its exact name (dots and blanks included)."""
     return F.col("`" + name.replace("`", "``") + "`")

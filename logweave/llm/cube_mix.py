@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logweave.llm.common import apart, col, pack, stored, text_of, unpack
+from logweave.llm.common import apart, col, pack, ship_code, stored, text_of, unpack
 
 #: weights in turn of the sources in code point order
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -150,6 +150,7 @@ def _land(seed: int):
 
 def balanced_sample(units: DataFrame, seed: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(source, key, number, taken 0/1) from (source, key, number, size, p in (0, 1))."""
+    ship_code(units.sparkSession)
     settled, level = [], 0
     open_ = units.select("source", "key", "number", "size", "p")
     while True:

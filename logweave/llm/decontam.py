@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import ROW, col, pack, stored, text_of, unpack
+from logweave.llm.common import ROW, col, pack, ship_code, stored, text_of, unpack
 
 WINDOW = 13
 #: words of benchmark items in one table that is sent to the tasks
@@ -148,6 +148,7 @@ def find_items(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item
                item_text: str = "text", window: int = WINDOW,
                table_words: int = TABLE_WORDS) -> DataFrame:
     """Every row of ``df`` with OUTPUTS."""
+    ship_code(df.sparkSession)
     rows = pack(df, body=text_of(df, text_col).cast("binary"))
     tables = _tables_of(benchmark, item_id, item_text, window, table_words)
     first, second = next(tables, None) or WordSearch([]), next(tables, None)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logweave.llm.common import ROW, pack, stored, unpack
+from logweave.llm.common import ROW, pack, ship_code, stored, unpack
 
 #: numpy draws hypergeometric numbers exactly below this population
 NUMPY_POPULATION = 10 ** 9
@@ -143,6 +143,7 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 1, slice_rows: int = SLIC
     """The rows of ``df`` with ``shard`` (int, from 0) and ``slot`` (long, from 0)."""
     if shards < 1:
         raise ValueError("shards must be at least 1")
+    ship_code(df.sparkSession)
     number = F.monotonically_increasing_id()      # block in the upper 31 bits, then position
     rows = stored(pack(df, block=F.shiftright(number, 33).cast("int"),
                        position=number.bitwiseAND((1 << 33) - 1)), "shard-blocks")

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import ROW, col, pack, stored, text_of, unpack
+from logweave.llm.common import ROW, col, pack, ship_code, stored, text_of, unpack
 from logweave.llm.components import components
 
 HASH_SEED = 42
@@ -194,6 +194,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                 threshold: int = 2) -> DataFrame:
     """Every input row with OUTPUTS: fingerprint (hex), the smallest id of its group, and
     whether the row stands for the group."""
+    ship_code(df.sparkSession)
     mark = _fingerprints(shingle)(text_of(df, text_col).cast("binary"))
     rows = stored(pack(df, id=col(id_col), number=F.monotonically_increasing_id(), mark=mark),
                   "simhash-rows")
@@ -207,6 +208,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                  threshold: int = 2) -> DataFrame:
     """(id, fingerprint, component_id, representative) of every row; texts are not carried."""
+    ship_code(df.sparkSession)
     mark = _fingerprints(shingle)(text_of(df, text_col).cast("binary"))
     rows = stored(df.select(col(id_col).alias("id"), F.monotonically_increasing_id().alias("number"),
                             mark.alias("mark")), "simhash-rows")

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import ROW, col, pack, unpack
+from logweave.llm.common import ROW, col, pack, ship_code, unpack
 
 MOST_STATES = 1 << 20
 OUTPUTS = ("host", "path", "rule", "verdict")
@@ -133,6 +133,7 @@ def _judge(rules: Sequence[tuple[str, str, str]], default: str):
 def judge_urls(df: DataFrame, rules: Sequence[tuple[str, str, str]], url_col: str = "url",
                default: str = "allow") -> DataFrame:
     """Every input row with OUTPUTS; ``rules``: (host, path, "allow" or "block")."""
+    ship_code(df.sparkSession)
     url = F.coalesce(col(url_col).cast("string"), F.lit(""))
     packed = pack(df, mark=F.instr(url, "://"), url=url)
     rest = F.when(F.col("mark") > 0, F.expr("substring(url, mark + 3)")).otherwise("")

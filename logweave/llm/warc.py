@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import col
+from logweave.llm.common import col, ship_code
 from logweave.session import scratch_dir
 
 #: fixed values of the format
@@ -163,6 +163,7 @@ def _parser(with_payload: bool):
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
     """One row per record; ``payload`` (binary) only on demand."""
+    ship_code(spark)
     lines = spark.read.option("lineSep", END).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value"))
     return lines.mapInPandas(_parser(with_payload),
