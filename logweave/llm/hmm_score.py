@@ -29,6 +29,7 @@ back as they are, the text does not; one that is named like an output gives way.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,19 +40,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import ROW, col, stored, text_of, unpack
+from logweave.llm.common import ROW, col, ship_code, stored, text_of, unpack
 
 STATES = 6
 PASSES = 4
 OWN_CLASSES = 8192
 SHAPE_CLASSES = 4096
-LOOKUP_WORDS = 262_144
+LOOKUP_WORDS = 131_072
 #: frequent classes whose company in texts tells the first states apart
 SEED_CLASSES = 128
 #: expected counts of a state that follow the corpus before any text is seen
 PRIOR = 50.0
 #: tokens handled in step, which bounds the memory of a batch
-STEP_TOKENS = 1_000_000
+STEP_TOKENS = 250_000
 ADD = 0.1
 #: the end token; no word is empty
 END = b""
@@ -76,7 +77,7 @@ def held_out(identity: Column, folds: int = HELD_FOLD) -> Column:
 
 # -- counts ----------------------------------------------------------------------
 
-def _count_tokens(most: int = 400_000):
+def _count_tokens(most: int = 150_000):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
         for batch in batches:
@@ -159,19 +160,22 @@ def lexicon_of(vocabulary: DataFrame) -> Lexicon:
 
 # -- encoding --------------------------------------------------------------------
 
-_ENCODED = ("n_tokens long, n_frequent long, base_sum double, inner_sum double, codes binary, "
-            "rare array<binary>, rare_n array<long>, rare_among array<double>")
+_ENCODED = "n_tokens long, n_frequent long, base_sum double, inner_sum double, codes binary, rare binary"
 
 
 def _encoder(lexicon: Lexicon):
-    """A pandas UDF: a text's class numbers, its sums over frequent words, its other words."""
+    """A pandas UDF: a text's class numbers, its sums over frequent words, its other words.
+
+    ``inner_sum`` holds what is known here of log P(token | class): all of it for the
+    frequent words, the class's sum for the others, whose count is joined later.
+    """
     held: list = []
 
     @F.pandas_udf(_ENCODED)
     def run(bodies: pd.Series) -> pd.DataFrame:
         if not held:
-            held.append((*lexicon.tables(), lexicon.class_sum()))
-        at, classes, base, inner, sums = held[0]
+            held.append((*lexicon.tables(), np.log10(lexicon.class_sum())))
+        at, classes, base, inner, log_sums = held[0]
         rows = []
         for body in bodies:
             tokens = tokens_of(body)
@@ -181,10 +185,9 @@ def _encoder(lexicon: Lexicon):
             codes[found >= 0] = classes[known]
             rare = np.flatnonzero(found < 0)
             codes[rare] = [shape_class(tokens[i]) for i in rare]
-            counts = Counter(tokens[i] for i in rare)
             rows.append((len(tokens), len(known), float(base[known].sum()),
-                         float(inner[known].sum()), codes.tobytes(), list(counts),
-                         list(counts.values()), [float(sums[shape_class(w)]) for w in counts]))
+                         float(inner[known].sum() - log_sums[codes[rare]].sum()), codes.tobytes(),
+                         b" ".join([tokens[i] for i in rare])))
         return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in _ENCODED.split(", ")])
     return run
 
@@ -376,6 +379,7 @@ def _scorer(model: Model):
 def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 states: int = STATES, passes: int = PASSES, folds: int = HELD_FOLD) -> DataFrame:
     """Every input row (without its text) with OUTPUTS; fold 0 by id is not learnt from."""
+    ship_code(df.sparkSession)
     others = [c for c in df.columns if c.lower() != text_col.lower()]
     body, fold = text_of(df, text_col).cast("binary"), held_out(col(id_col), folds)
     vocabulary = stored(token_counts(df.filter(~fold).select(body.alias("body"))), "hmm-counts")
@@ -387,23 +391,22 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      .sortWithinPartitions("n_tokens"), "hmm-encoded")
     model = baum_welch(encoded.filter("not held_out"), lexicon, states, passes)
 
-    base_sum, least = lexicon.base_sum(), int(lexicon.counts[-1]) if len(lexicon.counts) else 0
-    rare = encoded.select("number", F.explode(F.arrays_zip("rare", "rare_n", "rare_among")).alias("r"))
-    count = F.coalesce(F.col("n"), F.lit(0)) + F.lit(ADD)
-    times = F.col("rare_n")
-    of_rare = (rare.select("number", "r.*")
-               .join(vocabulary.filter(F.col("n") <= least), F.col("rare") == F.col("word"), "left")
-               .groupBy("number").agg(
-                   F.sum(times * F.log10(count / F.lit(base_sum))).alias("rare_base"),
-                   F.sum(times * F.log10(count / F.col("rare_among"))).alias("rare_inner"),
-                   F.sum(F.when(F.col("n") > 0, times).otherwise(0)).alias("rare_known")))
+    least = int(lexicon.counts[-1]) if len(lexicon.counts) else 0
+    # words hold no blank, so a text's rare words travel as one value
+    rare = encoded.filter("rare <> X''").select(
+        "number", F.explode(F.split(F.col("rare").cast("string"), " ")).alias("token"))
+    counts = vocabulary.filter(F.col("n") <= least).select(F.col("word").cast("string").alias("token"), "n")
+    of_rare = rare.join(counts, "token", "left").groupBy("number").agg(
+        F.sum(F.log10(F.coalesce("n", F.lit(0)) + F.lit(ADD))).alias("rare_log"),
+        F.count("n").alias("rare_known"), F.count(F.lit(1)).alias("rare_tokens"))
     scored = encoded.select(ROW, "held_out", "number", "n_tokens", "n_frequent", "base_sum",
                             "inner_sum", _scorer(model)("codes").alias("states_log"))
-    zero = F.lit(0.0)
+    rare_log = F.coalesce("rare_log", F.lit(0.0))
+    of_base = F.coalesce("rare_tokens", F.lit(0)) * F.lit(math.log10(lexicon.base_sum()))
     done = scored.join(of_rare, "number", "left").select(
         ROW, "held_out", "n_tokens",
         (F.col("n_frequent") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(lexicon.total).cast("long").alias("train_tokens"),
-        (F.col("base_sum") + F.coalesce("rare_base", zero)).alias("base_score"),
-        (F.col("states_log") + F.col("inner_sum") + F.coalesce("rare_inner", zero)).alias("score"))
+        (F.col("base_sum") + rare_log - of_base).alias("base_score"),
+        (F.col("states_log") + F.col("inner_sum") + rare_log).alias("score"))
     return unpack(done, others, OUTPUTS)
