@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logweave.llm.common import col, stored, text_of
+from logweave.llm.common import col, ship_code, stored, text_of
 from logweave.llm.components import components
 
 SHINGLE = 5
@@ -218,6 +218,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     class_id, keep_ids): where it is, how many of its paragraphs are removals, the least
     component it holds, and the ids of the documents in which its paragraphs stay.
     """
+    ship_code(df.sparkSession)
     texts = df.select(col(id_col).alias("id"), text_of(df, text_col).cast("binary").alias("body"))
     bands = tune_bands(similarity, recall)
     keyed = texts.select("body").mapInPandas(_band_rows(bands), "key long, unit long, several boolean")
