@@ -72,7 +72,7 @@ def apart(df: DataFrame, outputs: Sequence[str]) -> tuple[DataFrame, list[Column
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage, survives executors."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

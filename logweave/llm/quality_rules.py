@@ -176,35 +176,38 @@ def is_held_out(identity: Column, folds: int = 5) -> Column:
 
 def labelled_statistics(statistics: DataFrame, labels: DataFrame, label_col: str,
                         folds: int) -> DataFrame:
-    """Statistics (with ``id``) of the rows that may be learnt from, with their label."""
+    """Statistics and label of the rows that may be learnt from, and nothing else of them."""
     known = labels.select(col("doc_id").alias("label_id"), col(label_col).alias("label")).filter(
         F.col("label").isin(0, 1))
-    return statistics.filter(~is_held_out(F.col("id"), folds)).join(
-        known, F.col("id") == F.col("label_id"))
+    able = statistics.select("id", *STATISTICS).filter(~is_held_out(F.col("id"), folds))
+    return able.join(known, F.col("id") == F.col("label_id")).select("label", *STATISTICS)
+
+
+def _scored(statistics: DataFrame, labels: DataFrame, label_col: str, folds: int,
+            threshold: float) -> DataFrame:
+    """Stored statistics (with ``id``) plus score and predicted."""
+    learnt = stored(labelled_statistics(statistics, labels, label_col, folds), "quality-labelled")
+    return statistics.withColumn("score", fit_rules(learnt).score()).withColumn(
+        "predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", label_col: str = "quality", folds: int = 5,
                   threshold: float = THRESHOLD) -> DataFrame:
-    """Every input row with OUTPUTS.  Fold 0 of ``folds`` (by id) is never learnt from."""
+    """Every input row with OUTPUTS.  Fold 0 of ``folds`` (by id) is never learnt from.
+
+    Rows and statistics are stored once; learning reads the narrow columns alone.
+    """
     packed = pack(df, id=col(id_col), body=text_of(df, text_col))
-    learnable = packed.select("id", "body").join(
-        labels.select(col("doc_id").alias("id")).distinct(), "id", "left_semi")
-    learnt = stored(labelled_statistics(with_statistics(learnable, "body", ["id"]), labels, label_col,
-                                        folds), "quality-labelled")
-    model = fit_rules(learnt)
-    scored = with_statistics(packed, "body", [ROW]).withColumn("score", model.score())
-    return unpack(scored.withColumn("predicted", (F.col("score") >= threshold).cast("int")),
-                  df.columns, OUTPUTS)
+    statistics = stored(with_statistics(packed, "body", [ROW, "id"]), "quality-statistics")
+    return unpack(_scored(statistics, labels, label_col, folds, threshold), df.columns, OUTPUTS)
 
 
 def score_ids(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               label_col: str = "quality", folds: int = 5,
               threshold: float = THRESHOLD) -> DataFrame:
-    """(id, held_out, score, predicted) of every row, reading each text once."""
+    """(id, held_out, score, predicted) of every row; texts are not carried."""
     packed = df.select(col(id_col).alias("id"), text_of(df, text_col).alias("body"))
     statistics = stored(with_statistics(packed, "body", ["id"]), "quality-statistics")
-    learnt = stored(labelled_statistics(statistics, labels, label_col, folds), "quality-labelled")
-    scored = statistics.withColumn("score", fit_rules(learnt).score())
-    return scored.select("id", is_held_out(F.col("id"), folds).alias("held_out"), "score",
-                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return _scored(statistics, labels, label_col, folds, threshold).select(
+        "id", is_held_out(F.col("id"), folds).alias("held_out"), "score", "predicted")
