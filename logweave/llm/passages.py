@@ -21,6 +21,13 @@ others between) form a passage, reported from ``LEAST_WORDS`` repeating words on
 cuts may cost a passage of 50 words its ends, while shared short lines stay below.  Of
 every component the first occurrence (by row number) stays, the others are removals.
 
+*Exact spans*: cuts may leave a passage of ``EXACT_WORDS`` words too few linked words, so
+the texts are also winnowed: of every ``EXACT_WORDS`` words the least hash of
+``SEED_WORDS`` consecutive words is a seed, hence every common span of that length holds
+a common seed.  Around seeds met in two rows all hashes of ``EXACT_WORDS`` words that no
+reported run covers are grouped by their value; those found in two rows extend the run
+they touch, or are a passage by themselves.
+
 Only paragraphs whose key is met twice go on.  They are found again in a second scan
 by a bitmap of ``BITMAP_BITS`` bits, the only thing that is broadcast; false hits of
 the bitmap drop out in the joins.
@@ -52,6 +59,9 @@ RECALL = 0.99
 RADIUS = 6
 GAP = 1
 LEAST_WORDS = 25
+#: a span of so many equal words is a passage wherever it is cut
+EXACT_WORDS = 50
+SEED_WORDS = 25
 BITMAP_BITS = 27
 #: distinct paragraphs that a task holds back to send each once
 HOLD = 500_000
@@ -77,19 +87,59 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(np.full(n, 0x9E3779B97F4A7C15, dtype=np.uint64))
 
 
+def _words(text: bytes) -> tuple[np.ndarray, list]:
+    """Hashes of the words, and the first words of the lines."""
+    lines = [line.split() for line in text.lower().split(b"\n")]
+    digest = xxhash.xxh64_intdigest
+    own = np.array([digest(w) for line in lines for w in line], dtype=np.uint64)
+    starts = np.cumsum([0] + [len(line) for line in lines[:-1]], dtype=np.int64)
+    return own, [s for s in starts if s < len(own)]
+
+
+def _spans(own: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all ``width`` consecutive words, by doubling."""
+    base, total, have = 0x9E3779B97F4A7C15, np.zeros(len(own), dtype=np.uint64), 0
+    for bit in f"{width:b}":
+        for piece, length in ((total, have), (own, 1))[:1 + int(bit)]:
+            ahead = np.zeros(len(own), dtype=np.uint64)
+            ahead[:max(0, len(own) - have)] = piece[have:]
+            total = total + ahead * np.uint64(pow(base, have, 1 << 64))
+            have += length
+    return _mix(total[:max(0, len(own) - width + 1)])
+
+
+def _sliding(values: np.ndarray, width: int, least) -> np.ndarray:
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        values = least(values[:len(values) - step], values[step:])
+        have += step
+    return values
+
+
+def exact_seeds(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the seeds: any ``EXACT_WORDS`` words hold all of one."""
+    if len(own) < EXACT_WORDS:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    spans, width = _spans(own, SEED_WORDS), EXACT_WORDS - SEED_WORDS + 1
+    least = _sliding(spans, width, np.minimum)
+    none = np.zeros(width - 1, dtype=np.uint64)
+    at = np.flatnonzero(_sliding(np.concatenate((none, least, none)), width, np.maximum) == spans)
+    return at, _mix(spans[at] + np.uint64(SEED_WORDS))
+
+
 def paragraphs(text: bytes, radius: int = RADIUS, width: int = SHINGLE):
     """First words and word counts of the paragraphs, their ids, and the shingle hashes.
 
     Shingle i starts at word i and counts for its paragraph if it ends inside; entries
     that do not are the top value.  None for a text without words.
     """
-    lines = [line.split() for line in text.lower().split(b"\n")]
-    words = [w for line in lines for w in line]
-    n = len(words)
-    if not n:
-        return None
-    digest = xxhash.xxh64_intdigest
-    own = np.array([digest(w) for w in words], dtype=np.uint64)
+    own, starts = _words(text)
+    return _cut(own, starts, radius, width) if len(own) else None
+
+
+def _cut(own: np.ndarray, starts: list, radius: int = RADIUS, width: int = SHINGLE):
+    n = len(own)
     after = np.concatenate((own[1:], own[:1]))
     place = _mix(own * np.uint64(3) + after)
     padded = np.concatenate((np.full(radius, _TOP), place, np.full(radius, _TOP)))
@@ -98,8 +148,7 @@ def paragraphs(text: bytes, radius: int = RADIUS, width: int = SHINGLE):
         if shift != radius:
             np.minimum(least, padded[shift:shift + n], out=least)
     first = place < least
-    starts = np.cumsum([len(line) for line in lines[:-1]], dtype=np.int64) if len(lines) > 1 else ()
-    first[[s for s in starts if s < n]] = True
+    first[starts] = True
     first[0] = True
     first = np.flatnonzero(first)
     counts = np.diff(np.append(first, n))
@@ -119,27 +168,34 @@ def paragraphs(text: bytes, radius: int = RADIUS, width: int = SHINGLE):
 
 
 def _band_rows(bands: int):
-    """(key, paragraph, several): each distinct paragraph of a task once per band."""
+    """(key, paragraph, several): each distinct paragraph of a task once per band.
+
+    A seed is its own key and takes the place of the paragraph.
+    """
     seeds = _mix(np.arange(1, bands + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys: dict[int, tuple[int, ...]] = {}
+        exact: set[int] = set()
         several: set[int] = set()
 
         def frame() -> pd.DataFrame:
             table = np.array(list(keys.values()), dtype=np.uint64).reshape(-1, bands)
             ids = np.fromiter(keys, dtype=np.uint64, count=len(keys))
             flags = np.fromiter((i in several for i in keys), dtype=bool, count=len(keys))
-            return pd.DataFrame({"key": table.T.ravel().view(np.int64),
-                                 "unit": np.tile(ids, bands).view(np.int64),
-                                 "several": np.tile(flags, bands)})
+            own = np.fromiter(exact, dtype=np.uint64, count=len(exact))
+            marks = np.fromiter((i in several for i in exact), dtype=bool, count=len(exact))
+            return pd.DataFrame(
+                {"key": np.concatenate((table.T.ravel(), own)).view(np.int64),
+                 "unit": np.concatenate((np.tile(ids, bands), own)).view(np.int64),
+                 "several": np.concatenate((np.tile(flags, bands), marks))})
 
         for batch in batches:
             for text in batch["body"]:
-                cut = paragraphs(text)
-                if cut is None:
+                own, starts = _words(text)
+                if not len(own):
                     continue
-                first, _, ids, shingles = cut
+                first, _, ids, shingles = _cut(own, starts)
                 marks = [_mix(np.minimum.reduceat(
                     np.where(shingles == _TOP, _TOP, _mix(shingles ^ s)), first) + s) for s in seeds]
                 here: set[int] = set()
@@ -151,17 +207,26 @@ def _band_rows(bands: int):
                         several.add(unit)
                     else:
                         keys[unit] = tuple(key)
-                if len(keys) > HOLD:
+                for seed in set(exact_seeds(own)[1].tolist()):
+                    (several if seed in exact else exact).add(seed)
+                if len(keys) + len(exact) > HOLD:
                     yield frame()
                     keys.clear()
+                    exact.clear()
                     several.clear()
         if keys:
             yield frame()
     return run
 
 
+def _set(table: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the bits of ids are set."""
+    at = ids & np.uint64((1 << bits) - 1)
+    return ((table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+
 def _units(bitmap: bytes, bits: int):
-    """Paragraphs whose bit is set, with their shingles."""
+    """Paragraphs whose bit is set, with their shingles; the words around seeds whose bit is set."""
     held: list = []
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,16 +235,22 @@ def _units(bitmap: bytes, bits: int):
         for batch in batches:
             rows, size = [], 0
             for number, ident, text in zip(batch["number"], batch["id"], batch["body"]):
-                cut = paragraphs(text)
-                if cut is None:
+                hashes, starts = _words(text)
+                if not len(hashes):
                     continue
-                first, counts, ids, shingles = cut
-                at = ids & np.uint64((1 << bits) - 1)
-                for k in np.flatnonzero((held[0][at >> np.uint64(3)] >> (at & np.uint64(7))) & 1):
+                first, counts, ids, shingles = _cut(hashes, starts)
+                at, seeds = exact_seeds(hashes)
+                at = at[_set(held[0], seeds, bits)]
+                for part in np.split(at, np.flatnonzero(np.diff(at) > EXACT_WORDS) + 1) if len(at) else ():
+                    start = max(0, int(part[0]) + SEED_WORDS - EXACT_WORDS)
+                    span = hashes[start:int(part[-1]) + EXACT_WORDS].astype("<u4").tobytes()
+                    rows.append((number, ident, -1, start, len(span) // 4, 0, None, span))
+                    size += 120 + len(span)
+                for k in np.flatnonzero(_set(held[0], ids, bits)):
                     own = np.unique(shingles[first[k]:first[k] + counts[k]])
                     own = own[own != _TOP].view(np.int64)
                     rows.append((number, ident, int(k), int(first[k]), int(counts[k]),
-                                 int(ids[k:k + 1].view(np.int64)[0]), own))
+                                 int(ids[k:k + 1].view(np.int64)[0]), own, None))
                     size += 120 + 8 * len(own)
                 if size > 16_000_000:
                     yield pd.DataFrame(rows, columns=_UNIT_NAMES)
@@ -189,7 +260,47 @@ def _units(bitmap: bytes, bits: int):
     return run
 
 
-_UNIT_NAMES = ["number", "id", "seq", "first_word", "words", "unit", "shingles"]
+_UNIT_NAMES = ["number", "id", "seq", "first_word", "words", "unit", "shingles", "span"]
+
+
+def _exact_spans(first_word: int, span: bytes) -> tuple[np.ndarray, np.ndarray]:
+    hashes = _spans(np.frombuffer(span, dtype="<u4").astype(np.uint64), EXACT_WORDS)
+    return np.arange(first_word, first_word + len(hashes)), hashes
+
+
+def _uncovered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Hashes of ``EXACT_WORDS`` words that do not lie inside a run (starts and ends in order)."""
+    for batch in batches:
+        out = [np.zeros(0, dtype=np.uint64)]
+        for first_word, span, starts, ends in zip(batch["first_word"], batch["span"],
+                                                  batch["starts"], batch["ends"]):
+            at, hashes = _exact_spans(first_word, span)
+            if starts is not None and len(starts):
+                k = np.searchsorted(np.asarray(starts), at, side="right") - 1
+                hashes = hashes[(k < 0) | (at + EXACT_WORDS > np.asarray(ends)[k])]
+            out.append(hashes)
+        yield pd.DataFrame({"unit": np.unique(np.concatenate(out)).view(np.int64)})
+
+
+def _marked(bitmap: bytes, bits: int):
+    """(span, number, at) of all hashes of ``EXACT_WORDS`` words whose bit is set."""
+    held: list = []
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if not held:
+            held.append(np.frombuffer(bitmap, dtype=np.uint8))
+        for batch in batches:
+            spans, places, numbers = [np.zeros(0, dtype=np.uint64)], [], []
+            for number, first_word, span in zip(batch["number"], batch["first_word"], batch["span"]):
+                at, hashes = _exact_spans(first_word, span)
+                wanted = _set(held[0], hashes, bits)
+                spans.append(hashes[wanted])
+                places += at[wanted].tolist()
+                numbers += [number] * (len(places) - len(numbers))
+            yield pd.DataFrame({"span": np.concatenate(spans).view(np.int64),
+                                "number": np.array(numbers, dtype=np.int64),
+                                "at": np.array(places, dtype=np.int32)})
+    return run
 
 
 def _bitmap(units: DataFrame, bits: int) -> bytes:
@@ -209,14 +320,43 @@ def _similar(a: str, b: str, similarity: float):
     return common >= F.lit(similarity) * (F.size(a) + F.size(b) - common) - F.lit(1e-9)
 
 
+def _exact_parts(around: DataFrame, runs: DataFrame) -> DataFrame:
+    """Rows like ``runs`` for spans of at least ``EXACT_WORDS`` words found in two rows.
+
+    Those inside a reported run are left out; a part either stays or is a removal.
+    """
+    covers = (runs.select("number", "run_first", "run_after").distinct()
+              .groupBy("number").agg(F.array_sort(F.collect_list(F.struct("run_first", "run_after")))
+                                     .alias("runs")))
+    open_spans = around.select("number", "first_word", "span").join(covers, "number", "left").select(
+        "first_word", "span", F.col("runs.run_first").alias("starts"), F.col("runs.run_after").alias("ends"))
+    bitmap = _bitmap(open_spans.mapInPandas(_uncovered, "unit long"), BITMAP_BITS)
+    marked = stored(around.select("number", "first_word", "span").mapInPandas(
+        _marked(bitmap, BITMAP_BITS), "span long, number long, at int"), "passage-spans")
+    met = (marked.groupBy("span").agg(F.min("number").alias("first_row"), F.max("number").alias("last_row"))
+           .filter("first_row < last_row").select("span", "first_row"))
+    in_row = W.partitionBy("number", "removed").orderBy("at")
+    apart = F.when(F.col("at") - F.lag("at").over(in_row) <= EXACT_WORDS, 0).otherwise(1)
+    spans = (marked.join(met, "span").withColumn("removed", F.col("first_row") < F.col("number"))
+             .withColumn("new", apart).withColumn("part", F.sum("new").over(in_row)))
+    ids = around.groupBy("number").agg(F.first("id").alias("id"))
+    parts = spans.groupBy("number", "removed", "part").agg(
+        F.min("at").alias("first_word"), (F.max("at") + EXACT_WORDS).alias("after"),
+        F.array_sort(F.collect_set("first_row")).alias("keeps"))
+    return parts.join(ids, "number").select(
+        "number", "id", "first_word", "after", F.lit(None).cast("long").alias("class_id"),
+        "removed", "keeps", F.col("first_word").alias("run_first"), F.col("after").alias("run_after"))
+
+
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       similarity: float = SIMILARITY, recall: float = RECALL,
                       least_words: int = LEAST_WORDS, gap: int = GAP) -> DataFrame:
     """One row per repeated passage of a document.
 
     (doc_id, first_word, words_spanned, repeated_words, paragraphs, removed_paragraphs,
-    class_id, keep_ids): where it is, how many of its paragraphs are removals, the least
-    component it holds, and the ids of the documents in which its paragraphs stay.
+    class_id, keep_ids): where it is, how many of its paragraphs (and exact spans beyond
+    them) are removals, the least component it holds, and the ids of the documents in
+    which its paragraphs stay.
     """
     ship_code(df.sparkSession)
     texts = df.select(col(id_col).alias("id"), text_of(df, text_col).cast("binary").alias("body"))
@@ -231,9 +371,10 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bitmap = _bitmap(met.select("unit"), BITMAP_BITS)
     id_type = dict(texts.dtypes)["id"]
     schema = (f"number long, id {id_type}, seq int, first_word int, words int, unit long, "
-              "shingles array<long>")
-    units = stored(texts.withColumn("number", F.monotonically_increasing_id())
+              "shingles array<long>, span binary")
+    scanned = stored(texts.withColumn("number", F.monotonically_increasing_id())
                    .mapInPandas(_units(bitmap, BITMAP_BITS), schema), "passage-units")
+    units, around = scanned.filter("span is null"), scanned.filter("span is not null")
     nodes = stored(units.groupBy("unit").agg(
         F.min("number").alias("from_row"), F.max("number").alias("to_row"),
         F.first("shingles").alias("shingles")), "passage-nodes")
@@ -247,7 +388,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = components(links, "passage-stars")
 
     # keys whose paragraphs are still in several components
-    member = (met.select("key", "unit").distinct()
+    member = (met.filter("key <> unit").select("key", "unit").distinct()
               .join(grouped, F.col("unit") == F.col("node"), "left")
               .select("key", "unit", F.coalesce("component", "unit").alias("component")))
     open_keys = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
@@ -278,17 +419,37 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = units.select("number", "id", "seq", "first_word", "words", "unit").join(repeating, "unit")
     in_row = W.partitionBy("number").orderBy("seq")
     breaks = F.when(F.col("seq") - F.lag("seq").over(in_row) <= gap + 1, 0).otherwise(1)
-    runs = found.withColumn("new", breaks).withColumn("run", F.sum("new").over(in_row))
+    in_run, after = W.partitionBy("number", "run"), F.col("first_word") + F.col("words")
+    runs = stored(
+        found.withColumn("new", breaks).withColumn("run", F.sum("new").over(in_row))
+        .select("number", "id", "first_word", after.alias("after"), "class_id",
+                (F.col("first_row") < F.col("number")).alias("removed"),
+                F.array("first_row").alias("keeps"),
+                F.min("first_word").over(in_run).alias("run_first"), F.max(after).over(in_run).alias("run_after"),
+                F.sum("words").over(in_run).alias("run_words"))
+        .filter(F.col("run_words") >= least_words).drop("run_words"), "passage-runs")
+    exact = _exact_parts(around, runs)
+    so_far = W.partitionBy("number").rowsBetween(W.unboundedPreceding, -1)
+    reached = F.max("run_after").over(so_far.orderBy("run_first", "run_after"))
+    covered = F.max("after").over(so_far.orderBy("first_word", "after"))
+    grouped_parts = (
+        runs.unionByName(exact)
+        .withColumn("new", F.when(F.col("run_first") <= reached, 0).otherwise(1))
+        .withColumn("own_words", F.greatest(F.lit(0), F.col("after") - F.greatest(
+            F.col("first_word"), F.coalesce(covered, F.lit(0)))))
+        .withColumn("run", F.sum("new").over(
+            W.partitionBy("number").orderBy("run_first", "run_after")
+            .rangeBetween(W.unboundedPreceding, W.currentRow))))
     passages = stored(
-        runs.groupBy("number", "run").agg(
+        grouped_parts.groupBy("number", "run").agg(
             F.first("id").alias("id"), F.min("first_word").alias("first_word"),
-            F.max(F.col("first_word") + F.col("words")).alias("after"),
-            F.sum("words").alias("repeated_words"), F.count(F.lit(1)).alias("paragraphs"),
-            F.count_if(F.col("first_row") < F.col("number")).alias("removed_paragraphs"),
-            F.min("class_id").alias("class_id"),
-            F.array_sort(F.collect_set("first_row")).alias("keep_rows"))
-        .filter(F.col("repeated_words") >= least_words), "passage-runs")
-    ids = units.groupBy("number").agg(F.first("id").alias("keep_id"))
+            F.max("after").alias("after"),
+            F.sum("own_words").alias("repeated_words"), F.count(F.lit(1)).alias("paragraphs"),
+            F.count_if("removed").alias("removed_paragraphs"),
+            F.coalesce(F.min("class_id"), F.min(F.col("keeps")[0])).alias("class_id"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set("keeps")))).alias("keep_rows")),
+        "passages")
+    ids = scanned.groupBy("number").agg(F.first("id").alias("keep_id"))
     keepers = (passages.select("number", "run", F.explode("keep_rows").alias("keep_row"))
                .join(ids.withColumnRenamed("number", "keep_row"), "keep_row")
                .groupBy("number", "run").agg(F.array_sort(F.collect_set("keep_id")).alias("keep_ids")))

@@ -117,3 +117,54 @@ def test_awkward_rows(spark):
     assert set(range(100, 112)) | set(range(200, 210)) <= found
     assert not found & {300, 301, 302, 303, 304, 305, 306}
     assert passages.repeated_passages(empty(spark)).count() == 0
+
+
+def test_every_exact_span_holds_a_common_seed():
+    rng = random.Random(11)
+    for vocabulary in (2, 4000):
+        for _ in range(300):
+            shared = words(rng, passages.EXACT_WORDS, vocabulary)
+            seeds = [set(passages.exact_seeds(passages._words(
+                f"{words(rng, rng.randrange(60))} {shared} {words(rng, rng.randrange(60))}".encode())[0])[1]
+                .tolist()) for _ in range(2)]
+            own = set(passages.exact_seeds(passages._words(shared.encode())[0])[1].tolist())
+            assert own and own <= seeds[0] & seeds[1]
+    hashes = passages._words(words(rng, 90).encode())[0]
+    naive = [sum(int(h) * pow(0x9E3779B97F4A7C15, j, 1 << 64) for j, h in enumerate(hashes[i:i + 25]))
+             % (1 << 64) for i in range(90 - 24)]
+    assert (passages._spans(hashes, 25) == passages._mix(np.array(naive, dtype=np.uint64))).all()
+
+
+def test_short_passages_inside_lines_are_all_caught(spark):
+    """Every passage of 50 to 53 words in the middle of a line, and its exact place."""
+    rng = random.Random(21)
+    rows, place = [], {}
+    for group in range(400):
+        shared = words(rng, 50 + group % 4)
+        for k in range(2):
+            before = rng.randrange(20, 90)
+            rows.append((2 * group + k, f"{words(rng, before)} {shared} {words(rng, 70)}", None, None, None))
+            place[2 * group + k] = (before, 50 + group % 4)
+    rows += [(1000 + i, "a " + words(random.Random(i // 2), 12) + " " + words(rng, 80), None, None, None)
+             for i in range(40)]                                       # 12 common words are no passage
+    out = passages.repeated_passages(docs(spark, rows)).collect()
+    assert {r.doc_id for r in out} == set(place) and len(out) == len(place)
+    for r in out:
+        first, length = place[r.doc_id]
+        assert r.first_word <= first and r.first_word + r.words_spanned >= first + length
+        assert length <= r.repeated_words <= length + 30
+        assert all(keep // 2 == r.doc_id // 2 for keep in r.keep_ids)
+    by_group = {}
+    for r in out:
+        by_group.setdefault(r.doc_id // 2, []).append(r.removed_paragraphs)
+    assert all(min(n) == 0 and max(n) > 0 for n in by_group.values())
+
+
+def test_an_exact_passage_whose_seed_is_a_common_line(spark):
+    """The first row of a common line need not hold the passage that two later rows share."""
+    rng = random.Random(5)
+    line, shared = words(rng, 30), words(rng, 25)
+    rows = [(i, words(rng, 60) + " " + line + " " + (shared if i > 7 else words(rng, 25)) + " "
+             + words(rng, 60), None, None, None) for i in range(10)]
+    out = passages.repeated_passages(docs(spark, rows), least_words=1000).collect()
+    assert {r.doc_id for r in out} == {8, 9} and all(set(r.keep_ids) <= {8, 9} for r in out)
