@@ -348,15 +348,35 @@ def _exact_parts(around: DataFrame, runs: DataFrame) -> DataFrame:
         "removed", "keeps", F.col("first_word").alias("run_first"), F.col("after").alias("run_after"))
 
 
+def _row_links(passages: DataFrame, least_words: int) -> DataFrame:
+    """Edges (a, b) from a row to the rows in which a passage's words stay.
+
+    A row that keeps fewer than ``least_words`` of them, as a short common line does,
+    is no link unless an exact span stays there or none keeps more.
+    """
+    shares = (passages.select("number", "run", F.explode("parts").alias("part"))
+              .select("number", "run", "part.words", F.col("part.class_id").isNull().alias("exact"),
+                      F.explode("part.keeps").alias("keep_row"))
+              .groupBy("number", "run", "keep_row").agg(F.sum("words").alias("words"),
+                                                        F.max("exact").alias("exact")))
+    most = F.max("words").over(W.partitionBy("number", "run"))
+    return (shares.withColumn("most", most)
+            .filter(F.col("exact") | (F.col("words") >= F.least(F.lit(least_words), "most")))
+            .filter("number <> keep_row")
+            .select(F.col("number").alias("a"), F.col("keep_row").alias("b")).distinct())
+
+
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       similarity: float = SIMILARITY, recall: float = RECALL,
                       least_words: int = LEAST_WORDS, gap: int = GAP) -> DataFrame:
     """One row per repeated passage of a document.
 
     (doc_id, first_word, words_spanned, repeated_words, paragraphs, removed_paragraphs,
-    class_id, keep_ids): where it is, how many of its paragraphs (and exact spans beyond
-    them) are removals, the least component it holds, and the ids of the documents in
-    which its paragraphs stay.
+    class_id, keep_ids, parts): where it is, how many of its paragraphs (and exact spans
+    beyond them) are removals, the least row number of the rows that are linked through
+    passages, and the ids of the documents in which its paragraphs stay.  ``parts`` holds
+    (first_word, words, class_id, removed) of each: the words to remove and, but for
+    exact spans, the component of the paragraph.
     """
     ship_code(df.sparkSession)
     texts = df.select(col(id_col).alias("id"), text_of(df, text_col).cast("binary").alias("body"))
@@ -444,16 +464,24 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         grouped_parts.groupBy("number", "run").agg(
             F.first("id").alias("id"), F.min("first_word").alias("first_word"),
             F.max("after").alias("after"),
-            F.sum("own_words").alias("repeated_words"), F.count(F.lit(1)).alias("paragraphs"),
-            F.count_if("removed").alias("removed_paragraphs"),
-            F.coalesce(F.min("class_id"), F.min(F.col("keeps")[0])).alias("class_id"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("keeps")))).alias("keep_rows")),
+            F.sum("own_words").alias("repeated_words"),
+            F.array_sort(F.collect_list(F.struct(
+                "first_word", (F.col("after") - F.col("first_word")).alias("words"), "class_id", "removed",
+                "keeps"))).alias("parts")),
         "passages")
+    linked = components(_row_links(passages, least_words), "passage-rows").select(
+        F.col("node").alias("number"), "component")
     ids = scanned.groupBy("number").agg(F.first("id").alias("keep_id"))
-    keepers = (passages.select("number", "run", F.explode("keep_rows").alias("keep_row"))
+    kept = F.array_distinct(F.flatten("parts.keeps"))
+    keepers = (passages.select("number", "run", F.explode(kept).alias("keep_row"))
                .join(ids.withColumnRenamed("number", "keep_row"), "keep_row")
                .groupBy("number", "run").agg(F.array_sort(F.collect_set("keep_id")).alias("keep_ids")))
-    return passages.join(keepers, ["number", "run"], "left").select(
+    return passages.join(keepers, ["number", "run"], "left").join(linked, "number", "left").select(
         F.col("id").alias("doc_id"), "first_word",
-        (F.col("after") - F.col("first_word")).alias("words_spanned"), "repeated_words", "paragraphs",
-        "removed_paragraphs", "class_id", "keep_ids")
+        (F.col("after") - F.col("first_word")).alias("words_spanned"), "repeated_words",
+        F.size("parts").alias("paragraphs"),
+        F.size(F.filter("parts", lambda p: p["removed"])).alias("removed_paragraphs"),
+        F.coalesce("component", "number").alias("class_id"), "keep_ids",
+        F.transform("parts", lambda p: F.struct(
+            p["first_word"].alias("first_word"), p["words"].alias("words"),
+            p["class_id"].alias("class_id"), p["removed"].alias("removed"))).alias("parts"))

@@ -168,3 +168,39 @@ def test_an_exact_passage_whose_seed_is_a_common_line(spark):
              + words(rng, 60), None, None, None) for i in range(10)]
     out = passages.repeated_passages(docs(spark, rows), least_words=1000).collect()
     assert {r.doc_id for r in out} == {8, 9} and all(set(r.keep_ids) <= {8, 9} for r in out)
+
+
+def test_linked_rows_share_a_class_and_parts_say_what_is_removed(spark):
+    """Near copies keep one class whichever chunk is edited; a common line joins no groups."""
+    rng = random.Random(9)
+    line, rows, texts = words(rng, 12), [], {}
+    for group in range(6):
+        base = words(rng, 200).split()
+        for k in range(8):
+            text = list(base)
+            for at in (25 * k + 3, 25 * k + 10, 25 * k + 17):
+                text[at] = f"z{group}x{at}"
+            texts[100 * group + k] = line + "\n" + " ".join(text)
+    rows = [(doc, text, None, None, None) for doc, text in texts.items()]
+    out = passages.repeated_passages(docs(spark, rows)).collect()
+    classes = {}
+    for r in out:
+        classes.setdefault(r.doc_id // 100, set()).add(r.class_id)
+    assert {r.doc_id for r in out} == set(texts)
+    assert all(len(c) == 1 for c in classes.values()) and len(set.union(*classes.values())) == 6
+    for r in out:
+        assert len(r.parts) == r.paragraphs
+        assert sum(p.removed for p in r.parts) == r.removed_paragraphs
+        assert r.first_word == min(p.first_word for p in r.parts)
+        assert r.first_word + r.words_spanned == max(p.first_word + p.words for p in r.parts)
+    # removed words stay in another document of the group
+    left = {doc: text.split() for doc, text in texts.items()}
+    for r in out:
+        for p in r.parts:
+            if p.removed:
+                left[r.doc_id][p.first_word:p.first_word + p.words] = [None] * p.words
+    for group in range(6):
+        own = [left[d] for d in left if d // 100 == group]
+        assert set(texts[100 * group].split()[12:]) <= {w for text in own for w in text if w} | {
+            w for w in texts[100 * group].split() if w.startswith("z")}
+        assert sum(w is None for text in own for w in text) > 600
