@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import read_table, text_of
+import public_tokenizers
+
+from logweave.llm import byte_bpe
+from logweave.llm.common import read_table, stored, text_of
+from logweave.llm.convo_repair import conversation_hashes, damage, find_repairs, repaired_rows
 from logweave.llm.cube_mix import MOST_TIMES, WEIGHTS, BLOCK_ROWS, mix_units, word_count
 from logweave.llm.decontam import find_items
 from logweave.llm.exact_index import exact_dedup
@@ -16,6 +20,7 @@ from logweave.llm.passages import repeated_passages
 from logweave.llm.quality_rules import score_ids
 from logweave.llm.shards import shard_rows
 from logweave.llm.simhash_cover import fingerprints
+from logweave.llm.token_align import alignment_counts
 from logweave.llm.url_rules import judge_urls
 from logweave.llm.warc import deduplicate_archives, resolved, write_archives
 
@@ -89,6 +94,34 @@ def op10_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = damage(said)
+    repairs = stored(find_repairs(rows), "repairs")
+    hashes = conversation_hashes(repaired_rows(rows, repairs)).withColumnRenamed("conv", "hashed")
+    known = said.select("conv_id").distinct()
+    zero = {n: F.coalesce(F.col(n), F.lit(0)).alias(n)
+            for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    return (known.join(repairs, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+            .join(hashes, F.col("conv_id").eqNullSafe(F.col("hashed")), "left")
+            .select("conv_id", *zero.values(), F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256")))
+
+
+def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment_counts(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = byte_bpe.decode(byte_bpe.encode(docs, vocabulary).drop("text"), vocabulary)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hypergeometric_shards": op1_hypergeometric_shards,
@@ -101,6 +134,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash_anchors": op8_simhash_anchors,
         "op9_url_wildcards": op9_url_wildcards,
         "op10_wu_manber_decontamination": op10_wu_manber_decontamination,
+        "op11_repair_conversations": op11_repair_conversations,
+        "op12_lockstep_alignment": op12_lockstep_alignment,
+        "op13_backtracking_bpe": op13_backtracking_bpe,
     }
 
 
