@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,8 @@ MOST_VOCABULARY_BYTES = 64 << 20
 MOST_REMEMBERED = 400_000
 #: longest match that is remembered
 LONGEST_REMEMBERED = 64
+#: rows that a worker holds in Python form at once
+ROWS = 512
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -45,6 +49,10 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines()) if token}
 
 
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("packed ids are little-endian words of four bytes")
+
+
 class ByteBpe:
     """Encoder and decoder of one vocabulary."""
 
@@ -86,6 +94,7 @@ class ByteBpe:
                     break
         automaton.make_automaton()
         self._automaton = automaton
+        self._lengths = [len(token) for token in self.token_bytes]
 
     def _last_merge(self, token: bytes, rank: int) -> tuple[int, int] | None:
         """The two tokens that ranked merges below ``rank`` leave of a token's bytes."""
@@ -109,9 +118,6 @@ class ByteBpe:
         whatever took one of them away; of two equal joins, the left one comes first.
         """
         key = (left, right)
-        known = self._pairs.get(key)
-        if known is not None:
-            return known
         limit = len(self.token_bytes) + 1
         answer = True
         while True:
@@ -137,25 +143,31 @@ class ByteBpe:
         whole = self.ranks.get(match)
         if whole is not None:
             return [whole]
-        longest = [0] * len(match)
+        lengths, pairs, size = self._lengths, self._pairs, len(match)
+        longest = [0] * size
         for end, token in self._automaton.iter(match.decode("latin-1")):
-            longest[end + 1 - len(self.token_bytes[token])] = token      # longer ones come later
-        dead = bytearray(len(match) + 1)
+            longest[end + 1 - lengths[token]] = token                    # longer ones come later
+        dead = bytearray(size + 1)
         path: list[int] = []
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while True:
-            end = at + len(self.token_bytes[token])
-            if not dead[end] and (not path or self._apart(path[-1], token)):
-                path.append(token)
-                if end == len(match):
-                    return path
-                at, token = end, longest[end]
-                continue
+            end = at + lengths[token]
+            if not dead[end]:
+                fits = last < 0 or pairs.get((last, token))
+                if fits is None:
+                    fits = self._apart(last, token)
+                if fits:
+                    path.append(token)
+                    if end == size:
+                        return path
+                    at, last, token = end, token, longest[end]
+                    continue
             shorter = self.shorter.get(token)
             while shorter is None:           # nothing fits here: the predecessor goes back
                 dead[at] = 1
                 token = path.pop()
-                at -= len(self.token_bytes[token])
+                at -= lengths[token]
+                last = path[-1] if path else -1
                 shorter = self.shorter.get(token)
             token = shorter
 
@@ -175,16 +187,22 @@ class ByteBpe:
 
 
 class _Remembered(dict):
-    """Packed ids by match; what is missing is encoded, short matches are remembered."""
+    """Packed ids by match; what is missing is encoded, short matches are remembered.
+
+    When full, the entries become the older half: those met again come back, the rest goes.
+    """
 
     def __init__(self, bpe: ByteBpe):
         super().__init__()
-        self._bpe = bpe
+        self._bpe, self._older = bpe, {}
 
     def __missing__(self, match: str) -> bytes:
-        packed = np.array(self._bpe.encode_match(match.encode("utf-8")), dtype="<u4").tobytes()
+        packed = self._older.get(match)
+        if packed is None:
+            packed = array("I", self._bpe.encode_match(match.encode("utf-8"))).tobytes()
         if len(match) <= LONGEST_REMEMBERED:
-            if len(self) >= MOST_REMEMBERED:
+            if len(self) >= MOST_REMEMBERED // 2:
+                self._older = dict(self)
                 self.clear()
             self[match] = packed
         return packed
@@ -221,20 +239,32 @@ def _with_columns(df: DataFrame, work, outputs: dict[str, T.DataType]) -> DataFr
         *outputs)
 
 
-def encode(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """``df`` with ``n_tokens`` (long) and ``ids`` (packed) of its text column."""
+def encode(df: DataFrame, vocabulary: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """``df`` with ``n_tokens`` (long) and ``ids`` (packed) of its text column.
+
+    ``decoded`` adds the bytes that ``decode`` makes of the ids, in the same pass.
+    """
     shared = share_file(df.sparkSession, vocabulary)
     place = df.columns.index(text)
+    outputs = {"n_tokens": T.LongType(), "ids": T.BinaryType()} | ({"decoded": T.BinaryType()} if decoded else {})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder_of(shared.value)
-        for batch in batches:
+        for batch in _small(batches):
             ids = bpe.encode_texts([t or "" for t in batch.column(place).to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=[*batch.schema.names, "n_tokens", "ids"])
+            columns = [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array([bpe.decode(i) for i in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *outputs])
+
+    return _with_columns(df, work, outputs)
+
 
-    return _with_columns(df, work, {"n_tokens": T.LongType(), "ids": T.BinaryType()})
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``ROWS`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
@@ -244,7 +274,7 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder_of(shared.value)
-        for batch in batches:
+        for batch in _small(batches):
             decoded = [bpe.decode(i or b"") for i in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
                                              names=[*batch.schema.names, "decoded"])
