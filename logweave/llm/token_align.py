@@ -47,7 +47,7 @@ from logweave.llm.common import col, stored, text_of
 from logweave.llm.pretoken import split_texts
 
 #: characters of the texts of a chunk; a longer text is a chunk of its own
-CHUNK_CHARS = 6 << 20
+CHUNK_CHARS = 2 << 20
 #: tokens of A in a lane, and how many ends are tried for its border
 LANE_TOKENS = 512
 BORDER_TRIES = 48
