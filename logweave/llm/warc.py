@@ -69,7 +69,9 @@ def _record(kind: Column, record_id: Column, date: Column, target: Column, page_
 
 
 def _write(records: DataFrame, path: str) -> str:
+    # the fastest level: half the time of the default for a tenth more bytes
     (records.write.option("lineSep", END + END).option("compression", "gzip")
+     .option("zlib.compress.level", "BEST_SPEED")
      .option("maxRecordsPerFile", FILE_RECORDS).text(path))
     return path
 
@@ -126,7 +128,7 @@ def _records(lines: Iterator[tuple[str, bytes]]) -> Iterator[tuple[dict[str, str
         raise ValueError(f"archive ends inside a record: {file}")
 
 
-def _parser(with_payload: bool):
+def _parser(with_payload: bool, verify: bool):
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, bytes]]:
         for batch in batches:
             yield from zip(batch["file"], batch["value"])
@@ -146,7 +148,7 @@ def _parser(with_payload: bool):
             kind, page = fields["warc-type"], fields.get("x-page-id")
             digest = fields["warc-payload-digest"].removeprefix("sha256:")
             stored_here = kind == "response"
-            if stored_here and hashlib.sha256(payload).hexdigest() != digest:
+            if verify and stored_here and hashlib.sha256(payload).hexdigest() != digest:
                 raise ValueError(f"payload and digest differ in {fields['warc-record-id']}")
             rows.append((fields["warc-record-id"], kind, fields.get("warc-date"),
                          fields.get("warc-target-uri"), None if page is None else int(page), digest,
@@ -161,12 +163,16 @@ def _parser(with_payload: bool):
     return run
 
 
-def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
-    """One row per record; ``payload`` (binary) only on demand."""
+def read_archives(spark: SparkSession, path: str, with_payload: bool = False, verify: bool = True) -> DataFrame:
+    """One row per record; ``payload`` (binary) only on demand.
+
+    ``verify`` compares each stored payload with its digest; a caller that has read the same
+    files before may leave it out.
+    """
     ship_code(spark)
     lines = spark.read.option("lineSep", END).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value"))
-    return lines.mapInPandas(_parser(with_payload),
+    return lines.mapInPandas(_parser(with_payload, verify),
                              _HEADERS + (", payload binary" if with_payload else ""))
 
 
@@ -184,14 +190,18 @@ def revisits_of(headers: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame
 
 def deduplicate_archives(spark: SparkSession, path: str, to: str | None = None,
                          least_bytes: int = LEAST_BYTES) -> str:
-    """Write the archives of ``path`` anew, repeated payloads as revisit records."""
+    """Write the archives of ``path`` anew, repeated payloads as revisit records.
+
+    All records get ids of their own; payloads are verified in the pass over the headers.
+    """
     revisits = revisits_of(read_archives(spark, path), least_bytes)
-    records = read_archives(spark, path, with_payload=True).join(revisits, "record_id", "left")
+    records = read_archives(spark, path, with_payload=True, verify=False).join(revisits, "record_id", "left")
     again = F.col("original_id").isNotNull()
     payload = F.when(~again, F.col("payload").cast("string"))
-    record = _record(F.when(again, "revisit").otherwise("response"), F.col("record_id"),
+    fresh = lambda name: F.when(F.col(name).isNotNull(), _fresh_id(F.lit("unique"), F.col(name)))
+    record = _record(F.when(again, "revisit").otherwise("response"), fresh("record_id"),
                      F.col("date"), F.col("target"), F.col("page_id"), F.col("digest"),
-                     F.col("original_id"), F.col("original_target"), payload)
+                     fresh("original_id"), F.col("original_target"), payload)
     return _write(records.select(record.alias("value")), to or scratch_dir(spark, "warc-unique"))
 
 

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 
 import pytest
@@ -53,13 +54,25 @@ def test_revisits_by_brute_force(spark):
 
 
 def test_records_hold_the_headers_of_the_format(spark):
-    path = warc.deduplicate_archives(spark, warc.write_archives(pages(spark)))
-    whole = "".join(r.content.decode("latin-1") for r in spark.read.format("binaryFile").load(path)
-                    .select(F.col("content")).limit(0).collect())
-    assert whole == ""
-    lines = [r.value for r in spark.read.option("lineSep", "\r\n").text(path).collect()]
-    for name in ("WARC/1.1", "WARC-Type: revisit", f"WARC-Profile: {warc.PROFILE}"):
-        assert name in lines
+    """Every record of the files as bytes: its fields, its length, and that its id is its own."""
+    crawl = warc.write_archives(pages(spark))
+    path = warc.deduplicate_archives(spark, crawl)
+    first_ids = {r.record_id for r in warc.read_archives(spark, crawl).collect()}
+    ids, kinds = [], []
+    for file in spark.read.format("binaryFile").load(path).collect():
+        data = gzip.decompress(bytes(file.content))
+        while data:
+            head, _, rest = data.partition(b"\r\n\r\n")
+            version, *lines = head.decode().split("\r\n")
+            fields = dict(line.split(": ", 1) for line in lines)
+            length = int(fields["Content-Length"])
+            assert version == "WARC/1.1" and rest[length:length + 4] == b"\r\n\r\n"
+            assert rest[:length].startswith(b"HTTP/1.1 200 OK\r\n") and fields["WARC-Date"]
+            ids.append(fields["WARC-Record-ID"])
+            kinds.append(fields["WARC-Type"])
+            assert ("WARC-Profile" in fields) == ("WARC-Refers-To" in fields) == (kinds[-1] == "revisit")
+            data = rest[length + 4:]
+    assert len(set(ids)) == len(PAGES) and not first_ids & set(ids) and set(kinds) == {"response", "revisit"}
 
 
 def test_broken_archives_are_refused(spark, tmp_path):
