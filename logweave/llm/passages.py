@@ -87,13 +87,32 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(np.full(n, 0x9E3779B97F4A7C15, dtype=np.uint64))
 
 
-def _words(text: bytes) -> tuple[np.ndarray, list]:
-    """Hashes of the words, and the first words of the lines."""
-    lines = [line.split() for line in text.lower().split(b"\n")]
+#: words of the texts that are worked on at once; a longer text is worked on by itself
+BATCH_WORDS = 200_000
+
+
+def _batches(texts: Iterator[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(number of the first text, hashes of the words, ends of the texts, first words of lines).
+
+    The words of many texts in one array: the steps below cost the same for ten texts as for one.
+    """
     digest = xxhash.xxh64_intdigest
-    own = np.array([digest(w) for line in lines for w in line], dtype=np.uint64)
-    starts = np.cumsum([0] + [len(line) for line in lines[:-1]], dtype=np.int64)
-    return own, [s for s in starts if s < len(own)]
+    start, hashes, ends, lines, have = 0, [], [], [], 0
+    for k, text in enumerate(texts):
+        ahead = have
+        for line in text.lower().split(b"\n"):
+            words = line.split()
+            if words:
+                lines.append(ahead)
+                hashes.append(np.fromiter(map(digest, words), np.uint64, len(words)))
+                ahead += len(words)
+        have = ahead
+        ends.append(have)
+        if have >= BATCH_WORDS:
+            yield start, np.concatenate(hashes), np.array(ends), np.array(lines)
+            start, hashes, ends, lines, have = k + 1, [], [], [], 0
+    if have:
+        yield start, np.concatenate(hashes), np.array(ends), np.array(lines)
 
 
 def _spans(own: np.ndarray, width: int) -> np.ndarray:
@@ -117,14 +136,19 @@ def _sliding(values: np.ndarray, width: int, least) -> np.ndarray:
     return values
 
 
-def exact_seeds(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the seeds: any ``EXACT_WORDS`` words hold all of one."""
+def exact_seeds(own: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the seeds: any ``EXACT_WORDS`` words of a text hold all of one."""
     if len(own) < EXACT_WORDS:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    ends = np.array([len(own)]) if ends is None else ends
     spans, width = _spans(own, SEED_WORDS), EXACT_WORDS - SEED_WORDS + 1
     least = _sliding(spans, width, np.minimum)
+    # only windows inside one text count
+    left = np.repeat(ends, np.diff(ends, prepend=0))[:len(least)] - np.arange(len(least))
+    least[left < EXACT_WORDS] = 0
     none = np.zeros(width - 1, dtype=np.uint64)
-    at = np.flatnonzero(_sliding(np.concatenate((none, least, none)), width, np.maximum) == spans)
+    most = _sliding(np.concatenate((none, least, none)), width, np.maximum)
+    at = np.flatnonzero((most == spans) & (most > 0))
     return at, _mix(spans[at] + np.uint64(SEED_WORDS))
 
 
@@ -134,22 +158,27 @@ def paragraphs(text: bytes, radius: int = RADIUS, width: int = SHINGLE):
     Shingle i starts at word i and counts for its paragraph if it ends inside; entries
     that do not are the top value.  None for a text without words.
     """
-    own, starts = _words(text)
-    return _cut(own, starts, radius, width) if len(own) else None
+    for _, own, ends, lines in _batches(iter([text])):
+        return _cut(own, ends, lines, radius, width)
+    return None
 
 
-def _cut(own: np.ndarray, starts: list, radius: int = RADIUS, width: int = SHINGLE):
+def _cut(own: np.ndarray, ends: np.ndarray, lines: np.ndarray, radius: int = RADIUS, width: int = SHINGLE):
     n = len(own)
-    after = np.concatenate((own[1:], own[:1]))
+    sizes = np.diff(ends, prepend=0)
+    text_of_word = np.repeat(np.arange(len(ends)), sizes)
+    after = np.empty_like(own)
+    after[:-1] = own[1:]
+    held = sizes > 0
+    after[ends[held] - 1] = own[(ends - sizes)[held]]
     place = _mix(own * np.uint64(3) + after)
-    padded = np.concatenate((np.full(radius, _TOP), place, np.full(radius, _TOP)))
-    least = np.full(n, _TOP)
-    for shift in range(2 * radius + 1):
-        if shift != radius:
-            np.minimum(least, padded[shift:shift + n], out=least)
-    first = place < least
-    first[starts] = True
-    first[0] = True
+    # a stretch of top values between texts: no window reaches over it
+    spot = np.arange(n) + radius * (text_of_word + 1)
+    padded = np.full(n + radius * (len(ends) + 1), _TOP)
+    padded[spot] = place
+    beside = _sliding(padded, radius, np.minimum)
+    first = place < np.minimum(beside[spot - radius], beside[spot + 1])
+    first[lines] = True
     first = np.flatnonzero(first)
     counts = np.diff(np.append(first, n))
     within = np.arange(n) - np.repeat(first, counts)
@@ -190,30 +219,26 @@ def _band_rows(bands: int):
                  "unit": np.concatenate((np.tile(ids, bands), own)).view(np.int64),
                  "several": np.concatenate((np.tile(flags, bands), marks))})
 
-        for batch in batches:
-            for text in batch["body"]:
-                own, starts = _words(text)
-                if not len(own):
-                    continue
-                first, _, ids, shingles = _cut(own, starts)
-                marks = [_mix(np.minimum.reduceat(
-                    np.where(shingles == _TOP, _TOP, _mix(shingles ^ s)), first) + s) for s in seeds]
-                here: set[int] = set()
-                for unit, *key in zip(ids.tolist(), *[m.tolist() for m in marks]):
-                    if unit in here:
-                        continue
-                    here.add(unit)
-                    if unit in keys:
-                        several.add(unit)
-                    else:
-                        keys[unit] = tuple(key)
-                for seed in set(exact_seeds(own)[1].tolist()):
-                    (several if seed in exact else exact).add(seed)
-                if len(keys) + len(exact) > HOLD:
-                    yield frame()
-                    keys.clear()
-                    exact.clear()
-                    several.clear()
+        for _, own, ends, lines in _batches(text for batch in batches for text in batch["body"]):
+            first, _, ids, shingles = _cut(own, ends, lines)
+            marks = [_mix(np.minimum.reduceat(
+                np.where(shingles == _TOP, _TOP, _mix(shingles ^ s)), first) + s) for s in seeds]
+            at, spots = exact_seeds(own, ends)
+            # each text's paragraphs and seeds once
+            text_of_unit = np.searchsorted(ends, first, side="right")
+            _, once = np.unique(np.stack((text_of_unit.astype(np.uint64), ids)), axis=1, return_index=True)
+            for unit, *key in zip(ids[once].tolist(), *[m[once].tolist() for m in marks]):
+                if unit in keys:
+                    several.add(unit)
+                else:
+                    keys[unit] = tuple(key)
+            for _, seed in set(zip(np.searchsorted(ends, at, side="right").tolist(), spots.tolist())):
+                (several if seed in exact else exact).add(seed)
+            if len(keys) + len(exact) > HOLD:
+                yield frame()
+                keys.clear()
+                exact.clear()
+                several.clear()
         if keys:
             yield frame()
     return run
@@ -234,22 +259,28 @@ def _units(bitmap: bytes, bits: int):
             held.append(np.frombuffer(bitmap, dtype=np.uint8))
         for batch in batches:
             rows, size = [], 0
-            for number, ident, text in zip(batch["number"], batch["id"], batch["body"]):
-                hashes, starts = _words(text)
-                if not len(hashes):
-                    continue
-                first, counts, ids, shingles = _cut(hashes, starts)
-                at, seeds = exact_seeds(hashes)
+            numbers, idents = batch["number"].tolist(), batch["id"].tolist()
+            for start, hashes, ends, lines in _batches(iter(batch["body"])):
+                begins = ends - np.diff(ends, prepend=0)
+                first, counts, ids, shingles = _cut(hashes, ends, lines)
+                at, seeds = exact_seeds(hashes, ends)
                 at = at[_set(held[0], seeds, bits)]
-                for part in np.split(at, np.flatnonzero(np.diff(at) > EXACT_WORDS) + 1) if len(at) else ():
-                    start = max(0, int(part[0]) + SEED_WORDS - EXACT_WORDS)
-                    span = hashes[start:int(part[-1]) + EXACT_WORDS].astype("<u4").tobytes()
-                    rows.append((number, ident, -1, start, len(span) // 4, 0, None, span))
+                of_seed = np.searchsorted(ends, at, side="right")
+                parted = np.flatnonzero((np.diff(at) > EXACT_WORDS) | (np.diff(of_seed) > 0)) + 1
+                for part, text in zip(np.split(at, parted), of_seed[np.append(0, parted)]) if len(at) else ():
+                    low = max(int(begins[text]), int(part[0]) + SEED_WORDS - EXACT_WORDS)
+                    span = hashes[low:min(int(ends[text]), int(part[-1]) + EXACT_WORDS)].astype("<u4").tobytes()
+                    rows.append((numbers[start + text], idents[start + text], -1, low - int(begins[text]),
+                                 len(span) // 4, 0, None, span))
                     size += 120 + len(span)
-                for k in np.flatnonzero(_set(held[0], ids, bits)):
+                text_of_unit = np.searchsorted(ends, first, side="right")
+                first_unit = np.searchsorted(first, begins)
+                for k in np.flatnonzero(_set(held[0], ids, bits)).tolist():
+                    text = int(text_of_unit[k])
                     own = np.unique(shingles[first[k]:first[k] + counts[k]])
                     own = own[own != _TOP].view(np.int64)
-                    rows.append((number, ident, int(k), int(first[k]), int(counts[k]),
+                    rows.append((numbers[start + text], idents[start + text], k - int(first_unit[text]),
+                                 int(first[k] - begins[text]), int(counts[k]),
                                  int(ids[k:k + 1].view(np.int64)[0]), own, None))
                     size += 120 + 8 * len(own)
                 if size > 16_000_000:
@@ -333,8 +364,9 @@ def _exact_parts(around: DataFrame, runs: DataFrame) -> DataFrame:
     bitmap = _bitmap(open_spans.mapInPandas(_uncovered, "unit long"), BITMAP_BITS)
     marked = stored(around.select("number", "first_word", "span").mapInPandas(
         _marked(bitmap, BITMAP_BITS), "span long, number long, at int"), "passage-spans")
-    met = (marked.groupBy("span").agg(F.min("number").alias("first_row"), F.max("number").alias("last_row"))
-           .filter("first_row < last_row").select("span", "first_row"))
+    # stored, so that the join has two plain exchanges and a span of very many rows can be split
+    met = stored(marked.groupBy("span").agg(F.min("number").alias("first_row"), F.max("number").alias("last_row"))
+                 .filter("first_row < last_row").select("span", "first_row"), "passage-met")
     in_row = W.partitionBy("number", "removed").orderBy("at")
     apart = F.when(F.col("at") - F.lag("at").over(in_row) <= EXACT_WORDS, 0).otherwise(1)
     spans = (marked.join(met, "span").withColumn("removed", F.col("first_row") < F.col("number"))
