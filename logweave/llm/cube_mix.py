@@ -8,11 +8,19 @@ three documents along the null space of the two balancing constraints until one
 them is 0 or 1, and takes the next document in.  At the end at most two documents
 are fractional.
 
+A document that holds much of its source's target cannot be balanced by small ones in
+steps of three: it would be left to the end, and its draw would miss the target by its
+size.  Documents above ``LARGE_SHARE`` of the target are therefore drawn first, from the
+largest down, and what each draw adds or misses is spread evenly over the words still to
+be decided: all later documents share the rate (words still wanted) / (words still there).
+That keeps every document's expected copies, but where a rate would leave 0 .. most_times.
+A source has at most S / (LARGE_SHARE T) such documents.
+
 On Spark the flight runs per (source, block) of bounded size; what is left of each
 block - two documents at most - meets in the blocks of the next level.  A level
 divides the fractional documents by ``block_rows / 2``, so a few levels leave one
-block per source: the small *landing* problem, settled by a seeded draw.  A hot
-source is many blocks, never one task.
+block per source: the small *landing* problem, settled by one seeded draw for both of its
+documents.  A hot source is many blocks, never one task.
 
 Targets: sources in code point order (null last) weigh 5, 2, 1, 5, 2, 1 ... and
 share all words; a target stops at three times the source's size and the excess is
@@ -43,6 +51,8 @@ from logweave.llm.common import apart, col, pack, ship_code, stored, text_of, un
 WEIGHTS = (5.0, 2.0, 1.0)
 #: most copies of a document, and most times a source's size that its target may be
 MOST_TIMES = 3.0
+#: share of its source's target above which a document is drawn before the flight
+LARGE_SHARE = 0.02
 #: documents in one flight
 BLOCK_ROWS = 2048
 #: inclusion probabilities this close to 0 or 1 are settled
@@ -142,8 +152,10 @@ def _land(seed: int):
         rest = rest.sort_values(["size", "key", "number"], ascending=[False, True, True])
         rng = _seed(seed, 99, int(rest["key"].iloc[0]))
         moved = flight(rest["size"].to_numpy(), rest["p"].to_numpy(), rng)
-        left = (moved > EDGE) & (moved < 1 - EDGE)
-        moved[left] = (rng.random(int(left.sum())) < moved[left]).astype(float)
+        # one draw for all that is left: as many of them are taken as their sum, up to one
+        left = np.flatnonzero((moved > EDGE) & (moved < 1 - EDGE))
+        upto = np.cumsum(moved[left]) + rng.random()
+        moved[left] = np.diff(np.floor(upto), prepend=np.floor(upto[:1] - moved[left][:1]))
         return rest.assign(p=np.round(moved))[["source", "key", "number", "size", "p"]]
     return run
 
@@ -187,23 +199,61 @@ def mix_units(df: DataFrame, id_col: str, source_col: str, size: Column, content
     rows = stored(rows, "cube-rows")
     sizes = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     targets = stored(source_targets(sizes, weights, most_times), "cube-targets")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    # a rate within 1e-9 of a whole number is that number
-    whole = F.floor(rate + EDGE).cast("int")
     units = (rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1))
                          .alias("number")).drop("rows")
              .withColumn("key", F.xxhash64(F.lit(seed), "id", "source", "size", "content")))
     named = units.join(targets, units["source"].eqNullSafe(targets["source"])).select(
-        units["*"], "source_size", "target", whole.alias("whole"),
-        F.greatest(rate - whole, F.lit(0.0)).alias("p"))
+        units["*"], "source_size", "target", (F.col("size") > F.col("target") * LARGE_SHARE).alias("large"))
+    large = stored(named.filter("large AND target > 0").groupBy("source").applyInPandas(
+        _draw_large(seed, most_times), "source string, key long, number long, size long, copies int"), "cube-large")
+    spent = large.groupBy(F.col("source").alias("of")).agg(
+        F.sum("size").alias("large_words"), F.sum(F.col("size") * F.col("copies")).alias("large_taken"))
+    # words still wanted of the words still there: the rate of all other documents
+    wanted = targets.join(spent, F.col("source").eqNullSafe(F.col("of")), "left").select(
+        F.col("source").alias("of"), (F.col("target") - F.coalesce("large_taken", F.lit(0))).alias("wanted"),
+        (F.col("source_size") - F.coalesce("large_words", F.lit(0))).alias("there"))
+    rate = F.when(F.col("there") > 0, F.greatest(F.lit(0.0), F.least(
+        F.lit(float(most_times)), F.col("wanted") / F.col("there")))).otherwise(0.0)
+    # a rate within 1e-9 of a whole number is that number
+    whole = F.floor(F.col("rate") + EDGE).cast("int")
+    rest = (named.filter("NOT (large AND target > 0)").join(wanted, F.col("source").eqNullSafe(F.col("of")))
+            .withColumn("rate", rate).withColumn("whole", whole)
+            .withColumn("p", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0))))
     fractional = (F.col("p") > EDGE) & (F.col("p") < 1 - EDGE)
-    sample = balanced_sample(named.filter(fractional), seed, block_rows)
-    drawn = sample.select(F.col("source").alias("s"), F.col("key").alias("k"),
-                          F.col("number").alias("i"), "extra")
-    return named.join(drawn, (F.col("key") == F.col("k")) & (F.col("number") == F.col("i"))
-                      & F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "id", "source", "size", "content", "number", "source_size", "target",
-        (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("int").alias("copies"))
+    sample = balanced_sample(rest.filter(fractional), seed, block_rows)
+
+    def decided(frame: DataFrame, decisions: DataFrame, copies: Column) -> DataFrame:
+        drawn = decisions.select(F.col("source").alias("s"), F.col("key").alias("k"), F.col("number").alias("i"),
+                                 F.col(decisions.columns[-1]).alias("drawn"))
+        return frame.join(drawn, (F.col("key") == F.col("k")) & (F.col("number") == F.col("i"))
+                          & F.col("source").eqNullSafe(F.col("s")), "left").select(
+            "id", "source", "size", "content", "number", "source_size", "target", copies.cast("int").alias("copies"))
+
+    extra = F.coalesce("drawn", F.lit(0))
+    return decided(rest, sample, F.col("whole") + extra).unionByName(
+        decided(named.filter("large AND target > 0"), large, extra))
+
+
+def draw_large(size: np.ndarray, source_size: float, target: float, most_times: float,
+               rng: np.random.Generator) -> np.ndarray:
+    """Copies of the large documents of a source, given from the largest down."""
+    wanted, there, copies = float(target), float(source_size), np.zeros(len(size), dtype=np.int64)
+    for k, (words, draw) in enumerate(zip(size.tolist(), rng.random(len(size)).tolist())):
+        rate = min(max(wanted / there, 0.0), most_times)
+        whole = math.floor(rate + EDGE)
+        copies[k] = whole + (draw < rate - whole)
+        wanted, there = wanted - copies[k] * words, there - words
+    return copies
+
+
+def _draw_large(seed: int, most_times: float):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["size", "key", "number"], ascending=[False, True, True])
+        rng = _seed(seed, 98, int(rows["key"].iloc[0]))
+        copies = draw_large(rows["size"].to_numpy(), rows["source_size"].iloc[0], rows["target"].iloc[0],
+                            most_times, rng)
+        return rows.assign(copies=copies)[["source", "key", "number", "size", "copies"]]
+    return run
 
 
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

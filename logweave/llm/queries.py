@@ -12,7 +12,7 @@ import public_tokenizers
 from logweave.llm import byte_bpe
 from logweave.llm.common import read_table, stored, text_of
 from logweave.llm.convo_repair import conversation_hashes, damage, find_repairs, repaired_rows
-from logweave.llm.cube_mix import MOST_TIMES, WEIGHTS, BLOCK_ROWS, mix_units, word_count
+from logweave.llm.cube_mix import mix_sources
 from logweave.llm.decontam import find_items
 from logweave.llm.exact_index import exact_dedup
 from logweave.llm.hmm_score import score_texts
@@ -32,12 +32,11 @@ URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"),
 
 
 def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    text = text_of(docs)
-    rows = docs.select("doc_id", (F.octet_length(text) + F.lit(16)).cast("long").alias("size"),
-                       F.crc32(text.cast("binary")).alias("text_crc32"))
-    return shard_rows(rows, SHARDS).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+    sharded = shard_rows(read_table(spark, sf_dir, "documents"), SHARDS)
+    text = text_of(sharded)
+    return sharded.select(
+        "doc_id", (F.octet_length(text) + F.lit(16)).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
 
@@ -70,12 +69,8 @@ def op6_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    text = text_of(docs)
-    units = mix_units(docs, "doc_id", "source", word_count(text), F.xxhash64(text), MIX_SEED,
-                      WEIGHTS, MOST_TIMES, BLOCK_ROWS)
-    return units.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
-                        (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+    mixed = mix_sources(read_table(spark, sf_dir, "documents"), seed=MIX_SEED)
+    return mixed.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
 
 
 def op8_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,8 +111,7 @@ def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = byte_bpe.decode(byte_bpe.encode(docs, vocabulary).drop("text"), vocabulary)
+    coded = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +76,57 @@ def test_mix_of_awkward_rows(spark, block_rows):
         assert abs(taken[source] - target) <= 2 * largest[source] + 1
 
 
+def _worst_misses(sizes, target, seeds):
+    """Relative misses of a source over seeds, by the functions of a run on Spark, and the mean copies."""
+    size = np.sort(np.array(sizes))[::-1]
+    misses, copies = [], np.zeros(len(size))
+    for seed in range(seeds):
+        rng = np.random.default_rng([1, seed])
+        large = size > target * cube_mix.LARGE_SHARE
+        drawn = np.zeros(len(size))
+        drawn[large] = cube_mix.draw_large(size[large], size.sum(), target, 3.0, rng)
+        rest = ~large
+        if rest.any():
+            rate = min(max((target - (drawn * size).sum()) / size[rest].sum(), 0), 3.0)
+            rows = pd.DataFrame({"source": "s", "key": rng.permutation(int(rest.sum())) + 1000 * seed, "number": 0,
+                                 "size": size[rest], "p": rate - np.floor(rate)})
+            landed = cube_mix._land(seed)(rows)
+            extra = landed.sort_values("size", ascending=False, kind="stable")["p"].to_numpy()
+            drawn[rest] = np.floor(rate) + extra
+        misses.append(abs((drawn * size).sum() - target) / target)
+        copies += drawn
+    return np.array(misses), copies / seeds
+
+
+def test_one_large_text_among_small_ones():
+    """A text that holds most of the target: the sum is met and the rates are kept."""
+    rng = np.random.default_rng(3)
+    sizes = [5184, *rng.integers(60, 500, 74).tolist()]
+    target = 0.303 * sum(sizes)
+    misses, rates = _worst_misses(sizes, target, 400)
+    assert misses.mean() < 0.01 and misses.max() < 0.07
+    assert abs(rates[0] - 0.303) < 0.07 and abs(rates[1:].mean() - 0.303) < 0.01
+
+
+@pytest.mark.parametrize("rate", [0.05, 0.4, 1.0, 1.7, 2.95])
+def test_all_rates_meet_their_targets(rate):
+    sizes = np.random.default_rng(4).lognormal(5, 1, 300).astype(int) + 1
+    misses, rates = _worst_misses(sizes, rate * sizes.sum(), 100)
+    assert misses.mean() < 0.02 and misses.max() < 0.07 and abs(rates.mean() - rate) < 0.05
+
+
+def test_given_sources_meet_their_targets(spark):
+    """No bound that grows with the largest document."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    misses = []
+    for seed in (7, 8):
+        out = cube_mix.mix_sources(table, seed=seed).groupBy("source").agg(
+            F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max(F.col("taken") - 3 * F.col("size")))
+        misses += [abs(r.taken - r.target) / r.target for r in out.collect()]
+        assert max(r[3] for r in out.collect()) <= 0
+    assert max(misses) < 0.07 and sum(misses) / len(misses) < 0.01
+
+
 def test_reruns_agree_and_rows_are_emitted(spark):
     columns = ["doc_id", "text", "source", "copies"]
     one = cube_mix.mix_sources(docs(spark)).select(*columns)
