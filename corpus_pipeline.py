@@ -3,6 +3,12 @@
 quality -> SimHash near-duplicates -> benchmark decontamination -> mixing -> sharding.
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each
 to the shared folder as Parquet and reads it back for the next.
+
+Results by case, the same in every stage: a null text counts as empty, and empty, blank and
+very long texts are judged like others; null and repeated ids are rows of their own (a row is
+never joined back by its id alone); of equal rows all but one fall to ``near_duplicates``; its
+ties go to the smallest id, a null id being the largest; a null source is a source; columns
+that are named like an operator's own pass through; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -10,9 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from logweave.llm import decontam, quality_rules, simhash_cover
-from logweave.llm.common import apart, read_table, stored
+from logweave.llm.common import apart, read_table
 from logweave.llm.cube_mix import mixed_rows
 from logweave.llm.shards import shard_rows
+from logweave.session import remove_folder, scratch_dir, scratch_scope
 
 SHARDS = 40
 
@@ -55,7 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages; a stage's scratch tables and its input go once its output is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_dir(spark, f"pipeline-{name}")
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        if before is not None:
+            remove_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
