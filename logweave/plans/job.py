@@ -33,7 +33,7 @@ from logweave.operators.batching import batch_stats, run_stats
 from logweave.operators.queries import DATAFRAME_QUERIES, TWO_STAGE_QUERIES
 from logweave.plans.sql import sql_query
 from logweave.schemas import LOG_COLUMNS, RESULT_SCHEMAS
-from logweave.session import remove_folder, scratch_dir
+from logweave.session import remove_folder, scratch_dir, scratch_scope
 from logweave.sinks.store import ResultStore, stage_parquet
 from logweave.sources.text import ORDER_COLUMNS, read_log_lines, rebalance_lines
 
@@ -159,7 +159,8 @@ def _stage(spark: SparkSession, paths, strategy: str, batch_size: int, name: str
     rows = spark.read.parquet(path)
     t1 = time.perf_counter()
     batches_path = scratch_dir(spark, f"batches-{name}")
-    batch_stats(rows, strategy, batch_size, persisted=True).write.parquet(batches_path)
+    with scratch_scope(spark):                   # the tables of the line index
+        batch_stats(rows, strategy, batch_size, persisted=True).write.parquet(batches_path)
     batches = spark.read.parquet(batches_path)
     totals = run_stats(batches, strategy, batch_size).first().asDict()
     return _Staged(rows, path, batches, batches_path, totals,
@@ -172,28 +173,37 @@ def _run_variant(spark: SparkSession, staged: _Staged, strategy: str, batch_size
     """Query the staged rows and store the run; ``before``: seconds that count already."""
     timings, t0 = dict(staged.timings), time.perf_counter()
     num_batches, batched_at = int(staged.totals["num_batches"]), datetime.now()
-    if store is not None:
-        store.claim(pipeline_name, run_id)
-        store.clear(pipeline_name, run_id)
     results = {q: run_query(spark, _valid(staged.rows), q, variant, ordered=store is None)
                for q in selected}
-    if store is not None:
-        store.write_batch_metadata(staged.batches, pipeline_name, run_id, strategy,
-                                   started_at, batched_at)
-        for q, frame in results.items():
-            t = time.perf_counter()
-            store.write_results(q, frame, pipeline_name, run_id, num_batches, datetime.now())
-            timings[q] = time.perf_counter() - t
     run_row = {
         "run_id": run_id, "pipeline_name": pipeline_name, "batch_strategy": strategy,
         "batch_size": int(batch_size), "total_records": int(staged.totals["total_records"]),
         "malformed_records": int(staged.totals["malformed_records"]), "num_batches": num_batches,
         "avg_batch_size": _decimal(staged.totals["avg_batch_size"], "0.01"),
-        "runtime_seconds": _decimal(before + time.perf_counter() - t0, "0.001"),
-        "started_at": started_at, "completed_at": datetime.now(), "queries": ",".join(selected),
+        "started_at": started_at, "queries": ",".join(selected),
     }
-    if store is not None:
-        store.write_run_metadata(run_row)
+
+    def finished() -> dict:
+        run_row["runtime_seconds"] = _decimal(before + time.perf_counter() - t0, "0.001")
+        run_row["completed_at"] = datetime.now()
+        return run_row
+
+    if store is None:
+        finished()
+    else:
+        store.begin(pipeline_name, run_id)       # seen by readers as a whole, with the commit
+        try:
+            store.write_batch_metadata(staged.batches, pipeline_name, run_id, strategy,
+                                       started_at, batched_at)
+            for q, frame in results.items():
+                t = time.perf_counter()
+                store.write_results(q, frame, pipeline_name, run_id, num_batches, datetime.now())
+                timings[q] = time.perf_counter() - t
+            store.write_run_metadata(finished())
+        except BaseException:
+            store.abandon(run_id)
+            raise
+        store.commit(run_id)
         results = {q: store.results(q, run_id).select(*RESULT_SCHEMAS[q].fieldNames())
                    for q in selected}
     return JobResult(run_id=run_id, pipeline_name=pipeline_name, strategy=strategy,

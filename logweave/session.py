@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,9 +63,31 @@ def _context_folder(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared scratch root."""
-    return f"{scratch_root(spark)}/logweave/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/logweave/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch folders made inside are removed at the end.
+
+    What is read lazily from them must have been written elsewhere by then.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            remove_folder(spark, path)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

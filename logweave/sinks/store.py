@@ -8,17 +8,21 @@ session catalog:
 * ``run_metadata`` - one row per run;
 * ``batch_metadata`` - one row per logical batch.
 
-Every table is Parquet, partitioned by ``(pipeline_name, run_id)``.  A run
-writes its rows with ``INSERT OVERWRITE ... PARTITION (pipeline_name=..,
-run_id=..)``: a static partition, so re-running a run id replaces exactly its
-own rows (idempotent append) and a report or comparison filtered by run id
-reads one partition (F3 partition pruning).  ``CREATE TABLE IF NOT EXISTS``
-over a fixed location re-attaches existing data in a new session;
-``RECOVER PARTITIONS`` picks up partitions written by earlier sessions.
-
-A run id belongs to one pipeline: another pipeline that names it is refused.  A run
-that writes again replaces everything it had stored, also the results of queries it
-does not run this time.  Paths are stored whole; the 512 characters of a database
+Every table is Parquet, partitioned by ``(pipeline_name, run_id, attempt)``.  A run is
+written as an attempt of its own and becomes visible with one marker file
+(``commits/<run_id>.json``) that names the attempt: until ``commit``, and if the run
+fails before it, readers see the run's earlier state, or nothing.  All five tables change
+with that one file.  The attempt that a commit supersedes is kept until the next one, for
+readers that are under way; ``remove_uncommitted`` drops what failed runs have left.
+Reports and comparisons filtered by run id read one partition (F3 partition pruning).
+``CREATE TABLE IF NOT EXISTS`` over a fixed location re-attaches existing data in a new
+session; ``RECOVER PARTITIONS`` picks up partitions written by earlier sessions.
+
+A run id belongs to one pipeline: the first to place its claim file
+(``claims/<run_id>``, of two at once one wins); another pipeline that names it is refused.
+A run that writes again replaces everything it had stored, also the results of queries it
+does not run this time.  A single ``write_*`` call outside ``begin`` and ``commit`` adds to
+what the run has committed and commits at once.  Paths are stored whole; the 512 characters of a database
 column apply in the JDBC copy only.
 
 Staging (K1) writes the parsed rows once, as Parquet or as plain TSV.  An
@@ -29,20 +33,27 @@ are tested (``jdbc_frame``), the connection is not, as no database server may ru
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+import uuid
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from logweave.functions.display import sink_path
 from logweave.schemas import (BATCH_METADATA_SCHEMA, LOG_COLUMNS, Q1_SCHEMA,
-                              Q2_SCHEMA, Q3_SCHEMA, RUN_METADATA_SCHEMA,
-                              RUN_TAG_SCHEMA)
-from logweave.session import make_folder
-
-PARTITION_COLUMNS = ["pipeline_name", "run_id"]
+                              Q2_SCHEMA, Q3_SCHEMA, RANK_COLUMN,
+                              RUN_METADATA_SCHEMA, RUN_TAG_SCHEMA)
+from logweave.operators.lineindex import with_line_index
+from logweave.session import make_folder, remove_folder, scratch_dir
+from logweave.sinks.markers import place, place_once, read_marker
+
+RUN_COLUMNS = ["pipeline_name", "run_id"]
+PARTITION_COLUMNS = [*RUN_COLUMNS, "attempt"]
+COMMIT_SCHEMA = "run_id string, pipeline_name string, attempt string"
 _NAME_OK = re.compile(r"^[A-Za-z0-9_.\-]+$")
 _DB_OK = re.compile(r"^[A-Za-z0-9_]+$")
 
@@ -62,7 +73,7 @@ def _table_schema(name: str) -> StructType:
         fields = [f for f in BATCH_METADATA_SCHEMA.fields if f.name not in PARTITION_COLUMNS]
     else:
         raise KeyError(name)
-    fields += [RUN_TAG_SCHEMA[c] for c in PARTITION_COLUMNS]
+    fields += [RUN_TAG_SCHEMA[c] for c in RUN_COLUMNS] + [StructField("attempt", StringType())]
     return StructType(fields)
 
 
@@ -90,6 +101,7 @@ class ResultStore:
         default = "logweave_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
         self.database = _check_name(database or default, "database")
         self._ready = False
+        self._open: dict[str, tuple[str, str]] = {}        # run id -> (pipeline, attempt)
 
     # -- K7 ---------------------------------------------------------------
     def ensure_tables(self) -> "ResultStore":
@@ -107,6 +119,7 @@ class ResultStore:
             # partitions written by earlier sessions; a new root is an empty folder
             make_folder(self.spark, f"{self.root}/{name}")
             self.spark.sql(f"ALTER TABLE {self.qualified(name)} RECOVER PARTITIONS")
+        make_folder(self.spark, f"{self.root}/commits")
         self._ready = True
         return self
 
@@ -114,8 +127,86 @@ class ResultStore:
         return f"{self.database}.{name}"
 
     def table(self, name: str) -> DataFrame:
+        """The committed rows of a table."""
+        self.ensure_tables()
+        committed = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits")
+        rows = self.spark.table(self.qualified(name))
+        return rows.join(committed, PARTITION_COLUMNS, "left_semi").select(
+            *[c for c in rows.columns if c != "attempt"])
+
+    def _run_rows(self, name: str, run_id: str) -> DataFrame:
+        """The committed rows of one run: a filter on its partition."""
+        self.ensure_tables()
+        rows, commit = self.spark.table(self.qualified(name)), self._commit_of(run_id)
+        kept = F.lit(False) if commit is None else (
+            (F.col("pipeline_name") == commit["pipeline_name"]) & (F.col("run_id") == run_id)
+            & (F.col("attempt") == commit["attempt"]))
+        return rows.filter(kept).drop("attempt")
+
+    # -- runs as a whole ----------------------------------------------------
+    def _commit_path(self, run_id: str) -> str:
+        return f"{self.root}/commits/{_check_name(run_id, 'run_id')}.json"
+
+    def _commit_of(self, run_id: str) -> dict | None:
+        if not _NAME_OK.match(run_id):                    # no such run can be stored
+            return None
+        content = read_marker(self.spark, self._commit_path(run_id))
+        return json.loads(content) if content else None
+
+    def claim(self, pipeline_name: str, run_id: str) -> None:
+        """Take a run id for a pipeline; refuse one that another pipeline holds."""
+        _check_name(pipeline_name, "pipeline_name")
+        path = f"{self.root}/claims/{_check_name(run_id, 'run_id')}"
+        if not place_once(self.spark, path, pipeline_name):
+            other = read_marker(self.spark, path)
+            if other != pipeline_name:
+                raise ValueError(f"run id {run_id!r} belongs to pipeline {other!r}")
+
+    def begin(self, pipeline_name: str, run_id: str) -> None:
+        """Open an attempt: what is written from here on is seen from ``commit`` on."""
+        self.ensure_tables().claim(pipeline_name, run_id)
+        self._open[run_id] = (pipeline_name, uuid.uuid4().hex)
+
+    def commit(self, run_id: str) -> None:
+        """Make the open attempt the run's state."""
+        pipeline_name, attempt = self._open.pop(run_id)
+        self._place_commit(pipeline_name, run_id, attempt)
+
+    def abandon(self, run_id: str) -> None:
+        """Drop the open attempt of a run that failed."""
+        pipeline_name, attempt = self._open.pop(run_id)
+        self._drop_attempt(pipeline_name, run_id, attempt)
+
+    def _place_commit(self, pipeline_name: str, run_id: str, attempt: str) -> None:
+        before = self._commit_of(run_id) or {}
+        place(self.spark, self._commit_path(run_id), json.dumps({
+            "run_id": run_id, "pipeline_name": pipeline_name, "attempt": attempt,
+            "superseded": before.get("attempt")}))
+        if before.get("superseded"):
+            self._drop_attempt(pipeline_name, run_id, before["superseded"])
+
+    def _drop_attempt(self, pipeline_name: str, run_id: str, attempt: str) -> None:
+        for name in TABLE_NAMES:
+            self.spark.sql(
+                f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS PARTITION "
+                f"(pipeline_name = '{pipeline_name}', run_id = '{run_id}', attempt = '{attempt}')")
+            remove_folder(self.spark, f"{self.root}/{name}/pipeline_name={pipeline_name}/"
+                                      f"run_id={run_id}/attempt={attempt}")
+
+    def remove_uncommitted(self) -> int:
+        """Drop the attempts that no commit names, and how many there were; not while a run is written."""
         self.ensure_tables()
-        return self.spark.table(self.qualified(name))
+        left = set()
+        for name in TABLE_NAMES:
+            for row in self.spark.sql(f"SHOW PARTITIONS {self.qualified(name)}").collect():
+                left.add(tuple(part.split("=", 1)[1] for part in row[0].split("/")))
+        gone = 0
+        for pipeline_name, run_id, attempt in sorted(left):
+            commit = self._commit_of(run_id) or {}
+            if attempt not in (commit.get("attempt"), commit.get("superseded")):
+                self._drop_attempt(pipeline_name, run_id, attempt)
+                gone += 1
+        return gone
 
     # -- writes -----------------------------------------------------------
     def _overwrite_partition(self, name: str, frame: DataFrame, pipeline_name: str,
@@ -123,34 +214,27 @@ class ResultStore:
         self.ensure_tables()
         _check_name(pipeline_name, "pipeline_name")
         _check_name(run_id, "run_id")
+        open_pipeline, attempt = self._open.get(run_id, (None, None))
+        if open_pipeline not in (None, pipeline_name):
+            raise ValueError(f"run id {run_id!r} is being written by pipeline {open_pipeline!r}")
+        single = attempt is None
+        if single:
+            self.claim(pipeline_name, run_id)
+            attempt = (self._commit_of(run_id) or {}).get("attempt")
+            new = attempt is None
+            attempt = attempt or uuid.uuid4().hex
         schema = _table_schema(name)
         data_cols = [f for f in schema.fields if f.name not in PARTITION_COLUMNS]
-        view = f"_logweave_insert_{name}"
+        view = f"_logweave_insert_{name}_{uuid.uuid4().hex}"
         frame.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in data_cols]) \
              .createOrReplaceTempView(view)
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.qualified(name)} "
-            f"PARTITION (pipeline_name = '{pipeline_name}', run_id = '{run_id}') "
+            f"PARTITION (pipeline_name = '{pipeline_name}', run_id = '{run_id}', attempt = '{attempt}') "
             f"SELECT {', '.join(f.name for f in data_cols)} FROM {view}")
         self.spark.catalog.dropTempView(view)
-
-    def claim(self, pipeline_name: str, run_id: str) -> None:
-        """Refuse a run id that another pipeline holds in any table."""
-        for name in TABLE_NAMES:
-            other = (self.table(name).filter((F.col("run_id") == run_id)
-                                             & (F.col("pipeline_name") != pipeline_name))
-                     .select("pipeline_name").first())
-            if other:
-                raise ValueError(f"run id {run_id!r} belongs to pipeline {other[0]!r}")
-
-    def clear(self, pipeline_name: str, run_id: str) -> None:
-        """Empty the run's partition in every table that holds rows of it."""
-        for name in TABLE_NAMES:
-            held = self.table(name).filter((F.col("run_id") == run_id)
-                                           & (F.col("pipeline_name") == pipeline_name))
-            if held.select("run_id").first():
-                nothing = self.spark.createDataFrame([], _table_schema(name))
-                self._overwrite_partition(name, nothing, pipeline_name, run_id)
+        if single and new:
+            self._place_commit(pipeline_name, run_id, attempt)
 
     def write_results(self, query: str, frame: DataFrame, pipeline_name: str, run_id: str,
                       batch_id: int, execution_time: datetime) -> None:
@@ -178,17 +262,17 @@ class ResultStore:
         self._overwrite_partition("batch_metadata", frame, pipeline_name, run_id)
 
     # -- reads (F3) -------------------------------------------------------
+    def _read(self, name: str, run_id: str | None) -> DataFrame:
+        return self.table(name) if run_id is None else self._run_rows(name, run_id)
+
     def results(self, query: str, run_id: str | None = None) -> DataFrame:
-        frame = self.table(RESULT_TABLES[query])
-        return frame if run_id is None else frame.filter(F.col("run_id") == run_id)
+        return self._read(RESULT_TABLES[query], run_id)
 
     def run_metadata(self, run_id: str | None = None) -> DataFrame:
-        frame = self.table("run_metadata")
-        return frame if run_id is None else frame.filter(F.col("run_id") == run_id)
+        return self._read("run_metadata", run_id)
 
     def batch_metadata(self, run_id: str | None = None) -> DataFrame:
-        frame = self.table("batch_metadata")
-        return frame if run_id is None else frame.filter(F.col("run_id") == run_id)
+        return self._read("batch_metadata", run_id)
 
 
 # -- staging (K1) and plain output directories (K3) --------------------------
@@ -224,9 +308,24 @@ def stage_tsv(valid: DataFrame, path: str) -> str:
     return _plain_tsv(valid.select(*[safe.get(c, F.col(c)).alias(c) for c in LOG_COLUMNS]), path)
 
 
-def write_tsv_output(frame: DataFrame, path: str) -> str:
-    """K3: a query result written to a directory, tab separated."""
-    return _plain_tsv(frame, path)
+def write_tsv_output(frame: DataFrame, path: str, order: Sequence[Column | str] | None = None) -> str:
+    """K3: a query result written to a directory, tab separated.
+
+    With ``order`` every row also gets its rank (from 1) as a last field, so that the order
+    survives part files of any names and number.  The ranks come from range partitions and a
+    prefix sum over their sizes, not from a window over all rows.
+    """
+    return _plain_tsv(frame if order is None else with_rank(frame, order), path)
+
+
+def with_rank(frame: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """``frame`` with its rank in ``order`` (from 1) as the last column."""
+    placed = scratch_dir(frame.sparkSession, "ranked")
+    (frame.repartitionByRange(*order).sortWithinPartitions(*order)
+     .withColumns({"_part": F.spark_partition_id(), "_seq": F.monotonically_increasing_id()}).write.parquet(placed))
+    stored = frame.sparkSession.read.parquet(placed)
+    indexed = with_line_index(stored, ["_part"], "_seq", "_index")
+    return indexed.select(*frame.columns, (F.col("_index") + 1).alias(RANK_COLUMN))
 
 
 def jdbc_frame(frame: DataFrame) -> DataFrame:
