@@ -13,9 +13,8 @@ different values or present on one side only.
 * ``compare_summary`` per query: rows on each side, mismatching keys, verdict
   (``not_run`` for a query that neither run executed), plus the two runs' total / malformed line counts (R7).
 * ``compare_all_pairs`` (R6) every pair of the given runs that finished (have a
-  run_metadata row).  Instead of a self-join per key, the stored rows of all
-  runs are pivoted on run_id (one row per key, the values of every run side by side) and every
-  pair is evaluated as column expressions in a single aggregate per query.
+  run_metadata row).  Every run is digested once, by buckets of its keys; runs of equal digests
+  are compared with nothing further, and of others only the buckets that differ are read by key.
 """
 
 from __future__ import annotations
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 
 from logweave.constants import ALL_QUERIES, COMPARE_DIFFS_SHOWN, TOP_RESOURCES_LIMIT
 from logweave.schemas import RESULT_KEYS
+from logweave.session import scratch_dir
 from logweave.sinks.store import ResultStore
 
 COMPARE_VALUES = {
@@ -50,7 +50,8 @@ def comparable(frame: DataFrame, query: str, by_run: bool = False) -> DataFrame:
         summed = frame.groupBy(*run, *keys).agg(
             F.sum("error_request_count").cast("long").alias("error_request_count"),
             F.sum("total_request_count").cast("long").alias("total_request_count"),
-            F.sum("distinct_error_hosts").cast("long").alias("distinct_error_hosts"))
+            # distinct counts do not add up: several rows of one key have none in common
+            F.when(F.count(F.lit(1)) == 1, F.max("distinct_error_hosts")).alias("distinct_error_hosts"))
         rate = F.when(F.col("total_request_count") > 0,
                       F.col("error_request_count") / F.col("total_request_count")
                       ).otherwise(F.lit(0.0))
@@ -161,36 +162,115 @@ def finished_runs(store: ResultStore, run_ids: Sequence[str]) -> list[str]:
     return [r for r in run_ids if r in found]
 
 
+#: parts that a run's keys are dealt to by their hash
+DIGEST_BUCKETS = 256
+
+
+def _bucketed(store: ResultStore, runs: Sequence[str], query: str) -> DataFrame:
+    """The comparable rows of the runs with the bucket of their key and a hash of the whole row."""
+    keys, values = RESULT_KEYS[query], COMPARE_VALUES[query]
+    rows = comparable(store.results(query).filter(F.col("run_id").isin(list(runs))), query, by_run=True)
+    # two hashes of different kind: a row's digest has 128 bits
+    text = F.to_json(F.struct(*keys, *values))
+    return rows.select("run_id", *keys, *values, F.pmod(F.xxhash64(*keys), F.lit(DIGEST_BUCKETS)).alias("bucket"),
+                       F.xxhash64(*keys, *values).alias("h1"),
+                       F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long").alias("h2"))
+
+
+def run_digests(store: ResultStore, runs: Sequence[str], query: str) -> DataFrame:
+    """(run_id, bucket, rows, digest): one row per run and bucket that holds keys of it.
+
+    Linear in the runs.  Digests are sums over the rows' hashes, so they do not depend on the
+    order of rows; equal digests mean equal rows.
+    """
+    total = [F.sum(F.col(h).cast("decimal(20,0)")).cast("string") for h in ("h1", "h2")]
+    return _bucketed(store, runs, query).groupBy("run_id", "bucket").agg(
+        F.count(F.lit(1)).alias("rows"), F.concat_ws("/", F.count(F.lit(1)), *total).alias("digest"))
+
+
+def _classes(digests: DataFrame, runs: DataFrame) -> DataFrame:
+    """(run_id, class, rows): runs of equal rows have one class, the least of their ids."""
+    signature = F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "digest"))),
+                                                lambda b: F.concat_ws(":", b["bucket"], b["digest"])), ","), 256)
+    whole = runs.join(digests.groupBy("run_id").agg(signature.alias("signature"), F.sum("rows").alias("rows")),
+                      "run_id", "left").select("run_id", F.coalesce("signature", F.lit("")).alias("signature"),
+                                               F.coalesce("rows", F.lit(0)).cast("long").alias("rows"))
+    least = whole.groupBy("signature").agg(F.min("run_id").alias("class"))
+    return whole.join(least, "signature").select("run_id", "class", "rows")
+
+
+def _class_differences(store: ResultStore, digests: DataFrame, classes: Sequence[str], query: str) -> DataFrame:
+    """(class_a, class_b, mismatched_rows) of every two classes, a before b by id.
+
+    Keys are read in buckets only where the two digests differ.
+    """
+    keys, values = RESULT_KEYS[query], COMPARE_VALUES[query]
+    mine = digests.filter(F.col("run_id").isin(list(classes)))
+    ranked = store.spark.createDataFrame(list(enumerate(sorted(classes))), "rank long, run_id string")
+    # a class is paired with each later one; the pairs are as many as the verdicts asked for
+    pairs = ranked.select(F.col("run_id").alias("class_a"), F.explode(F.sequence(
+        F.col("rank") + 1, F.greatest(F.col("rank") + 1, F.lit(len(classes) - 1)))).alias("rank")).join(
+        ranked.withColumnRenamed("run_id", "class_b"), "rank").drop("rank")
+
+    def side(name: str, other: str) -> DataFrame:
+        own = mine.select(F.col("run_id").alias(f"class_{name}"), "bucket", F.col("digest").alias(f"digest_{name}"),
+                          "rows", F.lit(None).cast("string").alias(f"digest_{other}"))
+        return pairs.join(own, f"class_{name}")
+
+    # the buckets that either side holds; one that is missing on a side differs
+    differing = side("a", "b").unionByName(side("b", "a")).groupBy("class_a", "class_b", "bucket").agg(
+        F.sum("rows").alias("either"), F.max("digest_a").alias("digest_a"), F.max("digest_b").alias("digest_b")).filter(
+        ~F.col("digest_a").eqNullSafe(F.col("digest_b")))
+    sums = differing.groupBy("class_a", "class_b").agg(F.sum("either").alias("either"))
+    rows = _bucketed(store, classes, query)
+    left = rows.select(F.col("run_id").alias("class_a"), "bucket", *[F.col(k).alias(f"a_{k}") for k in keys],
+                       *[F.col(v).alias(f"a_{v}") for v in values])
+    right = rows.select(F.col("run_id").alias("class_b"), F.col("bucket").alias("b_bucket"),
+                        *[F.col(k).alias(f"b_{k}") for k in keys], *[F.col(v).alias(f"b_{v}") for v in values])
+    met = (differing.select("class_a", "class_b", "bucket").join(left, ["class_a", "bucket"]).join(
+        right.withColumnRenamed("class_b", "of_b"), (F.col("class_b") == F.col("of_b")) & reduce(
+            lambda x, y: x & y, [F.col(f"a_{k}").eqNullSafe(F.col(f"b_{k}")) for k in keys])))
+    same = reduce(lambda x, y: x & y, [F.col(f"a_{v}").eqNullSafe(F.col(f"b_{v}")) for v in values])
+    shared = met.groupBy("class_a", "class_b").agg(F.count(F.lit(1)).alias("both"), F.count_if(same).alias("equal"))
+    # a key of both sides counts once, and not at all where its values are equal
+    return sums.join(shared, ["class_a", "class_b"], "left").select(
+        "class_a", "class_b", (F.col("either") - F.coalesce("both", F.lit(0)) - F.coalesce("equal", F.lit(0)))
+        .cast("long").alias("mismatched_rows"))
+
+
 def compare_all_pairs(store: ResultStore, run_ids: Sequence[str],
                       queries: Sequence[str] = ALL_QUERIES) -> DataFrame:
-    """Verdict for every pair (i < j) of the finished runs, per query."""
+    """Verdict for every pair (i < j) of the finished runs, per query.
+
+    Each run is digested once; runs of equal digests are one class, and only classes are
+    compared, key by key in the buckets that differ.  No expression and no read is made per pair.
+    """
     runs = finished_runs(store, run_ids)
-    pairs = [(a, b) for i, a in enumerate(runs) for b in runs[i + 1:]]
     schema = ("run_a string, run_b string, query string, rows_a long, rows_b long, "
               "mismatched_rows long, matched boolean, verdict string")
-    if not pairs:
+    if len(runs) < 2:
         return store.spark.createDataFrame([], schema)
+    numbered = store.spark.createDataFrame(list(enumerate(runs)), "place long, run_id string")
     per_query = []
     for q in queries:
-        keys = RESULT_KEYS[q]
-        values = COMPARE_VALUES[q]
-        long = comparable(store.results(q).filter(F.col("run_id").isin(runs)), q, by_run=True)
-        # numeric first() per value keeps the pivot on hash aggregates
-        wide = (long.groupBy(*keys).pivot("run_id", runs)
-                .agg(*[F.first(v).alias(v) for v in values]))
-        stats = []
-        for a, b in pairs:
-            def col(run, v):
-                return F.col(f"`{run}_{v}`")
-            same = reduce(lambda x, y: x & y,
-                          [col(a, v).eqNullSafe(col(b, v)) for v in values])
-            stats.append(F.struct(
-                F.lit(a).alias("run_a"), F.lit(b).alias("run_b"), F.lit(q).alias("query"),
-                F.count(col(a, values[0])).alias("rows_a"),
-                F.count(col(b, values[0])).alias("rows_b"),
-                F.count_if(~same).alias("mismatched_rows")))
-        agg = wide.agg(F.array(*stats).alias("pairs"))
-        per_query.append(agg.select(F.inline("pairs")))
+        path = scratch_dir(store.spark, f"digests-{q}")
+        run_digests(store, runs, q).write.parquet(path)
+        digests = store.spark.read.parquet(path)
+        classed = numbered.join(_classes(digests, numbered.select("run_id")), "run_id")
+        classes = sorted(r[0] for r in classed.select("class").distinct().collect())       # at most one per run
+        later = F.sequence(F.col("place") + 1, F.greatest(F.col("place") + 1, F.lit(len(runs) - 1)))
+        pairs = classed.select(F.col("run_id").alias("run_a"), F.col("class").alias("of_a"),
+                               F.col("rows").alias("rows_a"), F.explode(later).alias("place")).join(
+            classed.select(F.col("run_id").alias("run_b"), F.col("class").alias("of_b"),
+                           F.col("rows").alias("rows_b"), "place"), "place")
+        if len(classes) > 1:
+            differences = _class_differences(store, digests, classes, q)
+            pairs = pairs.withColumns({"class_a": F.least("of_a", "of_b"), "class_b": F.greatest("of_a", "of_b")}).join(
+                differences, ["class_a", "class_b"], "left")
+        else:
+            pairs = pairs.withColumn("mismatched_rows", F.lit(0))
+        per_query.append(pairs.select("run_a", "run_b", F.lit(q).alias("query"), "rows_a", "rows_b", F.coalesce(
+            "mismatched_rows", F.lit(0)).cast("long").alias("mismatched_rows")))
     return _with_verdict(reduce(DataFrame.unionByName, per_query), store)
 
 

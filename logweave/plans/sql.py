@@ -21,12 +21,16 @@ FROM {{view}}
 GROUP BY ALL
 """,
     "q2": f"""
-WITH by_path AS (
-  SELECT resource_path, COUNT(*) AS request_count, {_TOTAL},
-         COUNT(DISTINCT host) AS distinct_host_count
+WITH top AS (
+  SELECT resource_path AS top_path, COUNT(*) AS request_count, {_TOTAL}
   FROM {{view}} GROUP BY resource_path
+  ORDER BY request_count DESC, top_path LIMIT {TOP_RESOURCES_LIMIT}
 )
-SELECT * FROM by_path ORDER BY request_count DESC, resource_path LIMIT {TOP_RESOURCES_LIMIT}
+SELECT /*+ BROADCAST(top) */ resource_path, request_count, total_bytes,
+       COUNT(DISTINCT host) AS distinct_host_count
+FROM {{view}} JOIN top ON resource_path <=> top_path
+GROUP BY resource_path, request_count, total_bytes
+ORDER BY request_count DESC, resource_path LIMIT {TOP_RESOURCES_LIMIT}
 """,
     "q3": f"""
 SELECT log_date, log_hour, error_request_count, total_request_count,

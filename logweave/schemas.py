@@ -43,6 +43,9 @@ RESULT_KEYS = {"q1": ["log_date", "status_code"],
                "q2": ["resource_path"],
                "q3": ["log_date", "log_hour"]}
 
+# the last column of output that is written with its ranks
+RANK_COLUMN = "output_rank"
+
 # Columns every stored result row carries.
 RUN_TAG_SCHEMA = StructType([
     StructField("pipeline_name", StringType()),
