@@ -28,11 +28,14 @@ from logweave.__main__ import _batch_size
 from logweave.functions.batchkeys import calendar_key
 from logweave.functions.parse import parse_lines, valid_rows
 from logweave.operators.batching import batch_stats, run_stats
+from logweave.operators.distinct_state import (HostDictionary, distinct_state, merge_states,
+                                               state_counts, state_members)
 from logweave.operators.compare import (compare_all_pairs, compare_runs,
                                         compare_summary, diff_examples)
-from logweave.operators.queries import (q1_daily_traffic, q1_two_stage,
+from logweave.operators.queries import (is_error, q1_daily_traffic, q1_two_stage,
                                         q2_top_resources, q2_two_stage,
                                         q3_hourly_errors, q3_two_stage)
+from logweave.plans.incremental import IncrementalResults
 from logweave.plans.job import parse_for_staging, run_all, run_job
 from logweave.plans.report import (report_batches, report_q1, report_q2,
                                    report_q3, run_report, write_report)
@@ -41,10 +44,12 @@ from logweave.schemas import LOG_COLUMNS
 from logweave.session import app_id, scratch_dir
 from logweave.sinks.store import (ResultStore, jdbc_frame, stage_parquet, stage_tsv,
                                   write_tsv_output)
-from logweave.sources.fixtures import event_log_lines, fixture_log_dir, write_log_files
-from logweave.sources.staged import (read_query_output, read_staged_tsv, typed_tsv,
-                                     register_external_table)
+from logweave.sources.fixtures import (event_log_lines, fixture_log_dir, set_arrival_order,
+                                      write_log_files)
+from logweave.sources.staged import (read_query_output, read_ranked_output, read_staged_tsv,
+                                     register_external_table, typed_tsv)
 from logweave.sources.text import read_log_lines
+from logweave.streaming.ingest import stream_ingest
 
 FIXED_BATCH = 500          # fixed batch size of the registered batch queries
 RUN_PREFIX = "r1"          # run ids of the registered store queries
@@ -353,12 +358,15 @@ def q_query_output_roundtrip_q2(spark, sf_dir):
 
 
 def _huge(logs):
-    return logs.withColumn("bytes_transferred", F.lit(4611686018427387904) - F.col("bytes_transferred"))
+    """Bytes so large that the groups above half the largest one's rows pass a long."""
+    largest = logs.groupBy("log_date", "status_code").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    size = (2 ** 63 - 1) // max(largest // 2, 1)
+    return logs.withColumn("bytes_transferred", F.lit(size) - F.col("bytes_transferred"))
 
 
 def q_q1_huge_bytes(spark, sf_dir):
     """Byte totals around and beyond a long, in all three formulations."""
-    logs = _huge(_logs(spark, sf_dir).filter("log_hour < 2"))
+    logs = _huge(_logs(spark, sf_dir))
     logs.createOrReplaceTempView("huge_logs")
     return reduce(DataFrame.unionByName, [
         frame.withColumn("total_bytes", F.col("total_bytes").cast("string"))
@@ -422,19 +430,122 @@ def q_q2_ties(spark, sf_dir):
 
 
 def q_stream_q1_daily_traffic(spark, sf_dir):
-    from logweave.streaming.ingest import stream_ingest
     result = stream_ingest(spark, fixture_log_dir(spark, sf_dir),
                            scratch_dir(spark, "stream"))
     return q1_daily_traffic(result.valid())
 
 
-def _optional(name: str):
-    """A module of the training-data part, or None where that part is not installed."""
+def _stream_batches(strategy):
+    """The batches of the whole log, ingested file by file."""
+    def run(spark, sf_dir):
+        logs = set_arrival_order(spark, _event_files(spark, sf_dir, "arriving"))
+        return stream_ingest(spark, logs, scratch_dir(spark, "stream"), batch_size=FIXED_BATCH).batches(strategy)
+    return run
+
+
+def _daily_states(spark, sf_dir, keys, where=None):
+    """Host sets by finer keys, stored, with the dictionary that numbers the hosts."""
+    path = scratch_dir(spark, "state-logs")
+    _logs(spark, sf_dir).select("host", "log_date", "log_hour", "status_code").write.parquet(path)
+    logs = spark.read.parquet(path)
+    hosts = HostDictionary(spark).extend(logs)
+    states = scratch_dir(spark, "states")
+    distinct_state(logs, keys, hosts, where).write.parquet(states)
+    return spark.read.parquet(states), hosts
+
+
+def q_distinct_hosts_monthly_merged(spark, sf_dir):
+    """Daily host sets merged into months."""
+    states, _ = _daily_states(spark, sf_dir, ["log_date"])
+    monthly = merge_states(states.withColumn("log_month", F.date_format("log_date", "yyyy-MM")), ["log_month"])
+    return state_counts(monthly, ["log_month"])
+
+
+def q_distinct_error_hosts_daily_merged(spark, sf_dir):
+    """Hourly sets of hosts with errors merged into days."""
+    states, _ = _daily_states(spark, sf_dir, ["log_date", "log_hour"], is_error())
+    return state_counts(merge_states(states, ["log_date"]), ["log_date"], "distinct_error_hosts")
+
+
+def q_host_sets_daily(spark, sf_dir):
+    """The hosts of each day, one row per member."""
+    states, hosts = _daily_states(spark, sf_dir, ["log_date"])
+    return state_members(states, ["log_date"], hosts)
+
+
+def _incremental(query, sources):
+    """Sources applied one after another: (name, rule of its events)."""
+    def run(spark, sf_dir):
+        kept = IncrementalResults(spark, scratch_dir(spark, "incremental-store"))
+        for k, (name, keep) in enumerate(sources):
+            kept.apply(name, _event_files(spark, sf_dir, f"source-{k}", keep=keep))
+        return kept.results(query)
+    return run
+
+
+_HALVES = (("even", "event_id % 2 = 0"), ("odd", "event_id % 2 = 1"))
+#: the first source comes twice: at first it has other lines and other days
+_REPLACED = (("even", "event_id % 3 = 1 OR event_type = 'error'"), *_HALVES[::-1])
+
+
+def q_failed_run_keeps_earlier(spark, sf_dir):
+    """A second run of an id that stops between its tables: readers see the first."""
+    store = ResultStore(spark, scratch_dir(spark, "atomic-store"))
+    run_job(spark, [fixture_log_dir(spark, sf_dir)], "monthly", queries="1", store=store, run_id="kept")
+
+    class Stops(ResultStore):
+        def write_run_metadata(self, row):
+            raise RuntimeError("the run stops here")
+    try:
+        run_job(spark, [fixture_log_dir(spark, sf_dir, "orders")], "monthly", queries="1",
+                store=Stops(spark, store.root, store.database), run_id="kept")
+    except RuntimeError:
+        pass
+    return store.results("q1", "kept").select("log_date", "status_code", "request_count", "total_bytes")
+
+
+def q_compare_all_pairs_uneven(spark, sf_dir):
+    return compare_all_pairs(_uneven_runs(spark, sf_dir), ["a", "b"], ["q1"])
+
+
+def q_external_table_second_session(spark, sf_dir):
+    """The table of one session, read in another one of the same catalog."""
+    path = stage_tsv(_logs(spark, sf_dir), scratch_dir(spark, "stage-shared"))
+    register_external_table(spark, path, "access_logs_shared")
+    return spark.newSession().table("access_logs_shared")
+
+
+def q_query_output_ranked_q2(spark, sf_dir):
+    """Q2 with its ranks, written as several part files and read back."""
+    top = q2_top_resources(_logs(spark, sf_dir))
+    path = write_tsv_output(top, scratch_dir(spark, "q2-ranked"),
+                            [F.col("request_count").desc(), F.col("resource_path").asc()])
+    return read_ranked_output(spark, path, "q2")
+
+
+def q_read_path_twice(spark, sf_dir):
+    """A folder, one of its files and the folder again, as one scan."""
+    folder = fixture_log_dir(spark, sf_dir)
+    file = sorted(spark.read.text(folder).inputFiles())[0]
+    return parse_lines(read_log_lines(spark, [folder, file, folder])).filter("src_ordinal <> 1").groupBy(
+        "src_ordinal").agg(F.count(F.lit(1)).alias("total_lines"),
+                           F.count_if(F.col("is_malformed")).alias("malformed_lines"))
+
+
+def _training_part():
+    """(queries, pipeline) modules of the training-data part; None for what is not installed.
+
+    The pipeline is looked up beside this file, and only where the operators it is made of are.
+    """
     try:
-        found = importlib.util.find_spec(name)
-    except ModuleNotFoundError:            # its parent package is not there
+        found = importlib.util.find_spec("logweave.llm.queries")
+    except ModuleNotFoundError:            # logweave.llm is not there
         found = None
-    return importlib.import_module(name) if found else None
+    if not found:
+        return None, None
+    own = os.path.exists(os.path.join(_HERE, "corpus_pipeline.py"))
+    return (importlib.import_module("logweave.llm.queries"),
+            importlib.import_module("corpus_pipeline") if own else None)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -455,12 +566,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     jdbc_paths_cut: P10 | report_q2_long_paths: P15 | batch_strategy_names: B6, B7 |
     stage_parquet_replaced: K2 | rerun_replaces_all: K4, K5 | compare_*_failed, _diffs: R5,
     R6, R8 | q1_huge_bytes: A2 | q2_ties: O2 | query_output_roundtrip_*: K3 | stream_q1_daily_traffic:
-    the batch-by-batch load as Structured Streaming.
+    the batch-by-batch load as Structured Streaming | stream_batches_*: B1, B5, B8 over
+    micro-batches | distinct_*_merged, host_sets_daily: A3, A5, A6 | incremental_*: A7 |
+    failed_run_keeps_earlier: K4-K6 | compare_all_pairs_uneven: R5, R6 |
+    external_table_second_session: S6 | query_output_ranked_q2: S8 | read_path_twice: S1.
     """
-    llm, pipeline = _optional("logweave.llm.queries"), _optional("corpus_pipeline")
+    llm, pipeline = _training_part()
     return {
         **(llm.llm_queries() if llm else {}),
-        **({"pipeline": pipeline.run} if llm and pipeline else {}),
+        **({"pipeline": pipeline.run} if pipeline else {}),
         "parse_valid_rows": q_parse_valid_rows,
         "parse_malformed_rows": q_parse_malformed_rows,
         "parse_status_counts": q_parse_status_counts,
@@ -521,6 +635,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_strategy_names": q_batch_strategy_names,
         "q2_ties": q_q2_ties,
         "stream_q1_daily_traffic": q_stream_q1_daily_traffic,
+        "stream_batches_fixed": _stream_batches("fixed"),
+        "stream_batches_monthly": _stream_batches("monthly"),
+        "stream_batches_weekly": _stream_batches("weekly"),
+        "q2_top_resources_orders": lambda s, d: q2_top_resources(_logs(s, d, "orders")),
+        "distinct_hosts_monthly_merged": q_distinct_hosts_monthly_merged,
+        "distinct_error_hosts_daily_merged": q_distinct_error_hosts_daily_merged,
+        "host_sets_daily": q_host_sets_daily,
+        "incremental_append_q1": _incremental("q1", _HALVES),
+        "incremental_append_q3": _incremental("q3", _HALVES),
+        "incremental_replace_q3": _incremental("q3", _REPLACED),
+        "failed_run_keeps_earlier": q_failed_run_keeps_earlier,
+        "compare_all_pairs_uneven": q_compare_all_pairs_uneven,
+        "external_table_second_session": q_external_table_second_session,
+        "query_output_ranked_q2": q_query_output_ranked_q2,
+        "read_path_twice": q_read_path_twice,
     }
 
 
@@ -715,11 +844,13 @@ def _one_failed_sql() -> str:
 
 
 def _huge_sql() -> str:
-    total = "sum(CAST(4611686018427387904 AS HUGEINT) - bytes_transferred)"
+    size = """(SELECT CAST(9223372036854775807 AS HUGEINT) // greatest(max(n) // 2, 1)
+       FROM (SELECT count(*) AS n FROM logs GROUP BY log_date, status_code) g)"""
+    total = f"count(*) * any_value({size}) - sum(CAST(bytes_transferred AS HUGEINT))"
     return "\nUNION ALL\n".join(f"""SELECT log_date, status_code, count(*) AS request_count,
        CASE WHEN {total} <= 9223372036854775807 THEN CAST({total} AS VARCHAR) END AS total_bytes,
        '{variant}' AS variant
-FROM logs WHERE log_hour < 2 GROUP BY log_date, status_code"""
+FROM logs GROUP BY log_date, status_code"""
                                 for variant in ("dataframe", "sql", "two_stage"))
 
 
@@ -735,10 +866,10 @@ def oracle_sql() -> dict[str, str]:
        CAST(ceil(count(*) / {FIXED_BATCH}.0) AS BIGINT) AS num_batches,
        CAST(count(*) / ceil(count(*) / {FIXED_BATCH}.0) AS DECIMAL(20,2)) AS avg_batch_size
 FROM lg""")
-    llm, pipeline = _optional("logweave.llm.queries"), _optional("corpus_pipeline")
+    llm, pipeline = _training_part()
     return {
         **(llm.llm_oracles() if llm else {}),
-        **({"pipeline": pipeline.ORACLE_SQL} if llm and pipeline and pipeline.ORACLE_SQL else {}),
+        **({"pipeline": pipeline.ORACLE_SQL} if pipeline and pipeline.ORACLE_SQL else {}),
         "parse_valid_rows": e + "SELECT * FROM logs",
         "parse_malformed_rows": e + f"SELECT {_MALFORMED_LINE} AS line FROM lg WHERE is_malformed",
         "parse_status_counts": e + """SELECT count(*) AS total_lines,
@@ -850,4 +981,27 @@ ORDER BY log_date, status_code LIMIT 5""",
        max(bytes_transferred) AS total_bytes, CAST(1 AS BIGINT) AS distinct_host_count
 FROM logs GROUP BY resource_path ORDER BY resource_path LIMIT 20""",
         "stream_q1_daily_traffic": e + _Q1,
+        "stream_batches_fixed": e + _FIXED,
+        "stream_batches_monthly": e + _batches(_MONTH_KEY),
+        "stream_batches_weekly": e + _batches(_WEEK_KEY),
+        "q2_top_resources_orders": o + _Q2,
+        "distinct_hosts_monthly_merged": e + """SELECT strftime(log_date, '%Y-%m') AS log_month,
+       count(DISTINCT host) AS distinct_hosts FROM logs GROUP BY 1""",
+        "distinct_error_hosts_daily_merged": e + f"""SELECT log_date, count(DISTINCT host) AS distinct_error_hosts
+FROM logs WHERE {_ERR} GROUP BY log_date""",
+        "host_sets_daily": e + "SELECT DISTINCT log_date, host FROM logs",
+        "incremental_append_q1": e + _Q1,
+        "incremental_append_q3": e + _Q3,
+        "incremental_replace_q3": e + _Q3,
+        "failed_run_keeps_earlier": e + _Q1,
+        "compare_all_pairs_uneven": e + f"""SELECT 'a' AS run_a, 'b' AS run_b, 'q1' AS query,
+       CAST(count_if(outcome <> 'only_b') AS BIGINT) AS rows_a, CAST(count_if(outcome <> 'only_a') AS BIGINT) AS rows_b,
+       CAST(count_if(outcome <> 'match') AS BIGINT) AS mismatched_rows, count_if(outcome <> 'match') = 0 AS matched,
+       CASE WHEN count_if(outcome <> 'match') = 0 THEN 'match' ELSE 'mismatch' END AS verdict FROM ({_UNEVEN}) u""",
+        "external_table_second_session": e + "SELECT * FROM logs",
+        "query_output_ranked_q2": e + f"""SELECT *, row_number() OVER (
+         ORDER BY request_count DESC, resource_path) AS rank FROM ({_Q2}) q""",
+        "read_path_twice": e + """SELECT CAST(o AS INTEGER) AS src_ordinal, count(*) AS total_lines,
+       CAST(count_if(is_malformed) AS BIGINT) AS malformed_lines
+FROM lg, (VALUES (0), (2)) v(o) GROUP BY o""",
     }

@@ -133,3 +133,15 @@ def fixture_log_dir(spark: SparkSession, sf_dir: str, table: str = "events",
         write_log_files(lines, order, out, num_files=num_files, compression=compression)
         _FIXTURE_DIRS[key] = out
     return _FIXTURE_DIRS[key]
+
+
+def set_arrival_order(spark: SparkSession, log_dir: str) -> str:
+    """Give the files of a folder modification times a second apart, in name order."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(log_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((s.getPath() for s in fs.listStatus(path) if not s.getPath().getName().startswith(("_", "."))),
+                   key=lambda p: p.getName())
+    first = fs.getFileStatus(path).getModificationTime() - 1000 * len(files)
+    for k, file in enumerate(files):
+        fs.setTimes(file, first + 1000 * k, -1)
+    return log_dir

@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from logweave.schemas import LOG_SCHEMA, RESULT_SCHEMAS
+from logweave.schemas import LOG_SCHEMA, RANK_COLUMN, RESULT_SCHEMAS
 
 TSV_SEP = "\t"
 
@@ -56,20 +56,62 @@ def read_staged_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _typed_select(path_table: str) -> str:
+    """The columns of a staged TSV row, typed, in SQL."""
+    fields = "split(regexp_replace(value, '\\\\t+\\\\z', ''), '\\t')"
+    columns = []
+    for i, field in enumerate(LOG_SCHEMA.fields):
+        raw = f"get(f, {i})"
+        kind = field.dataType.simpleString()
+        columns.append(f"coalesce({raw}, '') AS {field.name}" if kind == "string"
+                       else f"try_cast({raw} AS {kind}) AS {field.name}")
+    return (f"SELECT {', '.join(columns)} FROM (SELECT {fields} AS f FROM {path_table} "
+            f"WHERE trim(value) <> '') WHERE size(f) >= {len(LOG_SCHEMA.fields)}")
+
+
 def register_external_table(spark: SparkSession, path: str, name: str = "access_logs",
                             fmt: str = "tsv") -> DataFrame:
-    """Drop and re-create a table over a staged directory.
+    """Drop and re-create a catalog table over a staged directory.
 
-    The table is a session view over the typed reader, so the ``>= 9 fields``
-    guard and the TSV conventions of the staging writer hold for SQL users too.
+    The table outlives the session: every session of the same catalog sees it.  Parquet is one
+    external table with the declared schema.  TSV is an external table of lines
+    (``<name>_lines``) and a stored view ``name`` that types them, so the ``>= 9 fields`` guard
+    and the TSV conventions of the staging writer hold for SQL users too.  The files are not the
+    table's: dropping it leaves them.
     """
-    spark.sql(f"DROP VIEW IF EXISTS {name}")
-    frame = read_staged_tsv(spark, path) if fmt == "tsv" else spark.read.parquet(path)
-    frame.createOrReplaceTempView(name)
+    drop_external_table(spark, name)
+    where = path.replace("\\", "\\\\").replace("'", "\\'")
+    if fmt == "tsv":
+        spark.sql(f"CREATE TABLE {name}_lines (value STRING) USING text LOCATION '{where}'")
+        spark.sql(f"CREATE VIEW {name} AS {_typed_select(name + '_lines')}")
+    else:
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{where}'")
     return spark.table(name)
 
 
+def drop_external_table(spark: SparkSession, name: str) -> None:
+    """Take the table out of the catalog; the staged files stay."""
+    kinds = {f"{name}": None, f"{name}_lines": None}
+    for table in kinds:
+        if spark.catalog.tableExists(table):
+            view = spark.catalog.getTable(table).tableType == "VIEW"
+            spark.sql(f"DROP {'VIEW' if view else 'TABLE'} {table}")
+
+
 def read_query_output(spark: SparkSession, path: str, query: str) -> DataFrame:
-    """A query's tab-separated output directory read back, typed."""
-    schema = RESULT_SCHEMAS[query]
-    return typed_tsv(spark, path, schema, min_fields=len(schema.fields))
+    """A query's tab-separated output directory read back, typed.
+
+    Output written with ranks (``write_tsv_output(..., ranked=True)``) comes back in rank
+    order, whatever the order of its part files.
+    """
+    fields = RESULT_SCHEMAS[query].fields
+    schema = StructType([*fields, StructField(RANK_COLUMN, LongType())])
+    rows = typed_tsv(spark, path, schema, min_fields=len(fields))
+    return rows.orderBy(F.col(RANK_COLUMN).asc_nulls_last()).drop(RANK_COLUMN)
+
+
+def read_ranked_output(spark: SparkSession, path: str, query: str) -> DataFrame:
+    """S8 with the rank of each row (``rank``, from 1) as a column."""
+    schema = StructType([*RESULT_SCHEMAS[query].fields, StructField(RANK_COLUMN, LongType())])
+    return typed_tsv(spark, path, schema).withColumnRenamed(RANK_COLUMN, "rank").orderBy("rank")

@@ -18,11 +18,11 @@ small aggregate instead of a one-partition window.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ORDER_COLUMNS = ["src_ordinal", "src_file", "src_block", "src_seq"]
@@ -35,10 +35,10 @@ def decode_latin1(value_col: str = "value"):
     return F.decode(F.col(value_col).cast("binary"), LINE_ENCODING)
 
 
-def _lines_of(raw: DataFrame, file_col) -> list:
-    return [decode_latin1().alias("line"), file_col.alias("src_file"),
-            F.col("_metadata.file_block_start").alias("src_block"),
-            F.monotonically_increasing_id().alias("src_seq")]
+#: files of a listing up to which it is broadcast (a path and a number each)
+LISTING_BROADCAST = 100_000
+LIST_THREADS = 16
+LINE_SCHEMA = "line string, src_ordinal int, src_file string, src_block long, src_seq long"
 
 
 def read_log_lines(spark: SparkSession, paths: str | Sequence[str],
@@ -48,59 +48,83 @@ def read_log_lines(spark: SparkSession, paths: str | Sequence[str],
     ``missing='skip'`` leaves out paths that do not exist (the batch iterators'
     behaviour); ``missing='fail'`` raises ``FileNotFoundError`` (the CLI's).
 
-    Every path is one scan and the scans are united in list order, whatever the
-    length of the list: a folder may have its own partition sub-folders, and a file
-    named twice is read twice.
+    All paths are one scan, whatever the length of the list: their files are listed
+    as (file, ordinal), and the lines of the scan get their ordinals by a join with that
+    listing.  A folder may have its own partition sub-folders; a file that is named
+    twice is read once and its lines come twice.
     """
     if isinstance(paths, str):
         paths = [paths]
     if missing not in ("skip", "fail"):
         raise ValueError("missing must be 'skip' or 'fail'")
-    resolved = _resolve(spark, list(paths))
-    found = []
-    for ordinal, (path, raw) in enumerate(zip(paths, resolved)):
-        if isinstance(raw, AnalysisException):
+    listing = []
+    for ordinal, (path, files) in enumerate(zip(paths, _list_files(spark, list(paths)))):
+        if files is None:
             if missing == "fail":
-                raise FileNotFoundError(path) from raw
+                raise FileNotFoundError(path)
             continue
-        found.append((ordinal, path, raw))
-    if not found:
-        return spark.createDataFrame(
-            [], "line string, src_ordinal int, src_file string, src_block long, src_seq long")
-    frames = [raw.select(F.lit(ordinal).cast("int").alias("src_ordinal"),
-                         *_lines_of(raw, F.input_file_name()))
-              for ordinal, _, raw in found]
-    return _united(frames).select(
-        "line", "src_ordinal", "src_file", "src_block", "src_seq")
-
-
-RESOLVE_THREADS = 16
-
-
-def _resolve(spark: SparkSession, paths: list[str]) -> list:
-    """``spark.read.text(path)`` per path (each lists its files on the driver).
-
-    A long list is resolved by a few driver threads: on an object store each
-    listing is a round trip, and one after another they add up to minutes.
-    Returns the frame, or the AnalysisException of a path that does not exist.
+        listing += [(name, url, ordinal) for name, url in files]
+    if not listing:
+        return spark.createDataFrame([], LINE_SCHEMA)
+    distinct = list(dict.fromkeys(name for name, _, _ in listing))
+    scan = spark.read.text([_literal(name) for name in distinct]).select(
+        decode_latin1().alias("line"), F.input_file_name().alias("src_file"),
+        F.col("_metadata.file_block_start").alias("src_block"),
+        F.monotonically_increasing_id().alias("src_seq"),
+        _file_key(F.col("_metadata.file_path")).alias("_file"))
+    ordinals = {ordinal for _, _, ordinal in listing}
+    if len(ordinals) == 1 and len(distinct) == len(listing):
+        numbered = scan.withColumn("src_ordinal", F.lit(ordinals.pop()).cast("int"))
+    else:
+        known = spark.createDataFrame([(url, ordinal) for _, url, ordinal in listing], "url string, src_ordinal int"
+                                      ).select(_file_key(F.col("url")).alias("_file"), "src_ordinal")
+        numbered = scan.join(F.broadcast(known) if len(listing) <= LISTING_BROADCAST else known, "_file")
+    return numbered.select("line", "src_ordinal", "src_file", "src_block", "src_seq")
+
+
+def _file_key(url: Column) -> Column:
+    """A file's URL in one spelling (``file:/a`` and ``file:///a`` are one file)."""
+    return F.regexp_replace(url, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+
+def _literal(file: str) -> str:
+    """A file name that the reader does not take for a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", file)
+
+
+def _list_files(spark: SparkSession, paths: list[str]) -> list[list[tuple[str, str]] | None]:
+    """(name, URL) of the log files of each path (a file, folder or pattern) in name order; None: no such path.
+
+    Hidden files and folders (``_x``, ``.x``) are no logs.  A long list is resolved by a few
+    driver threads: on an object store each listing is a round trip.
     """
-    def one(path: str):
-        try:
-            return spark.read.text(path)
-        except AnalysisException as exc:
-            return exc
-
-    with ThreadPoolExecutor(max_workers=RESOLVE_THREADS) as pool:
+    jvm = spark.sparkContext._jvm
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def below(fs, status) -> list[tuple[str, str]]:
+        if not status.isDirectory():
+            return [(status.getPath().toString(), status.getPath().toUri().toString())]
+        files = []
+        for inner in sorted(fs.listStatus(status.getPath()), key=lambda s: s.getPath().getName()):
+            name = inner.getPath().getName()
+            if name.startswith(".") or name.startswith("_") and "=" not in name:
+                continue
+            files += below(fs, inner)
+        return files
+
+    def one(path: str) -> list[tuple[str, str]] | None:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        fs = place.getFileSystem(configuration)
+        # a name that is there is no pattern, whatever signs it has
+        found = [fs.getFileStatus(place)] if fs.exists(place) else fs.globStatus(place)
+        if not found:
+            return None
+        return [file for status in found for file in below(fs, status)]
+
+    with ThreadPoolExecutor(max_workers=LIST_THREADS) as pool:
         return list(pool.map(one, paths))
 
 
-def _united(frames: list[DataFrame]) -> DataFrame:
-    """The union in list order, built as a balanced tree (a long chain is a deep plan)."""
-    while len(frames) > 1:
-        frames = [a.unionAll(b) for a, b in zip(frames[::2], frames[1::2])] + frames[len(frames) // 2 * 2:]
-    return frames[0]
-
-
 # Hadoop codecs whose files cannot be split: one task reads the whole file.
 UNSPLITTABLE_SUFFIXES = (".gz", ".deflate", ".zst", ".lz4", ".snappy")
 
