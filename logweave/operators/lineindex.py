@@ -10,14 +10,14 @@ otherwise (splits depend on the parallelism of the moment), so ``persisted_posit
 writes the narrow position columns first, unless the caller's rows are stored already.
 A line whose segment has no offset raises instead of being dropped.
 
-Prefix sum: the segment frame is range-partitioned by position and stored with its
-part number; each part sums its own segments, and only the parts' totals - one row per
-part - go through an un-partitioned window.
-
-Join back: the offsets are broadcast if their estimated size in memory is at most
-``BROADCAST_MAX_BYTES``, with the file path replaced by its hash where that is unique.
-Otherwise lines and offsets are shuffled by (segment, stretch of ``STRETCH`` sequence
-numbers), so that a segment of any length - a gzip file is one - is many keys.
+Prefix sum, in two steps: splits are summed inside their file, distributed by file; only the
+files' totals - one row per file, as the driver's listing has - go through an un-partitioned
+window.  The offsets are stored once; nothing else is written.
+
+Join back: the offsets are broadcast if their stored size, times ``INFLATION``, is at most
+``BROADCAST_MAX_BYTES``; the size is the store's, so it costs no job.  Otherwise lines and
+offsets are shuffled by (segment, stretch of ``STRETCH`` sequence numbers), so that a segment
+of any length - a gzip file is one - is many keys.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from logweave.session import scratch_dir
 from logweave.sources.text import SEGMENT_COLUMNS
 
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-#: a row of a broadcast hash table: key, value and pointers, without strings
-ROW_BYTES = 160
+#: bytes in a broadcast hash table for a byte of the stored offsets (columns coded, paths by dictionary)
+INFLATION = 24
 STRETCH = 1 << 20
 
 
@@ -50,21 +50,34 @@ def persisted_positions(lines: DataFrame) -> DataFrame:
 def segment_offsets(lines: DataFrame, segment_cols: Sequence[str] = SEGMENT_COLUMNS,
                     seq_col: str = "src_seq") -> DataFrame:
     """One row per segment: line count, first sequence number, global offset (stored)."""
-    segment_cols = list(segment_cols)
+    *file_cols, split_col = segment_cols
     stats = lines.groupBy(*segment_cols).agg(F.count(F.lit(1)).alias("seg_lines"),
                                              F.min(seq_col).alias("seg_first"))
-    # the sort also fixes the parts: a part holds one stretch of the input order
-    parts = _stored(stats.repartitionByRange(*segment_cols)
-                    .withColumn("seg_part", F.spark_partition_id()), "segments")
-    in_part = (Window.partitionBy("seg_part").orderBy(*segment_cols)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    before = Window.orderBy("seg_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = parts.groupBy("seg_part").agg(F.sum("seg_lines").alias("part_lines")).select(
-        "seg_part", F.coalesce(F.sum("part_lines").over(before), F.lit(0)).alias("part_offset"))
-    within = F.coalesce(F.sum("seg_lines").over(in_part), F.lit(0))
-    return _stored(parts.withColumn("seg_within", within).join(totals, "seg_part").select(
+
+    def before(window):
+        return window.rowsBetween(Window.unboundedPreceding, -1)
+
+    if not file_cols:                            # the splits are the files
+        offset = F.coalesce(F.sum("seg_lines").over(before(Window.orderBy(split_col))), F.lit(0))
+        return _stored(stats.withColumn("seg_offset", offset.cast("long")), "offsets")
+    in_file = before(Window.partitionBy(*file_cols).orderBy(split_col))
+    files = stats.groupBy(*file_cols).agg(F.sum("seg_lines").alias("file_lines"))
+    file_offset = F.coalesce(F.sum("file_lines").over(before(Window.orderBy(*file_cols))), F.lit(0))
+    within = F.coalesce(F.sum("seg_lines").over(in_file), F.lit(0))
+    return _stored(stats.withColumn("seg_within", within).join(
+        files.select(*file_cols, file_offset.alias("file_offset")), file_cols).select(
         *segment_cols, "seg_lines", "seg_first",
-        (F.col("part_offset") + F.col("seg_within")).cast("long").alias("seg_offset")), "offsets")
+        (F.col("file_offset") + F.col("seg_within")).cast("long").alias("seg_offset")), "offsets")
+
+
+def _stored_bytes(frame: DataFrame) -> int:
+    """Size of the files that a stored frame reads."""
+    spark, total = frame.sparkSession, 0
+    for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(folder))
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        total += fs.getContentSummary(path).getLength()
+    return total
 
 
 def with_line_index(lines: DataFrame, segment_cols: Sequence[str] = SEGMENT_COLUMNS,
@@ -73,20 +86,9 @@ def with_line_index(lines: DataFrame, segment_cols: Sequence[str] = SEGMENT_COLU
     """``lines`` (persisted rows) plus a 0-based index in input order."""
     segment_cols = list(segment_cols)
     offsets = segment_offsets(lines, segment_cols, seq_col)
-    file_keys = {"src_file": "seg_file"} if "src_file" in segment_cols else {}
-    hashed = [file_keys.get(c, c) for c in segment_cols]
-    keyed = offsets.withColumns({k: F.xxhash64(c) for c, k in file_keys.items()})
-    text = F.lit(0) + sum((F.octet_length(c) for c in file_keys), F.lit(0))
-    size = keyed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(*hashed).alias("keys"),
-                     F.coalesce(F.sum(text), F.lit(0)).alias("text")).first()
-    unique = size["keys"] == size["n"]
-    cost = size["n"] * ROW_BYTES + (0 if unique else size["text"])
-    if cost <= broadcast_max_bytes:
-        keys = hashed if unique else segment_cols
-        side = F.broadcast(keyed.select(*keys, "seg_first", "seg_offset"))
-        named = lines.withColumns({k: F.xxhash64(c) for c, k in file_keys.items()}) if unique else lines
-        joined = named.join(side, keys, "left")
-        joined = joined.drop(*file_keys.values()) if unique else joined
+    if _stored_bytes(offsets) * INFLATION <= broadcast_max_bytes:
+        joined = lines.join(F.broadcast(offsets.select(*segment_cols, "seg_first", "seg_offset")),
+                            segment_cols, "left")
     else:
         stretch = F.expr(f"{seq_col} div {STRETCH}")
         side = offsets.select(*segment_cols, "seg_first", "seg_offset", F.explode(F.expr(
