@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from logweave.llm import exact_index
@@ -54,6 +55,26 @@ def test_directory_doubles_and_every_page_has_its_bucket(spark):
     assert all(x.b <= y.a for x, y in zip(parts, parts[1:]))        # owners hold key ranges
 
 
+def test_rows_go_through_the_directory(spark, monkeypatch):
+    """Without a slot for its key no row is grouped; entries and pages lie in the bucket it names."""
+    rows = [(i, f"text {i % 500}", None, None, None) for i in range(900)]
+    index = exact_index.build_index(docs(spark, rows), bucket_rows=16)
+    slots = {r.slot: r.bucket for r in index.directory.collect()}
+    depth = index.global_depth
+    for frame in (index.entries, index.pages):
+        for r in frame.select("key", "bucket").collect():
+            assert slots[(r.key & 0xFFFFFFFFFFFFFFFF) >> (64 - depth)] == r.bucket
+    real = exact_index.directory_of
+
+    def with_a_gap(keys, bucket_rows):
+        directory, depth = real(keys, bucket_rows)
+        gone = directory.agg(F.min("slot")).first()[0]
+        return directory.filter(F.col("slot") != gone), depth
+    monkeypatch.setattr(exact_index, "directory_of", with_a_gap)
+    with pytest.raises(Exception, match="no slot for a key"):
+        exact_index.exact_dedup(docs(spark, rows), bucket_rows=16).collect()
+
+
 def test_empty_table_and_one_hot_text(spark):
     assert exact_index.exact_dedup(empty(spark)).count() == 0
     rows = [(i, "hot" if i % 3 else f"t{i}", None, None, None) for i in range(300)]
