@@ -19,8 +19,11 @@ longest decides (then block before allow, then code point order); none: ``defaul
 
 Defined results: a null URL or one without ``://`` has empty host and path and the
 default verdict; repeated rows are judged each; an empty table gives an empty result;
-other columns come back as they are, one that is named like an output gives way.  The
-rules are a parameter of at most ``MOST_STATES`` packed bytes.
+other columns come back as they are, one that is named like an output gives way.
+
+Rules of any number: they are packed, in deciding order, into automata of about
+``AUTOMATON_STATES`` states, and a URL goes on to the next automaton only if none of the
+earlier rules fits.  URLs are read in parts whose state vectors take ``STATE_BYTES``.
 """
 
 from __future__ import annotations
@@ -34,7 +37,10 @@ from pyspark.sql import functions as F
 
 from logweave.llm.common import ROW, col, pack, ship_code, unpack
 
-MOST_STATES = 1 << 20
+#: states of an automaton; a longer glob is one by itself
+AUTOMATON_STATES = 1 << 14
+#: bytes of the state vectors of the URLs that are read at once
+STATE_BYTES = 8 << 20
 OUTPUTS = ("host", "path", "rule", "verdict")
 
 
@@ -49,8 +55,6 @@ class GlobSet:
             literal += [None, *steps]
             loops += loop
             accepts.append(len(literal) - 1)
-        if len(literal) > MOST_STATES:
-            raise ValueError(f"rules need {len(literal)} states; at most {MOST_STATES}")
         self.words = max(1, -(-len(literal) // 64))
         self.literal = np.zeros((256, self.words), dtype=np.uint64)
         self.loop = np.zeros((256, self.words), dtype=np.uint64)
@@ -84,6 +88,9 @@ class GlobSet:
 
     def match(self, texts: Sequence[bytes]) -> np.ndarray:
         """(texts, globs) booleans: whether the glob fits the whole text."""
+        part = max(1, STATE_BYTES // (8 * self.words + len(self.accepts[0])))
+        if len(texts) > part:
+            return np.concatenate([self.match(texts[k:k + part]) for k in range(0, len(texts), part)])
         lengths = np.array([len(t) for t in texts], dtype=np.int64)
         order = np.argsort(-lengths, kind="stable")
         out = np.zeros((len(texts), len(self.accepts[0])), dtype=bool)
@@ -116,16 +123,43 @@ def rule_globs(rules: Iterable[tuple[str, str, str]]) -> tuple[list[str], list[t
     return [f"*.{h}{p}**" for h, p, _ in ordered], [(h + p, v) for h, p, v in ordered]
 
 
+def packed_automata(globs: Sequence[str]) -> list[tuple[int, GlobSet]]:
+    """(number of its first glob, automaton) for stretches of the globs."""
+    out, start, states = [], 0, 0
+    for k, glob in enumerate(globs):
+        own = len(glob.encode()) + 1
+        if states and states + own > AUTOMATON_STATES:
+            out.append((start, GlobSet(globs[start:k])))
+            start, states = k, 0
+        states += own
+    if globs:
+        out.append((start, GlobSet(globs[start:])))
+    return out
+
+
+def first_fits(automata: Sequence[tuple[int, GlobSet]], texts: Sequence[bytes]) -> np.ndarray:
+    """For each text the number of the first glob that fits it, else -1."""
+    out = np.full(len(texts), -1, dtype=np.int64)
+    for start, automaton in automata:
+        left = np.flatnonzero(out < 0)
+        if not len(left):
+            break
+        fits = automaton.match([texts[i] for i in left])
+        some = fits.any(axis=1)
+        out[left[some]] = start + fits[some].argmax(axis=1)
+    return out
+
+
 def _judge(rules: Sequence[tuple[str, str, str]], default: str):
     globs, results = rule_globs(rules)
-    automaton = GlobSet(globs)
+    made: list = []                              # in the worker, so that only the rules travel
 
     @F.pandas_udf("rule string, verdict string")
     def run(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
-        fits = automaton.match([f".{h}{p}".encode() for h, p in zip(hosts, paths)])
-        some = fits.any(axis=1) if results else np.zeros(len(fits), dtype=bool)
-        picked = [results[int(fit.argmax())] if any_ else (None, default)
-                  for fit, any_ in zip(fits, some)]
+        if not made:
+            made.append(packed_automata(globs))
+        fits = first_fits(made[0], [f".{h}{p}".encode() for h, p in zip(hosts, paths)])
+        picked = [results[k] if k >= 0 else (None, default) for k in fits.tolist()]
         return pd.DataFrame(picked, columns=["rule", "verdict"])
     return run
 

@@ -62,3 +62,25 @@ def test_no_rules_and_empty_table(spark):
     r = url_rules.judge_urls(table, [], default="block").first()
     assert (r.rule, r.verdict) == (None, "block")
     assert url_rules.judge_urls(table.limit(0), URL_RULES).count() == 0
+
+
+def test_many_rules_are_several_automata(spark, monkeypatch):
+    """Small automata and small parts judge like one automaton over all rules."""
+    rng = random.Random(6)
+    rules = [(rng.choice(["org", "x.org", "a.b.com", "com"]), "/" + "".join(
+        rng.choice("ab/") for _ in range(rng.randrange(0, 6))), rng.choice(["allow", "block"])) for _ in range(120)]
+    urls = [f"http://{rng.choice(['', 'w.'])}{rng.choice(['org', 'x.org', 'a.b.com', 'com', 'net'])}/"
+            + "".join(rng.choice("ab/") for _ in range(rng.randrange(0, 9))) for _ in range(300)]
+    globs, results = url_rules.rule_globs(rules)
+    texts = ["." + u.split("://")[1] for u in urls]
+    whole = url_rules.first_fits(url_rules.packed_automata(globs), [t.encode() for t in texts])
+    for text, k in zip(texts, whole.tolist()):
+        host, _, path = text[1:].partition("/")
+        fits = [i for i, g in enumerate(globs) if (host == g[2:-2].partition("/")[0]
+                or host.endswith("." + g[2:-2].partition("/")[0])) and ("/" + path).startswith("/" + g[2:-2].partition("/")[2])]
+        assert k == (fits[0] if fits else -1), (text, k, fits[:1])
+    monkeypatch.setattr(url_rules, "AUTOMATON_STATES", 64)
+    monkeypatch.setattr(url_rules, "STATE_BYTES", 200)
+    automata = url_rules.packed_automata(globs)
+    assert len(automata) > 10 and (url_rules.first_fits(automata, [t.encode() for t in texts]) == whole).all()
+    assert url_rules.packed_automata([]) == []
