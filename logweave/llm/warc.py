@@ -68,10 +68,9 @@ def _record(kind: Column, record_id: Column, date: Column, target: Column, page_
         _line("Content-Length", F.octet_length(block).cast("string")), F.lit(END), block)
 
 
-def _write(records: DataFrame, path: str) -> str:
-    # the fastest level: half the time of the default for a tenth more bytes
+def _write(records: DataFrame, path: str, level: str = "DEFAULT_COMPRESSION") -> str:
     (records.write.option("lineSep", END + END).option("compression", "gzip")
-     .option("zlib.compress.level", "BEST_SPEED")
+     .option("zlib.compress.level", level)
      .option("maxRecordsPerFile", FILE_RECORDS).text(path))
     return path
 
@@ -91,8 +90,9 @@ def write_archives(pages: DataFrame, path: str | None = None, date: str = "2024-
     record = _record(F.lit("response"),
                      _fresh_id(col(id_col), col(url_col), F.monotonically_increasing_id()),
                      F.lit(date), target, col(id_col), F.sha2(payload, 256), none, none, payload)
+    # archives that are written anew: half the time of the default for a tenth more bytes
     return _write(pages.select(record.alias("value")),
-                  path or scratch_dir(pages.sparkSession, "warc-crawl"))
+                  path or scratch_dir(pages.sparkSession, "warc-crawl"), "BEST_SPEED")
 
 
 def _records(lines: Iterator[tuple[str, bytes]]) -> Iterator[tuple[dict[str, str], bytes]]:
