@@ -115,6 +115,13 @@ def _batches(texts: Iterator[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarr
         yield start, np.concatenate(hashes), np.array(ends), np.array(lines)
 
 
+def _words(text: bytes) -> tuple[np.ndarray, list]:
+    """Hashes of the words of one text, and the first words of its lines."""
+    for _, own, _, lines in _batches(iter([text])):
+        return own, lines.tolist()
+    return np.zeros(0, dtype=np.uint64), []
+
+
 def _spans(own: np.ndarray, width: int) -> np.ndarray:
     """Hashes of all ``width`` consecutive words, by doubling."""
     base, total, have = 0x9E3779B97F4A7C15, np.zeros(len(own), dtype=np.uint64), 0
