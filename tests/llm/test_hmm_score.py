@@ -77,6 +77,48 @@ def test_columns_by_brute_force(spark):
     assert {r.word for r in out} == {"mine"} and all(r.score < 0 for r in out)
 
 
+def plain_score(text, counts, lexicon, model):
+    """log10 P(text) by the forward recursion over states, token by token."""
+    own = {w: i for i, w in enumerate(lexicon.words[:hmm.OWN_CLASSES])}
+    of_class = Counter()
+    for word, n in counts.items():
+        if word not in own:
+            of_class[hmm.shape_class(word)] += 1
+    total, state = 0.0, list(model.start)
+    for k, token in enumerate(hmm.tokens_of((text or "").encode())):
+        if k:
+            state = [sum(state[a] * model.move[a][b] for a in range(len(state))) for b in range(len(state))]
+        c, inside = own.get(token), 1.0
+        if c is None:
+            c = hmm.shape_class(token)
+            held = sum(n for w, n in counts.items() if w not in own and hmm.shape_class(w) == c)
+            inside = (counts[token] + 0.1) / (held + 0.1 * (of_class[c] + 1))
+        state = [p * model.emit[s][c] * inside for s, p in enumerate(state)]
+        scale = sum(state)
+        total += math.log10(scale)
+        state = [p / scale for p in state]
+    return total
+
+
+@pytest.mark.parametrize("lookup", [131072, 60])
+def test_scores_by_a_plain_forward_recursion(spark, monkeypatch, lookup):
+    """The whole query: counts, classes, the join of rare words and the recursion."""
+    made, real = [], hmm.baum_welch
+    monkeypatch.setattr(hmm, "LOOKUP_WORDS", lookup)       # the rest goes through the join
+
+    def training(encoded, lexicon, *rest):
+        made.append((lexicon, real(encoded, lexicon, *rest)))
+        return made[0][1]
+    monkeypatch.setattr(hmm, "baum_welch", training)
+    rows = [r for r in doc_rows() if len(r[1] or "") < 900][:60]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0      # noqa: E731
+    counts = Counter(t for i, text, *_ in rows if not held(i) for t in hmm.tokens_of((text or "").encode()))
+    own_table = spark.createDataFrame([(k, r[0], r[1]) for k, r in enumerate(rows)], "nth int, doc_id long, text string")
+    for r in hmm.score_texts(own_table).collect():
+        want = plain_score(rows[r.nth][1], counts, *made[0])
+        assert r.score == pytest.approx(want, rel=1e-6, abs=1e-6)
+
+
 def test_small_lookup_gives_the_same_scores(spark, monkeypatch):
     whole = {r.doc_id: r for r in hmm.score_texts(docs(spark).filter("doc_id < 60")).collect()}
     monkeypatch.setattr(hmm, "LOOKUP_WORDS", 8200)     # the rest goes through the join

@@ -1,5 +1,8 @@
 import math
 import random
+import re
+import string
+import unicodedata
 import zlib
 
 from pyspark.sql import functions as F
@@ -31,6 +34,33 @@ def test_held_out_rows_are_told_apart_and_never_learnt(spark):
     assert (again.score.sort_index() == out.score.sort_index()).all()
 
 
+def plain_statistics(text):
+    """The eleven statistics of a text."""
+    white = " \t\n\x0b\x0c\r"
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = re.findall(r"[^\n]+", text)
+    share = lambda a, b: a / max(b, 1)                                               # noqa: E731
+    stops = len(re.findall(r"[.,;:?!]+(?=[\x20\x09-\x0D]|\Z|\n\Z)", text))
+    return (math.log1p(len(words)), share(len(text), len(words)), share(len(words), len(lines)),
+            share(sum(c in string.punctuation for c in text), len(text)), share(stops, len(words)),
+            share(sum(unicodedata.category(c) == "Lu" for c in text), len(text)),
+            share(sum(c in string.digits for c in text), len(text)),
+            share(sum(len(w) == 1 for w in words), len(words)),
+            share(len(set(re.split(r"[\x20\x09-\x0D]+", text))), len(words)),
+            share(len(set(text.split("\n"))), len(lines)), share(len(text.encode()), len(text)))
+
+
+def test_statistics_by_plain_python(spark):
+    texts = [r[1] or "" for r in doc_rows()] + ["A b, c! d.\ne; f\n\n", "...", "x\ty 1 2 33", "a\na\nb", "ÄÖ é .,"]
+    table = spark.createDataFrame(list(enumerate(texts)), "nth int, text string")
+    got = quality.with_statistics(table, "text", ["nth"]).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = plain_statistics(texts[r.nth])
+        for name, value in zip(quality.STATISTICS, want):
+            assert abs(r[name] - value) < 1e-9, (name, texts[r.nth][:60], r[name], value)
+
+
 def test_rules_are_paths_and_the_score_is_compiled(spark):
     text = """RandomForest
   Tree 0 (weight 1.0):
