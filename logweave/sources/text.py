@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,24 +94,19 @@ def _literal(file: str) -> str:
 
 
 def _list_files(spark: SparkSession, paths: list[str]) -> list[list[tuple[str, str]] | None]:
-    """(name, URL) of the log files of each path (a file, folder or pattern) in name order; None: no such path.
+    """(name, URL) of the log files of each path (a file, folder or pattern); None: no such path.
 
-    Hidden files and folders (``_x``, ``.x``) are no logs.  A long list is resolved by a few
-    driver threads: on an object store each listing is a round trip.
+    Folders are listed by the reader, with their sub-folders and without hidden files.  A long
+    list is resolved by a few driver threads: on an object store each listing is a round trip.
     """
     jvm = spark.sparkContext._jvm
     configuration = spark.sparkContext._jsc.hadoopConfiguration()
 
-    def below(fs, status) -> list[tuple[str, str]]:
+    def files_of(status) -> list[tuple[str, str]]:
+        place = status.getPath()
         if not status.isDirectory():
-            return [(status.getPath().toString(), status.getPath().toUri().toString())]
-        files = []
-        for inner in sorted(fs.listStatus(status.getPath()), key=lambda s: s.getPath().getName()):
-            name = inner.getPath().getName()
-            if name.startswith(".") or name.startswith("_") and "=" not in name:
-                continue
-            files += below(fs, inner)
-        return files
+            return [(place.toString(), place.toUri().toString())]
+        return [(unquote(url), url) for url in spark.read.text(_literal(place.toString())).inputFiles()]
 
     def one(path: str) -> list[tuple[str, str]] | None:
         place = jvm.org.apache.hadoop.fs.Path(path)
@@ -119,7 +115,7 @@ def _list_files(spark: SparkSession, paths: list[str]) -> list[list[tuple[str, s
         found = [fs.getFileStatus(place)] if fs.exists(place) else fs.globStatus(place)
         if not found:
             return None
-        return [file for status in found for file in below(fs, status)]
+        return [file for status in found for file in files_of(status)]
 
     with ThreadPoolExecutor(max_workers=LIST_THREADS) as pool:
         return list(pool.map(one, paths))

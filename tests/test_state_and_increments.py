@@ -342,6 +342,13 @@ def test_many_paths_are_one_scan_in_order(spark, tmp_path):
     assert got == [f"line {k}.{n}" for k in order for n in range(2)]
     with pytest.raises(FileNotFoundError):
         read_log_lines(spark, asked, missing="fail")
+    inside = tmp_path / "a folder [1]+%2" / "dt=1"
+    inside.mkdir(parents=True)
+    write_lines(inside / "in %41 [x].log", ["inner"])
+    write_lines(inside / "_hidden", ["hidden"])
+    both = read_log_lines(spark, [str(inside.parent), paths[0], str(inside.parent)])
+    assert sorted((r.src_ordinal, r.line) for r in both.collect()) == [
+        (0, "inner"), (1, "line 0.0"), (1, "line 0.1"), (2, "inner")]
     folder = read_log_lines(spark, [str(tmp_path / "*.log")])
     assert folder.count() == 600 and {r[0] for r in folder.select("src_ordinal").distinct().collect()} == {0}
 
