@@ -188,15 +188,17 @@ def run_digests(store: ResultStore, runs: Sequence[str], query: str) -> DataFram
         F.count(F.lit(1)).alias("rows"), F.concat_ws("/", F.count(F.lit(1)), *total).alias("digest"))
 
 
-def _classes(digests: DataFrame, runs: DataFrame) -> DataFrame:
-    """(run_id, class, rows): runs of equal rows have one class, the least of their ids."""
+def _classes(digests: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(query, place, run_id, class, rows) of the wanted runs: runs of equal rows have one class,
+    the least of their ids."""
     signature = F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "digest"))),
                                                 lambda b: F.concat_ws(":", b["bucket"], b["digest"])), ","), 256)
-    whole = runs.join(digests.groupBy("run_id").agg(signature.alias("signature"), F.sum("rows").alias("rows")),
-                      "run_id", "left").select("run_id", F.coalesce("signature", F.lit("")).alias("signature"),
-                                               F.coalesce("rows", F.lit(0)).cast("long").alias("rows"))
-    least = whole.groupBy("signature").agg(F.min("run_id").alias("class"))
-    return whole.join(least, "signature").select("run_id", "class", "rows")
+    signed = digests.groupBy("query", "run_id").agg(signature.alias("signature"), F.sum("rows").alias("rows"))
+    whole = wanted.join(signed, ["query", "run_id"], "left").select(
+        "query", "place", "run_id", F.coalesce("signature", F.lit("")).alias("signature"),
+        F.coalesce("rows", F.lit(0)).cast("long").alias("rows"))
+    least = F.min("run_id").over(Window.partitionBy("query", "signature"))
+    return whole.select("query", "place", "run_id", least.alias("class"), "rows")
 
 
 def _class_differences(store: ResultStore, digests: DataFrame, classes: Sequence[str], query: str) -> DataFrame:
@@ -250,28 +252,30 @@ def compare_all_pairs(store: ResultStore, run_ids: Sequence[str],
               "mismatched_rows long, matched boolean, verdict string")
     if len(runs) < 2:
         return store.spark.createDataFrame([], schema)
-    numbered = store.spark.createDataFrame(list(enumerate(runs)), "place long, run_id string")
-    per_query = []
-    for q in queries:
-        path = scratch_dir(store.spark, f"digests-{q}")
-        run_digests(store, runs, q).write.parquet(path)
-        digests = store.spark.read.parquet(path)
-        classed = numbered.join(_classes(digests, numbered.select("run_id")), "run_id")
-        classes = sorted(r[0] for r in classed.select("class").distinct().collect())       # at most one per run
-        later = F.sequence(F.col("place") + 1, F.greatest(F.col("place") + 1, F.lit(len(runs) - 1)))
-        pairs = classed.select(F.col("run_id").alias("run_a"), F.col("class").alias("of_a"),
-                               F.col("rows").alias("rows_a"), F.explode(later).alias("place")).join(
-            classed.select(F.col("run_id").alias("run_b"), F.col("class").alias("of_b"),
-                           F.col("rows").alias("rows_b"), "place"), "place")
-        if len(classes) > 1:
-            differences = _class_differences(store, digests, classes, q)
-            pairs = pairs.withColumns({"class_a": F.least("of_a", "of_b"), "class_b": F.greatest("of_a", "of_b")}).join(
-                differences, ["class_a", "class_b"], "left")
-        else:
-            pairs = pairs.withColumn("mismatched_rows", F.lit(0))
-        per_query.append(pairs.select("run_a", "run_b", F.lit(q).alias("query"), "rows_a", "rows_b", F.coalesce(
-            "mismatched_rows", F.lit(0)).cast("long").alias("mismatched_rows")))
-    return _with_verdict(reduce(DataFrame.unionByName, per_query), store)
+    spark, path = store.spark, scratch_dir(store.spark, "digests")
+    reduce(DataFrame.unionByName, [run_digests(store, runs, q).withColumn("query", F.lit(q)) for q in queries]
+           ).write.parquet(path)
+    digests = spark.read.parquet(path)
+    wanted = spark.createDataFrame([(q, k, run) for q in queries for k, run in enumerate(runs)],
+                                   "query string, place long, run_id string")
+    # as many rows as the caller's runs and queries
+    rows = _classes(digests, wanted).collect()
+    classed = spark.createDataFrame(rows, "query string, place long, run_id string, class string, rows long")
+    later = F.sequence(F.col("place") + 1, F.greatest(F.col("place") + 1, F.lit(len(runs) - 1)))
+    pairs = classed.select("query", F.col("run_id").alias("run_a"), F.col("class").alias("of_a"),
+                           F.col("rows").alias("rows_a"), F.explode(later).alias("place")).join(
+        classed.select("query", F.col("run_id").alias("run_b"), F.col("class").alias("of_b"),
+                       F.col("rows").alias("rows_b"), "place"), ["query", "place"])
+    several = {q: sorted({r["class"] for r in rows if r["query"] == q}) for q in queries}
+    differences = [_class_differences(store, digests.filter(F.col("query") == q), classes, q).withColumn("query", F.lit(q))
+                   for q, classes in several.items() if len(classes) > 1]
+    if differences:
+        pairs = pairs.withColumns({"class_a": F.least("of_a", "of_b"), "class_b": F.greatest("of_a", "of_b")}).join(
+            reduce(DataFrame.unionByName, differences), ["query", "class_a", "class_b"], "left")
+    else:
+        pairs = pairs.withColumn("mismatched_rows", F.lit(0))
+    return _with_verdict(pairs.select("run_a", "run_b", "query", "rows_a", "rows_b", F.coalesce(
+        "mismatched_rows", F.lit(0)).cast("long").alias("mismatched_rows")), store)
 
 
 def all_diffs(store: ResultStore, run_ids: Sequence[str], queries: Sequence[str] = ALL_QUERIES,
