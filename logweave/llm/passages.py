@@ -64,7 +64,7 @@ EXACT_WORDS = 50
 SEED_WORDS = 25
 BITMAP_BITS = 27
 #: distinct paragraphs that a task holds back to send each once
-HOLD = 500_000
+HOLD = 300_000
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
@@ -88,7 +88,7 @@ def _powers(n: int) -> np.ndarray:
 
 
 #: words of the texts that are worked on at once; a longer text is worked on by itself
-BATCH_WORDS = 200_000
+BATCH_WORDS = 60_000
 
 
 def _batches(texts: Iterator[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -265,39 +265,54 @@ def _units(bitmap: bytes, bits: int):
         if not held:
             held.append(np.frombuffer(bitmap, dtype=np.uint8))
         for batch in batches:
-            rows, size = [], 0
-            numbers, idents = batch["number"].tolist(), batch["id"].tolist()
             for start, hashes, ends, lines in _batches(iter(batch["body"])):
                 begins = ends - np.diff(ends, prepend=0)
                 first, counts, ids, shingles = _cut(hashes, ends, lines)
+                wanted = np.flatnonzero(_set(held[0], ids, bits))
+                text = np.searchsorted(ends, first[wanted], side="right")
+                if len(wanted):
+                    yield _frame(batch, start + text, wanted - np.searchsorted(first, begins)[text],
+                                 first[wanted] - begins[text], counts[wanted], ids[wanted].view(np.int64),
+                                 _shingle_sets(shingles, first, counts, wanted), b"")
                 at, seeds = exact_seeds(hashes, ends)
                 at = at[_set(held[0], seeds, bits)]
-                of_seed = np.searchsorted(ends, at, side="right")
-                parted = np.flatnonzero((np.diff(at) > EXACT_WORDS) | (np.diff(of_seed) > 0)) + 1
-                for part, text in zip(np.split(at, parted), of_seed[np.append(0, parted)]) if len(at) else ():
-                    low = max(int(begins[text]), int(part[0]) + SEED_WORDS - EXACT_WORDS)
-                    span = hashes[low:min(int(ends[text]), int(part[-1]) + EXACT_WORDS)].astype("<u4").tobytes()
-                    rows.append((numbers[start + text], idents[start + text], -1, low - int(begins[text]),
-                                 len(span) // 4, 0, None, span))
-                    size += 120 + len(span)
-                text_of_unit = np.searchsorted(ends, first, side="right")
-                first_unit = np.searchsorted(first, begins)
-                for k in np.flatnonzero(_set(held[0], ids, bits)).tolist():
-                    text = int(text_of_unit[k])
-                    own = np.unique(shingles[first[k]:first[k] + counts[k]])
-                    own = own[own != _TOP].view(np.int64)
-                    rows.append((numbers[start + text], idents[start + text], k - int(first_unit[text]),
-                                 int(first[k] - begins[text]), int(counts[k]),
-                                 int(ids[k:k + 1].view(np.int64)[0]), own, None))
-                    size += 120 + 8 * len(own)
-                if size > 16_000_000:
-                    yield pd.DataFrame(rows, columns=_UNIT_NAMES)
-                    rows, size = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=_UNIT_NAMES)
+                if len(at):
+                    text = np.searchsorted(ends, at, side="right")
+                    apart = np.flatnonzero((np.diff(at) > EXACT_WORDS) | (np.diff(text) > 0)) + 1
+                    heads, tails = np.append(0, apart), np.append(apart, len(at)) - 1
+                    text = text[heads]
+                    low = np.maximum(begins[text], at[heads] + SEED_WORDS - EXACT_WORDS)
+                    high = np.minimum(ends[text], at[tails] + EXACT_WORDS)
+                    spans = [hashes[i:j].astype("<u4").tobytes() for i, j in zip(low.tolist(), high.tolist())]
+                    yield _frame(batch, start + text, -1, low - begins[text], high - low, 0, [_NO_SHINGLES] * len(text), spans)
     return run
 
 
+def _shingle_sets(shingles: np.ndarray, first: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> list:
+    """The distinct shingles of each wanted paragraph, in order."""
+    chosen = np.zeros(len(first), dtype=bool)
+    chosen[wanted] = True
+    own = shingles[np.repeat(chosen, counts)]
+    unit = np.repeat(np.arange(len(wanted)), counts[wanted])
+    real = own != _TOP
+    own, unit = own[real], unit[real]
+    order = np.lexsort((own, unit))
+    own, unit = own[order], unit[order]
+    once = np.ones(len(own), dtype=bool)
+    once[1:] = (own[1:] != own[:-1]) | (unit[1:] != unit[:-1])
+    own, unit = own[once].view(np.int64), unit[once]
+    stops = np.searchsorted(unit, np.arange(len(wanted)), side="right").tolist()
+    return [own[i:j] for i, j in zip([0, *stops[:-1]], stops)]
+
+
+def _frame(batch: pd.DataFrame, rows: np.ndarray, seq, first_word, words, unit, shingles, span) -> pd.DataFrame:
+    """Units of rows of a batch, by the rows' places in it."""
+    return pd.DataFrame({"number": batch["number"].to_numpy()[rows], "id": batch["id"].iloc[rows].array,
+                         "seq": seq, "first_word": first_word, "words": words, "unit": unit,
+                         "shingles": shingles, "span": span}, columns=_UNIT_NAMES)
+
+
+_NO_SHINGLES = np.zeros(0, dtype=np.int64)
 _UNIT_NAMES = ["number", "id", "seq", "first_word", "words", "unit", "shingles", "span"]
 
 
@@ -433,7 +448,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
               "shingles array<long>, span binary")
     scanned = stored(texts.withColumn("number", F.monotonically_increasing_id())
                    .mapInPandas(_units(bitmap, BITMAP_BITS), schema), "passage-units")
-    units, around = scanned.filter("span is null"), scanned.filter("span is not null")
+    units, around = scanned.filter("seq >= 0"), scanned.filter("seq < 0")      # paragraphs; words around seeds
     nodes = stored(units.groupBy("unit").agg(
         F.min("number").alias("from_row"), F.max("number").alias("to_row"),
         F.first("shingles").alias("shingles")), "passage-nodes")
