@@ -32,7 +32,8 @@ PARTIALS = ("q1", "q3", "hosts")
 
 
 def source_id(name: str) -> str:
-    return hashlib.sha1(name.encode("utf-8")).hexdigest()[:16]
+    """A folder name for a source; the letter keeps it from being read as a number."""
+    return "s" + hashlib.sha1(name.encode("utf-8")).hexdigest()[:16]
 
 
 class IncrementalResults:
