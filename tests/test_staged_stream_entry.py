@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from logweave.functions.parse import parse_lines, valid_rows
@@ -94,14 +96,17 @@ def test_stream_restart_processes_only_new_files(spark, tmp_path):
     assert third.parsed().count() > n1
 
 
-def test_entry_works_without_the_training_data_part(tmp_path):
-    """A copy of the repository without logweave/llm and corpus_pipeline.py."""
+@pytest.mark.parametrize("pipeline_left", [False, True])
+def test_entry_works_without_the_training_data_part(tmp_path, pipeline_left):
+    """A copy of the repository without logweave/llm, with and without a pipeline file."""
     import shutil
     import subprocess
     import sys
     from tests.conftest import ROOT
     shutil.copytree(f"{ROOT}/logweave", tmp_path / "logweave", ignore=shutil.ignore_patterns("llm", "*.pyc"))
     shutil.copy(f"{ROOT}/__spark_entry__.py", tmp_path)
+    if pipeline_left:
+        (tmp_path / "corpus_pipeline.py").write_text("from logweave.llm import decontam\n")
     code = ("import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); "
             "print(len(q), sorted(set(o) - set(q)), any(n.startswith('op') for n in q), 'pipeline' in q)")
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
