@@ -67,7 +67,8 @@ def read_log_lines(spark: SparkSession, paths: str | Sequence[str],
         listing += [(name, url, ordinal) for name, url in files]
     if not listing:
         return spark.createDataFrame([], LINE_SCHEMA)
-    distinct = list(dict.fromkeys(name for name, _, _ in listing))
+    # a file is scanned once, however its URL is spelled
+    distinct = list({re.sub("^([A-Za-z0-9+.-]+):/+", r"\1:/", url): name for name, url, _ in listing}.values())
     scan = spark.read.text([_literal(name) for name in distinct]).select(
         decode_latin1().alias("line"), F.input_file_name().alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
