@@ -247,10 +247,13 @@ LONG = "p" * 600           # makes a path longer than any column
 def _event_files(spark, sf_dir, name, change=None, keep=None) -> str:
     """The events logs with a rule applied to events (keep) or lines (change), as files."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    lines = event_log_lines(events.filter(keep) if keep else events)
-    if change is not None:
-        lines = lines.withColumn("line", change(F.col("line")))
-    return write_log_files(lines, "event_id", scratch_dir(spark, f"logs-{name}"))
+
+    def build(rows):
+        lines = event_log_lines(rows)
+        return lines if change is None else lines.withColumn("line", change(F.col("line")))
+
+    return write_log_files(events.filter(keep) if keep else events, "event_id",
+                           scratch_dir(spark, f"logs-{name}"), build=build)
 
 
 def _long_path_lines(line):

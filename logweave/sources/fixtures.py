@@ -27,12 +27,17 @@ P -> 503, bytes ``floor(o_totalprice)``; every 101st order spells its month in
 capitals, which makes it malformed with no readable date.
 
 Lines are written to text files with ``write_log_files``: a range partition on
-the order column, so part files in name order hold the lines in order.
+the order column, so part files in name order hold the lines in order.  The table's rows
+are what is partitioned and sorted; their lines are built afterwards.  The number of files
+grows with the rows, so that a task sorts about ``SORT_BYTES`` at any size of the table.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +45,11 @@ from pyspark.sql import functions as F
 
 from logweave.session import app_id, scratch_dir
 
+#: memory that one task takes for sorting its rows, roughly
+SORT_BYTES = 128 * 1024 * 1024
+#: bytes of a row in a sort besides its fields: length, null bits, two pointer pairs
+ROW_OVERHEAD = 48
+
 
 def _stamp(t: Column, offset: Column) -> Column:
     return F.concat(F.date_format(t, "dd/MMM/yyyy:HH:mm:ss"), F.lit(" "), offset)
@@ -86,13 +96,25 @@ def order_log_lines(orders: DataFrame) -> DataFrame:
     return orders.select(key.alias("o_orderkey"), line.alias("line"))
 
 
-def write_log_files(lines: DataFrame, order_col: str, out_dir: str,
-                    num_files: int = 4, compression: str | None = None) -> str:
-    """Write lines as text part files whose name order is the line order."""
-    writer = (lines.repartitionByRange(num_files, order_col)
-              .sortWithinPartitions(order_col)
-              .select("line")
-              .write.mode("errorifexists"))
+def _sort_bytes(rows: DataFrame) -> int:
+    """Bytes of the rows in a sort: eight a field, their strings, the overhead of each row."""
+    strings = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in rows.dtypes if kind in ("string", "binary")]
+    row = reduce(add, strings, F.lit(8 * len(rows.columns) + ROW_OVERHEAD).cast("long"))
+    return rows.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+
+
+def write_log_files(rows: DataFrame, order_col: str, out_dir: str,
+                    num_files: int = 4, compression: str | None = None,
+                    build: Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """Write lines as text part files whose name order is the line order.
+
+    ``build`` makes the lines of the rows once these are in order, so that only the rows'
+    own columns are shuffled and sorted; without it the rows have a ``line``.  At least
+    ``num_files`` files, more when their rows would take more than ``SORT_BYTES`` each.
+    """
+    files = max(num_files, -(-_sort_bytes(rows) // SORT_BYTES))
+    ordered = rows.repartitionByRange(files, order_col).sortWithinPartitions(order_col)
+    writer = (ordered if build is None else build(ordered)).select("line").write.mode("errorifexists")
     if compression:
         writer = writer.option("compression", compression)
     writer.text(out_dir)
@@ -124,13 +146,13 @@ def fixture_log_dir(spark: SparkSession, sf_dir: str, table: str = "events",
     if key not in _FIXTURE_DIRS:
         source = spark.read.parquet(_table(sf_dir, table))
         if table == "events":
-            lines, order = event_log_lines(source), "event_id"
+            build, order = event_log_lines, "event_id"
         elif table == "orders":
-            lines, order = order_log_lines(source), "o_orderkey"
+            build, order = order_log_lines, "o_orderkey"
         else:
             raise ValueError(f"no log-line rule for table {table!r}")
         out = scratch_dir(spark, f"logs-{table}")
-        write_log_files(lines, order, out, num_files=num_files, compression=compression)
+        write_log_files(source, order, out, num_files=num_files, compression=compression, build=build)
         _FIXTURE_DIRS[key] = out
     return _FIXTURE_DIRS[key]
 
