@@ -5,6 +5,7 @@ import glob
 
 import pytest
 
+import __spark_entry__ as entry
 from logweave.session import scratch_dir
 from logweave.sources import fixtures
 from logweave.sources.fixtures import event_log_lines, fixture_log_dir, write_log_files
@@ -58,3 +59,18 @@ def test_fixture_folder_grows_in_files(spark, sf_dir, monkeypatch):
     written = _files(fixture_log_dir(spark, sf_dir))
     assert len(written) > 8
     assert [x for file in written for x in file] == _lines(spark, sf_dir)
+
+
+def test_report_of_long_paths_sorts_no_long_lines(spark, sf_dir, monkeypatch):
+    """report_q2_long_paths: what is shuffled and sorted are events, 600 characters shorter."""
+    sorted_columns = []
+    plain = entry.write_log_files
+
+    def seen(rows, *args, **kwargs):
+        sorted_columns.append(rows.columns)
+        return plain(rows, *args, **kwargs)
+    monkeypatch.setattr(entry, "write_log_files", seen)
+    monkeypatch.setattr(fixtures, "SORT_BYTES", 16 * 1024, raising=False)
+    report = entry.q_report_q2_long_paths(spark, sf_dir).collect()
+    assert sorted_columns and all("line" not in columns for columns in sorted_columns)
+    assert len(report) == 20 and {len(r.resource_path) for r in report} == {47}
