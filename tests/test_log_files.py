@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from logweave.session import scratch_dir
@@ -74,3 +75,19 @@ def test_report_of_long_paths_sorts_no_long_lines(spark, sf_dir, monkeypatch):
     report = entry.q_report_q2_long_paths(spark, sf_dir).collect()
     assert sorted_columns and all("line" not in columns for columns in sorted_columns)
     assert len(report) == 20 and {len(r.resource_path) for r in report} == {47}
+
+
+def test_cut_paths_are_the_same_from_any_number_of_files(spark, sf_dir, monkeypatch):
+    """jdbc_paths_cut: the rows do not depend on how many files hold the log."""
+    few = entry.q_jdbc_paths_cut(spark, sf_dir).collect()
+    folders = []
+    plain = entry.write_log_files
+    monkeypatch.setattr(entry, "write_log_files", lambda *a, **b: folders.append(plain(*a, **b)) or folders[-1])
+    monkeypatch.setattr(fixtures, "SORT_BYTES", 16 * 1024, raising=False)
+    many = entry.q_jdbc_paths_cut(spark, sf_dir).collect()
+    written = _files(folders[0])
+    assert len(written) > 8 and many == few and {len(r.resource_path) for r in many} == {512}
+    lines = event_log_lines(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    expected = [r.line or "" for r in lines.withColumn("line", entry._long_path_lines(F.col("line")))
+                .orderBy("event_id").collect()]
+    assert [x for file in written for x in file] == expected
