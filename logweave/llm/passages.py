@@ -63,8 +63,8 @@ LEAST_WORDS = 25
 EXACT_WORDS = 50
 SEED_WORDS = 25
 BITMAP_BITS = 27
-#: distinct paragraphs that a task holds back to send each once
-HOLD = 300_000
+#: paragraphs and seeds that a task holds back to send each once
+HOLD = 600_000
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
@@ -78,17 +78,67 @@ def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit scrambler."""
-    x = (x ^ (x >> _S33)) * _M1
-    x = (x ^ (x >> _S33)) * _M2
-    return x ^ (x >> _S33)
+    x = x ^ (x >> _S33)
+    x *= _M1
+    x ^= x >> _S33
+    x *= _M2
+    x ^= x >> _S33
+    return x
 
 
 def _powers(n: int) -> np.ndarray:
     return np.cumprod(np.full(n, 0x9E3779B97F4A7C15, dtype=np.uint64))
 
 
-#: words of the texts that are worked on at once; a longer text is worked on by itself
+#: bytes of the texts that are worked on at once; a longer text is worked on by itself
+BATCH_BYTES = 400_000
+#: words of the spans that are worked on at once
 BATCH_WORDS = 60_000
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[list(b" \t\n\r\x0b\x0c")] = True
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _rotated(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def _word_hashes(body: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """XXH64 of the words at the given places, all words of a length at once."""
+    padded = body + bytes(8)
+    eights = np.ndarray(len(body) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    out = np.empty(len(starts), dtype=np.uint64)
+    order = np.argsort(np.minimum(sizes, 32).astype(np.uint8), kind="stable")
+    stops = np.searchsorted(sizes[order], np.arange(1, 33)).tolist()
+    for size, (low, high) in enumerate(zip(stops, stops[1:]), 1):
+        if low == high:
+            continue
+        words = order[low:high]
+        at = starts[words]
+        h = np.full(high - low, _P5 + np.uint64(size))
+        for done in range(0, size - 7, 8):
+            h ^= _rotated(eights[at + done] * _P2, 31) * _P1
+            h = _rotated(h, 27) * _P1 + _P4
+        if size & 7:
+            rest = eights[at + (size & ~7)]
+            if size & 4:
+                h ^= (rest & np.uint64(0xFFFFFFFF)) * _P1
+                h = _rotated(h, 23) * _P2 + _P3
+                rest >>= np.uint64(32)
+            for _ in range(size & 3):
+                h ^= (rest & np.uint64(0xFF)) * _P5
+                h = _rotated(h, 11) * _P1
+                rest >>= np.uint64(8)
+        h ^= h >> _S33
+        h *= _P2
+        h ^= h >> np.uint64(29)
+        h *= _P3
+        h ^= h >> np.uint64(32)
+        out[words] = h
+    for k in order[stops[-1]:].tolist():
+        out[k] = xxhash.xxh64_intdigest(body[starts[k]:starts[k] + sizes[k]])
+    return out
 
 
 def _batches(texts: Iterator[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -96,23 +146,33 @@ def _batches(texts: Iterator[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarr
 
     The words of many texts in one array: the steps below cost the same for ten texts as for one.
     """
-    digest = xxhash.xxh64_intdigest
-    start, hashes, ends, lines, have = 0, [], [], [], 0
+    def batch():
+        body = b"\n".join([*held, b""]).lower()
+        codes = np.frombuffer(body, dtype=np.uint8)
+        # words and blanks alternate; the last byte is a line end
+        blank = _SPACE[codes]
+        turns = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        if not blank[0]:
+            turns = np.concatenate(([0], turns))
+        starts, stops = turns[0::2], turns[1::2]
+        starts = starts[:len(stops)]
+        ends = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in held]))
+        lines = np.unique(np.searchsorted(starts, np.concatenate(([0], np.flatnonzero(codes == 10)))))
+        return start, _word_hashes(body, starts, stops - starts), ends, lines[lines < len(starts)]
+
+    start, held, have = 0, [], 0
     for k, text in enumerate(texts):
-        ahead = have
-        for line in text.lower().split(b"\n"):
-            words = line.split()
-            if words:
-                lines.append(ahead)
-                hashes.append(np.fromiter(map(digest, words), np.uint64, len(words)))
-                ahead += len(words)
-        have = ahead
-        ends.append(have)
-        if have >= BATCH_WORDS:
-            yield start, np.concatenate(hashes), np.array(ends), np.array(lines)
-            start, hashes, ends, lines, have = k + 1, [], [], [], 0
-    if have:
-        yield start, np.concatenate(hashes), np.array(ends), np.array(lines)
+        held.append(text)
+        have += len(text) + 1
+        if have >= BATCH_BYTES:
+            done = batch()
+            if len(done[1]):
+                yield done
+            start, held, have = k + 1, [], 0
+    if held:
+        done = batch()
+        if len(done[1]):
+            yield done
 
 
 def _words(text: bytes) -> tuple[np.ndarray, list]:
@@ -203,6 +263,28 @@ def _cut(own: np.ndarray, ends: np.ndarray, lines: np.ndarray, radius: int = RAD
     return first, counts, ids, shingles
 
 
+def _once(text: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Places of the first of each id of a text."""
+    order = np.lexsort((ids, text))
+    text, ids = text[order], ids[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (text[1:] != text[:-1]) | (ids[1:] != ids[:-1])
+    return order[new]
+
+
+def _merged(tables: list[np.ndarray]) -> np.ndarray:
+    """Columns by the first row, each value once; the last row is summed."""
+    table = np.concatenate(tables, axis=1)
+    if not table.shape[1]:
+        return table
+    order = np.argsort(table[0], kind="stable")
+    ids = table[0, order]
+    first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+    out = table[:, order[first]]
+    out[-1] = np.add.reduceat(table[-1, order], first)
+    return out
+
+
 def _band_rows(bands: int):
     """(key, paragraph, several): each distinct paragraph of a task once per band.
 
@@ -210,44 +292,39 @@ def _band_rows(bands: int):
     """
     seeds = _mix(np.arange(1, bands + 1, dtype=np.uint64))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys: dict[int, tuple[int, ...]] = {}
-        exact: set[int] = set()
-        several: set[int] = set()
-
-        def frame() -> pd.DataFrame:
-            table = np.array(list(keys.values()), dtype=np.uint64).reshape(-1, bands)
-            ids = np.fromiter(keys, dtype=np.uint64, count=len(keys))
-            flags = np.fromiter((i in several for i in keys), dtype=bool, count=len(keys))
-            own = np.fromiter(exact, dtype=np.uint64, count=len(exact))
-            marks = np.fromiter((i in several for i in exact), dtype=bool, count=len(exact))
-            return pd.DataFrame(
-                {"key": np.concatenate((table.T.ravel(), own)).view(np.int64),
-                 "unit": np.concatenate((np.tile(ids, bands), own)).view(np.int64),
-                 "several": np.concatenate((np.tile(flags, bands), marks))})
+    def frame(units: np.ndarray, exact: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame(
+            {"key": np.concatenate((units[1:-1].ravel(), exact[0])).view(np.int64),
+             "unit": np.concatenate((np.tile(units[0], bands), exact[0])).view(np.int64),
+             "several": np.concatenate((np.tile(units[-1] > 1, bands), exact[-1] > 1))})
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # columns: id, its keys, in how many texts; seed, in how many texts
+        units = [np.zeros((bands + 2, 0), dtype=np.uint64)]
+        exact = [np.zeros((2, 0), dtype=np.uint64)]
+        have = 0
         for _, own, ends, lines in _batches(text for batch in batches for text in batch["body"]):
             first, _, ids, shingles = _cut(own, ends, lines)
-            marks = [_mix(np.minimum.reduceat(
-                np.where(shingles == _TOP, _TOP, _mix(shingles ^ s)), first) + s) for s in seeds]
             at, spots = exact_seeds(own, ends)
             # each text's paragraphs and seeds once
-            text_of_unit = np.searchsorted(ends, first, side="right")
-            _, once = np.unique(np.stack((text_of_unit.astype(np.uint64), ids)), axis=1, return_index=True)
-            for unit, *key in zip(ids[once].tolist(), *[m[once].tolist() for m in marks]):
-                if unit in keys:
-                    several.add(unit)
-                else:
-                    keys[unit] = tuple(key)
-            for _, seed in set(zip(np.searchsorted(ends, at, side="right").tolist(), spots.tolist())):
-                (several if seed in exact else exact).add(seed)
-            if len(keys) + len(exact) > HOLD:
-                yield frame()
-                keys.clear()
-                exact.clear()
-                several.clear()
-        if keys:
-            yield frame()
+            once = _once(np.searchsorted(ends, first, side="right"), ids)
+            top, table = shingles == _TOP, [ids[once]]
+            for s in seeds:
+                marks = _mix(shingles ^ s)
+                marks[top] = _TOP
+                table.append(_mix(np.minimum.reduceat(marks, first)[once] + s))
+            units.append(np.stack([*table, np.ones(len(once), dtype=np.uint64)]))
+            spots = spots[_once(np.searchsorted(ends, at, side="right"), spots)]
+            exact.append(np.stack([spots, np.ones(len(spots), dtype=np.uint64)]))
+            have += len(once) + len(spots)
+            if have > HOLD:
+                units, exact = [_merged(units)], [_merged(exact)]
+                have = units[0].shape[1] + exact[0].shape[1]
+                if have > HOLD // 2:
+                    yield frame(units[0], exact[0])
+                    units, exact, have = [units[0][:, :0]], [exact[0][:, :0]], 0
+        if have:
+            yield frame(_merged(units), _merged(exact))
     return run
 
 
@@ -316,21 +393,36 @@ _NO_SHINGLES = np.zeros(0, dtype=np.int64)
 _UNIT_NAMES = ["number", "id", "seq", "first_word", "words", "unit", "shingles", "span"]
 
 
-def _exact_spans(first_word: int, span: bytes) -> tuple[np.ndarray, np.ndarray]:
-    hashes = _spans(np.frombuffer(span, dtype="<u4").astype(np.uint64), EXACT_WORDS)
-    return np.arange(first_word, first_word + len(hashes)), hashes
+def _exact_spans(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, first words and hashes of all ``EXACT_WORDS`` words of the spans, of many rows at once."""
+    spans, first_word = batch["span"].tolist(), batch["first_word"].to_numpy()
+    sizes = np.array([len(span) // 4 for span in spans], dtype=np.int64)
+    part = np.cumsum(sizes) // BATCH_WORDS
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(spans)]
+    for low, high in zip(cuts, cuts[1:]):
+        ends = np.cumsum(sizes[low:high])
+        row = np.repeat(np.arange(high - low), sizes[low:high])
+        hashes = _spans(np.frombuffer(b"".join(spans[low:high]), dtype="<u4").astype(np.uint64), EXACT_WORDS)
+        # only those inside one span count
+        inside = np.flatnonzero(ends[row[:len(hashes)]] - np.arange(len(hashes)) >= EXACT_WORDS)
+        row = row[inside]
+        yield low + row, first_word[low + row] + inside - (ends - sizes[low:high])[row], hashes[inside]
 
 
 def _uncovered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Hashes of ``EXACT_WORDS`` words that do not lie inside a run (starts and ends in order)."""
     for batch in batches:
+        runs = [(k, np.asarray(starts, dtype=np.int64), np.asarray(ends, dtype=np.int64))
+                for k, (starts, ends) in enumerate(zip(batch["starts"], batch["ends"])) if starts is not None]
+        # places of all rows on one line, rows 2 ** 32 apart
+        begins, stops = (np.concatenate([np.zeros(0, dtype=np.int64), *[(run[0] << 32) + run[side] for run in runs]])
+                         for side in (1, 2))
         out = [np.zeros(0, dtype=np.uint64)]
-        for first_word, span, starts, ends in zip(batch["first_word"], batch["span"],
-                                                  batch["starts"], batch["ends"]):
-            at, hashes = _exact_spans(first_word, span)
-            if starts is not None and len(starts):
-                k = np.searchsorted(np.asarray(starts), at, side="right") - 1
-                hashes = hashes[(k < 0) | (at + EXACT_WORDS > np.asarray(ends)[k])]
+        for row, at, hashes in _exact_spans(batch):
+            at = (row << 32) + at
+            if len(begins):
+                k = np.searchsorted(begins, at, side="right") - 1
+                hashes = hashes[(k < 0) | (at + EXACT_WORDS > stops[k])]
             out.append(hashes)
         yield pd.DataFrame({"unit": np.unique(np.concatenate(out)).view(np.int64)})
 
@@ -343,16 +435,11 @@ def _marked(bitmap: bytes, bits: int):
         if not held:
             held.append(np.frombuffer(bitmap, dtype=np.uint8))
         for batch in batches:
-            spans, places, numbers = [np.zeros(0, dtype=np.uint64)], [], []
-            for number, first_word, span in zip(batch["number"], batch["first_word"], batch["span"]):
-                at, hashes = _exact_spans(first_word, span)
+            number = batch["number"].to_numpy()
+            for row, at, hashes in _exact_spans(batch):
                 wanted = _set(held[0], hashes, bits)
-                spans.append(hashes[wanted])
-                places += at[wanted].tolist()
-                numbers += [number] * (len(places) - len(numbers))
-            yield pd.DataFrame({"span": np.concatenate(spans).view(np.int64),
-                                "number": np.array(numbers, dtype=np.int64),
-                                "at": np.array(places, dtype=np.int32)})
+                yield pd.DataFrame({"span": hashes[wanted].view(np.int64), "number": number[row[wanted]],
+                                    "at": at[wanted].astype(np.int32)})
     return run
 
 
@@ -420,6 +507,17 @@ def _row_links(passages: DataFrame, least_words: int) -> DataFrame:
             .select(F.col("number").alias("a"), F.col("keep_row").alias("b")).distinct())
 
 
+def _met(keyed: DataFrame) -> DataFrame:
+    """(key, unit, least) of the keys met twice; least: the least unit of the key.
+
+    Both windows are over whole keys, so that rows are sorted by one column, once.
+    """
+    of_key = W.partitionBy("key")
+    return (keyed.repartition("key")
+            .withColumns({"least": F.min("unit").over(of_key), "rows": F.count(F.lit(1)).over(of_key)})
+            .filter("rows > 1 or several").select("key", "unit", "least").distinct())
+
+
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       similarity: float = SIMILARITY, recall: float = RECALL,
                       least_words: int = LEAST_WORDS, gap: int = GAP) -> DataFrame:
@@ -436,12 +534,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = df.select(col(id_col).alias("id"), text_of(df, text_col).cast("binary").alias("body"))
     bands = tune_bands(similarity, recall)
     keyed = texts.select("body").mapInPandas(_band_rows(bands), "key long, unit long, several boolean")
-    of_key = W.partitionBy("key")
-    met = (keyed.repartition("key")
-           .withColumn("least", F.first("unit").over(of_key.orderBy("unit")))
-           .withColumn("rows", F.count(F.lit(1)).over(of_key))
-           .filter("rows > 1 or several").select("key", "unit", "least"))
-    met = stored(met.distinct(), "passage-keys")
+    met = stored(_met(keyed), "passage-keys")
     bitmap = _bitmap(met.select("unit"), BITMAP_BITS)
     id_type = dict(texts.dtypes)["id"]
     schema = (f"number long, id {id_type}, seq int, first_word int, words int, unit long, "

@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pandas as pd
+import xxhash
 from pyspark.sql import functions as F
 
 from logweave.llm import passages
@@ -204,3 +206,80 @@ def test_linked_rows_share_a_class_and_parts_say_what_is_removed(spark):
         assert set(texts[100 * group].split()[12:]) <= {w for text in own for w in text if w} | {
             w for w in texts[100 * group].split() if w.startswith("z")}
         assert sum(w is None for text in own for w in text) > 600
+
+
+def _plain_words(bodies):
+    """Hashes of the words, ends of the texts and first words of lines, a word at a time."""
+    hashes, ends, lines = [], [], []
+    for body in bodies:
+        for line in body.lower().split(b"\n"):
+            if line.split():
+                lines.append(len(hashes))
+            hashes += map(xxhash.xxh64_intdigest, line.split())
+        ends.append(len(hashes))
+    return hashes, ends, lines
+
+
+def test_words_of_a_batch_are_hashed_together(monkeypatch):
+    rng = random.Random(11)
+    blanks = [b" ", b"\n", b"\t", b"\r\n", b"\x0b", b"\x0c", b"\n\n", b"\x1c", b"\x85"]
+    bodies = [b"", b" \n", b"A", *(b"".join(bytes(rng.choices(range(256), k=k)) + rng.choice(blanks)
+                                            for k in rng.choices(range(40), k=60)) for _ in range(30)), b"", b"\n"]
+    expected, calls = _plain_words(bodies), []
+    digest = xxhash.xxh64_intdigest
+    monkeypatch.setattr(passages.xxhash, "xxh64_intdigest", lambda word: calls.append(word) or digest(word))
+    (start, own, ends, lines), = passages._batches(iter(bodies))
+    assert (start, own.tolist(), ends.tolist(), lines.tolist()) == (0, *expected)
+    assert calls and all(len(word) >= 32 for word in calls)      # the rare long words by themselves
+
+
+def test_spans_of_many_rows_are_hashed_together(monkeypatch):
+    rng = random.Random(12)
+    rows = [(k, np.array([rng.randrange(2 ** 32) for _ in range(n)], dtype="<u4")) for k, n in
+            enumerate([60, 10, 50, 0, 49, 120] * 20)]
+    starts = [None if k % 3 else np.array([k + 2]) for k, _ in rows]
+    ends = [None if k % 3 else np.array([k + 2 + 55]) for k, _ in rows]
+    batch = pd.DataFrame({"number": range(len(rows)), "first_word": np.arange(len(rows), dtype=np.int32),
+                          "span": [span.tobytes() for _, span in rows], "starts": starts, "ends": ends})
+    plain, wide = [], []
+    for k, span in rows:
+        for at, h in enumerate(passages._spans(span.astype(np.uint64), 50).view(np.int64).tolist(), k):
+            plain.append((h, k, at))
+            if starts[k] is None or at < k + 2 or at + 50 > k + 57:
+                wide.append(h)
+    calls, spans = [], passages._spans
+    monkeypatch.setattr(passages, "_spans", lambda *a: calls.append(a) or spans(*a))
+    every = np.full(1 << 13, 255, dtype=np.uint8).tobytes()
+    marked, = passages._marked(every, 16)(iter([batch]))
+    found, = passages._uncovered(iter([batch]))
+    assert len(calls) == 2
+    assert list(marked[["span", "number", "at"]].itertuples(index=False, name=None)) == plain
+    assert sorted(found["unit"]) == sorted(set(wide))
+    assert len(wide) < len(plain)
+
+
+def test_met_keys_take_one_window_and_no_sort_by_units(spark):
+    keyed = spark.createDataFrame([(1, 5, False), (1, 3, False), (1, 3, False), (2, 7, False), (3, 8, True)],
+                                  "key long, unit long, several boolean")
+    met = passages._met(keyed)
+    assert sorted(map(tuple, met.collect())) == [(1, 3, 3), (1, 5, 3), (3, 8, 8)]
+    plan = met._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].split("\n")
+    assert sum(" Window [" in step for step in plan) == 1
+    sorts = [step for step in plan if " Sort [" in step]
+    assert sorts and not any("unit#" in step for step in sorts)
+
+
+def test_repeats_of_a_task_are_sent_once(monkeypatch):
+    """Whatever is held back: (key, unit) of several texts are marked or sent more than once."""
+    rng = random.Random(13)
+    bodies = [words(rng, 80).encode() for _ in range(40)]
+    bodies += bodies[:10] * 3
+    sent = []
+    for hold in (passages.HOLD, 100):
+        monkeypatch.setattr(passages, "HOLD", hold)
+        monkeypatch.setattr(passages, "BATCH_BYTES", 2000)
+        rows = pd.concat(list(passages._band_rows(3)(iter([pd.DataFrame({"body": bodies})]))))
+        of = rows.groupby(["key", "unit"])["several"]
+        sent.append(((of.size() > 1) | of.any()).to_dict())
+        assert hold == 100 or of.size().max() == 1
+    assert sent[0] == sent[1] and 0 < sum(sent[0].values()) < len(sent[0])
